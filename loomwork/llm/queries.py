@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loomwork.llm import bpe, decontaminate, simhash, substring, token_files
+from loomwork.llm import bpe, decontaminate, lines, simhash, substring, token_files
 from loomwork.llm._common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -30,9 +31,14 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.judged(found).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = lines.without_lines(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return cut.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op9_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digests(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op3_token_files, op4_bpe, op5_decontaminate, op9_substring)}
+    return {f.__name__: f for f in (op1_simhash, op3_token_files, op4_bpe, op5_decontaminate, op6_lines, op9_substring)}
