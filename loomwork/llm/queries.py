@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwork.llm import bpe, decontaminate, lines, simhash, substring, token_files
+from loomwork.llm import bpe, decontaminate, lines, simhash, substring, token_files, urls, warc
 from loomwork.llm._common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -36,9 +36,18 @@ def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(table(spark, sf_dir, "pages", "page_id", "url"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = warc.write(table(spark, sf_dir, "pages", "page_id", "url", "html"), min_bytes=0)
+    return warc.read(archive).select("page_id", "payload_bytes", F.col("stored_digest").alias("payload_digest"), "record_type", "refers_to")
+
+
 def op9_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digests(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op3_token_files, op4_bpe, op5_decontaminate, op6_lines, op9_substring)}
+    return {f.__name__: f for f in (op1_simhash, op3_token_files, op4_bpe, op5_decontaminate, op6_lines, op7_urls, op8_warc, op9_substring)}
