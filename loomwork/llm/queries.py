@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwork.llm import bpe, decontaminate, lines, simhash, substring, token_files, urls, warc
+from loomwork.llm import bpe, decontaminate, jpeg, lines, simhash, substring, token_files, urls, warc
 from loomwork.llm._common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -49,5 +49,9 @@ def op9_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digests(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op10_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jpeg.described(jpeg.stored(table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op3_token_files, op4_bpe, op5_decontaminate, op6_lines, op7_urls, op8_warc, op9_substring)}
+    return {f.__name__: f for f in (op1_simhash, op3_token_files, op4_bpe, op5_decontaminate, op6_lines, op7_urls, op8_warc, op9_substring, op10_jpeg)}
