@@ -205,37 +205,40 @@ def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
     return in_arrow(encoded.select("doc_id", "ids"), work, f"doc_id {kind}, text string")
 
 
-def round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", ids: bool = False) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): encode and decode each whole text in one pass, without
-    sending the ids through the JVM. A null text counts as empty: 0 tokens and the digests of ''."""
+    sending the ids through the JVM unless a column ``ids`` is asked for. A null text counts as empty: 0 tokens and the digests of ''."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(tokenizer)
         spelled: dict[tuple[int, ...], tuple[str, str]] = {}
         for batch in batches:
-            n, ids_sha, text_sha = [], [], []
+            n, ids_sha, text_sha, all_ids = [], [], [], []
             for text in text_bytes(batch["text"]):
                 total, numbers, labels = 0, [], []
-                for ids in c.encode(text):
-                    if not ids:
-                        continue
-                    key = tuple(ids)
+                pieces = [piece for piece in c.encode(text) if piece]
+                if ids:
+                    all_ids.append([i for piece in pieces for i in piece])
+                for piece in pieces:
+                    key = tuple(piece)
                     said = spelled.get(key)
                     if said is None:
                         if len(spelled) >= MEMO:
                             spelled.clear()
-                        said = spelled[key] = (" ".join(map(str, ids)), c.decode(ids))
-                    total += len(ids)
+                        said = spelled[key] = (" ".join(map(str, piece)), c.decode(piece))
+                    total += len(piece)
                     numbers.append(said[0])
                     labels.append(said[1])
                 n.append(total)
                 ids_sha.append(hashlib.sha256(" ".join(numbers).encode()).hexdigest())
                 text_sha.append(hashlib.sha256(" ".join(labels).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(n, pa.int64()), pa.array(ids_sha), pa.array(text_sha)],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+            cols = [batch["doc_id"], pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
+            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+            if ids:
+                cols.append(pa.array(all_ids, pa.list_(pa.int32())))
+                names.append("ids")
+            yield pa.RecordBatch.from_arrays(cols, names)
+
+    schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids
     return in_arrow(renamed(docs, doc_id=id_col, text=text_col), work, schema)

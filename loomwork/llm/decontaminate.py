@@ -16,10 +16,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.llm._common import WORD_TABLE, in_arrow, renamed, text_bytes, written
+from loomwork.llm._common import WORD_TABLE, bounded_batches, in_arrow, renamed, text_bytes, written
 
 WIDTH = 13
 #: Windows that are broadcast at most: about 100 bytes each.
@@ -85,13 +86,17 @@ def hits(docs: DataFrame, items: DataFrame, width: int = WIDTH, broadcast_window
     """(doc_id, text, n_words, n_hit, n_items, items_sha256, spans) of every row: ``spans`` are the (start, end) word
     ranges that windows of ``items`` cover; the digest is of the sorted, comma-joined ids of the items found."""
     windows = item_windows(items, width)
-    n, longest = windows.agg(F.count("*"), F.max(F.length(F.array_join("window", " ")))).first()
-    # the bound is on windows and on their text
-    if n * max(longest or 0, 8) <= broadcast_windows * 200:
+    if _small(windows, broadcast_windows):
         return _scanned(docs, windows)
     return _joined(docs, windows, width)
 
 
+def _small(windows: DataFrame, broadcast_windows: int) -> bool:
+    """The bound on what is broadcast: a number of windows, and 200 characters of text for each."""
+    n, text = windows.agg(F.count("*"), F.sum(F.length(F.array_join("window", " ")))).first()
+    return n <= broadcast_windows and (text or 0) <= 200 * broadcast_windows
+
+
 SCHEMA = "doc_id {kind}, text string, n_words long, n_hit long, n_items long, items_sha256 string, spans array<struct<start:long,end:long>>"
 
 
@@ -112,10 +117,14 @@ def _batch(doc_ids: pa.Array, texts: pa.Array, rows: list[dict]) -> pa.RecordBat
     return pa.RecordBatch.from_arrays([doc_ids, texts, *cols], ["doc_id", "text", *kinds])
 
 
+def _sent(windows: DataFrame) -> Broadcast:
+    table = [(tuple(w.encode() for w in r[0]), sorted(r[1])) for r in windows.groupBy("window").agg(F.collect_set("item")).collect()]
+    return windows.sparkSession.sparkContext.broadcast(table)
+
+
 def _scanned(docs: DataFrame, windows: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
-    table = [(tuple(w.encode() for w in r[0]), sorted(r[1])) for r in windows.groupBy("window").agg(F.collect_set("item")).collect()]
-    sent = docs.sparkSession.sparkContext.broadcast(table)
+    sent = _sent(windows)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WindowSet(sent.value)
@@ -167,10 +176,26 @@ def judged(found: DataFrame, share: int = 20) -> DataFrame:
     return found.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words")))
 
 
-def without_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``docs`` without the contaminated rows, by doc_id; other columns untouched."""
-    bad = judged(hits(docs, items)).where("contaminated").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+def without_documents(docs: DataFrame, items: DataFrame, share: int = 20, width: int = WIDTH, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
+    """``docs`` without the contaminated rows; all other rows and columns as they are."""
+    windows = item_windows(items, width)
+    if not _small(windows, broadcast_windows):
+        bad = judged(_joined(docs, windows, width), share).where("contaminated").select("doc_id").distinct()
+        return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+    sent, texts = _sent(windows), docs.columns.index("text")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WindowSet(sent.value)
+        for batch in batches:
+            keep = []
+            for text in text_bytes(batch.column(texts)):
+                words = words_of(text)
+                n = int(known.hits(words)[0].sum())
+                keep.append(not n or n * share < len(words))
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    bounded_batches(docs.sparkSession)
+    return docs.mapInArrow(work, docs.schema)
 
 
 def without_spans(docs: DataFrame, items: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwork.llm import bpe, decontaminate, jpeg, lines, simhash, substring, token_files, urls, warc
+from loomwork.llm import bpe, decontaminate, jpeg, lines, simhash, substring, token_files, toxicity, urls, warc
 from loomwork.llm._common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -18,6 +18,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return toxicity.judged(docs, toxicity.train(docs, table(spark, sf_dir, "labels", "doc_id", "toxic")))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_digests(token_files.write(table(spark, sf_dir, "documents", "doc_id", "text"), TOKENIZER))
 
@@ -54,4 +59,4 @@ def op10_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op3_token_files, op4_bpe, op5_decontaminate, op6_lines, op7_urls, op8_warc, op9_substring, op10_jpeg)}
+    return {f.__name__: f for f in (op1_simhash, op2_toxicity, op3_token_files, op4_bpe, op5_decontaminate, op6_lines, op7_urls, op8_warc, op9_substring, op10_jpeg)}

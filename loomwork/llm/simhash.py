@@ -176,3 +176,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     groups = connected_components(edges.select(F.col("x").alias("a"), F.col("y").alias("b")))
     labelled = nodes.join(groups, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     return fps.join(labelled, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each group of near duplicates, that of the smallest doc_id. Rows without
+    a doc_id can't stand for a group, and go."""
+    grouped = near_duplicates(docs)
+    stay = grouped.where("doc_id = component_id").select("doc_id").distinct()
+    return docs.join(stay, "doc_id", "left_semi").select(docs.columns)
