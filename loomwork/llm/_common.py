@@ -21,6 +21,25 @@ WORD_TABLE = bytes(
 )
 
 
+class Memo(dict):
+    """Values that are worked out once for each key. Two generations of ``size`` keys are kept, so that common keys
+    stay while memory is bounded."""
+
+    def __init__(self, make: Callable, size: int = 200_000):
+        super().__init__()
+        self.make, self.size, self.old = make, size, {}
+
+    def __missing__(self, key):
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
+        return value
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share (``spark.checkpoint.dir``); a session without one, as in
     tests, gets a temporary folder of its own."""

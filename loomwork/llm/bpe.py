@@ -18,18 +18,23 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import unicodedata
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from loomwork.llm._common import in_arrow, renamed, text_bytes
+from loomwork.llm._common import Memo, in_arrow, renamed, text_bytes
 
-#: White-space separated pieces whose encoding a worker remembers; the memo is emptied when full.
-MEMO = 400_000
+#: Answers on pairs of state and label that a worker keeps.
+KNOWN = 400_000
+#: What the normalizer takes for white space.
+SPACE = regex.compile(r"\p{White_Space}+")
 
 
 def byte_alphabet() -> list[str]:
@@ -40,76 +45,112 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
 
 
+#: Between a letter and ASCII punctuation or a digit, the apostrophe excepted.
+BOUNDARY = re.compile(rb"(?:(?<=[a-z])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))(?=[!-&(-@\[-`{-~])")
+
+
+def pieces(text: bytes) -> list[bytes]:
+    """A text cut where no token and no composition of characters can reach across: at ASCII white space and, with A-Z
+    lower-cased as the vocabulary's normalizer does, at BOUNDARY. Texts that may hold a special token's name or a
+    combining mark are cut at white space alone."""
+    if b"<|" in text or b"\xcc" in text or b"\xcd" in text:
+        return text.split()
+    return BOUNDARY.sub(b" ", text.lower()).split()
+
+
 class MergeAutomaton:
     """The automaton. The state that label ``a`` enters is named ``a``; gadgets are kept as dated cuts."""
 
     def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]], end: str):
         self.end = end
         self.ids = vocab
-        self.born: dict[str, int] = {}  # label -> gadget that added its arcs, 0 for base symbols
-        self.left: dict[str, str] = {}  # label -> label whose arcs its arcs run beside
-        self.right: dict[str, str] = {}  # label -> label whose state its state was copied from
-        self.cut: dict[tuple[str, str], int] = {}  # (state, arc taken away) -> gadget
-        self.known: dict[tuple[str, str], bool] = {}
         made = {a + b for a, b in merges}
+        forever = len(merges) + 1
+        #: label -> the labels beside whose arcs its own run, itself first, and until which gadget each could be cut
+        self.beside: dict[str, tuple[tuple[str, int], ...]] = {}
+        #: state -> the cuts (arc taken away -> gadget) of the states it is copied from, and which gadgets count
+        self.copied: dict[str, tuple[tuple[dict[str, int], int], ...]] = {}
         self.born = {label: 0 for label in vocab if label not in made}
+        for label in self.born:
+            self.beside[label], self.copied[label] = ((label, forever),), (({}, forever),)
         for when, (a, b) in enumerate(merges, 1):
             if a in self.born and b in self.born and a + b not in self.born and self.arc(a, b):
-                self._gadget(a, b, when)
-        self.known.clear()
-        self.longest = max(map(len, self.born), default=1)
-
-    def _gadget(self, a: str, b: str, when: int) -> None:
+                self._gadget(a, b, when, forever)
+        #: up to three characters -> lengths of the labels within a word that begin so, longest first
+        self.lengths: dict[str, tuple[int, ...]] = {}
+        inner = [label for label in self.born if not end or not label.endswith(end)]
+        found: dict[str, set[int]] = defaultdict(set)
+        for label in inner:
+            found[label[:3]].add(len(label))
+        for head in list(found):
+            for k in range(1, len(head)):
+                found[head] |= {k} & found.get(head[:k], set())
+        self.lengths = {head: tuple(sorted(each, reverse=True)) for head, each in found.items()}
+        self.known: dict[str, dict[str, bool]] = defaultdict(dict)
+        self.asked = 0
+
+    def _gadget(self, a: str, b: str, when: int, forever: int) -> None:
         c = a + b
-        self.cut[a, b] = self.born[c] = when
-        self.left[c], self.right[c] = a, b
+        self.copied[a][0][0][b] = self.born[c] = when
+        self.beside[c] = ((c, forever), (a, when), *self.beside[a][1:])
+        # its state is that of b as it was before this gadget
+        self.copied[c] = (({}, forever), (self.copied[b][0][0], when - 1), *self.copied[b][1:])
 
     def arc(self, state: str, label: str) -> bool:
-        """Whether the label may follow in the state: no cut of the state, or of those it was copied from before
-        the copy was made, takes away the label, or one that its arcs ran beside when they were added."""
-        cut, born = self.cut, self.born
-        copied = float("inf")
-        while True:
-            added, beside = float("inf"), label
-            while True:
-                when = cut.get((state, beside))
-                if when is not None and when < copied and when <= added:
-                    return False
-                added = born[beside]
-                if not added:
-                    break
-                beside = self.left[beside]
-            copied = born[state]
-            if not copied:
-                return True
-            state = self.right[state]
+        """Whether the label may follow in the state: no cut of the state, or of those it was copied from before the
+        copy was made, takes away the label, or one that its arcs ran beside when they were added."""
+        beside = self.beside[label]
+        for cuts, copied in self.copied[state]:
+            if cuts:
+                for arc, added in beside:
+                    when = cuts.get(arc)
+                    if when is not None and when <= copied and when <= added:
+                        return False
+        return True
 
     def follows(self, state: str, label: str) -> bool:
-        """``arc`` with the answers kept."""
-        known = self.known
-        found = known.get((state, label))
-        if found is None:
-            if len(known) >= MEMO:
-                known.clear()
-            found = known[state, label] = self.arc(state, label)
+        """``arc``, with the answer kept for ``walk``."""
+        if self.asked >= KNOWN:
+            self.known.clear()
+            self.asked = 0
+        self.asked += 1
+        found = self.known[state][label] = not state or self.arc(state, label)
         return found
 
     def walk(self, word: str) -> list[str]:
-        """The labels on the accepted path that spells the word."""
-        born, end, longest, n = self.born, self.end, self.longest, len(word)
-        last = [""] * (n + 1)
-        for i in range(1, n + 1):
-            tail = end if i == n else ""
-            for j in range(max(0, i - longest), i):
-                label = word[j:i] + tail
-                if label in born and (not j or last[j] and self.follows(last[j], label)):
-                    last[i] = label
-                    break
-        out, i = [], n
-        while i:
-            out.append(last[i])
-            i -= len(last[i]) - (len(end) if i == n else 0)
-        return out[::-1]
+        """The labels on the accepted path that spells the word: at each place the longest label that may follow,
+        with a step back where a path ends. Places that lead nowhere are left once, so time is in proportion."""
+        born, end, lengths, n = self.born, self.end, self.lengths, len(word)
+        path: list[str] = []
+        dead: set[int] = set()
+        at, last, limit = 0, "", n + 1
+        while at < n:
+            known = self.known[last]
+            label = word[at:] + end
+            if n - at < limit and label in born:
+                ok = known.get(label)
+                if ok or ok is None and self.follows(last, label):
+                    path.append(label)
+                    return path
+            head = word[at : at + 3]
+            while head not in lengths:
+                head = head[:-1]
+            for length in lengths[head]:
+                till = at + length
+                if length < limit and till < n and till not in dead:
+                    label = word[at:till]
+                    if label in born:
+                        ok = known.get(label)
+                        if ok or ok is None and self.follows(last, label):
+                            path.append(label)
+                            at, last, limit = till, label, n + 1
+                            break
+            else:  # nothing follows here: take back the last label and try a shorter one
+                dead.add(at)
+                limit = len(path.pop())
+                at -= limit
+                last = path[-1] if path else ""
+        return path
 
 
 class Codec:
@@ -128,26 +169,25 @@ class Codec:
         steps = spec["pre_tokenizer"]["pretokenizers"]
         self.words = regex.compile(next(s["pattern"]["Regex"] for s in steps if s["type"] == "Split"))
         self.alphabet = byte_alphabet()
-        self.memo: dict[bytes, list[int]] = {}
-        self.spelled: dict[str, list[int]] = {}
+        self.memo = Memo(self.encode_piece)
+
+    def _word(self, word: str) -> list[int]:
+        spelled = word if word.isascii() and word.isprintable() else "".join([self.alphabet[b] for b in word.encode()])
+        return [self.automaton.ids[label] for label in self.automaton.walk(spelled)]
 
     def _plain(self, text: str) -> Iterator[int]:
         if text.isascii():
             text = text.lower()
         else:  # by character, so that a final sigma is like any other
             text = "".join(map(str.lower, unicodedata.normalize("NFC", text)))
-        for part in regex.split(r"\p{White_Space}+", text):
+        for part in SPACE.split(text):
             for word in self.words.findall(part):
-                ids = self.spelled.get(word)
-                if ids is None:
-                    if len(self.spelled) >= MEMO:
-                        self.spelled.clear()
-                    labels = self.automaton.walk("".join([self.alphabet[b] for b in word.encode()]))
-                    ids = self.spelled[word] = [self.automaton.ids[label] for label in labels]
-                yield from ids
-
-    def _piece(self, piece: bytes) -> list[int]:
+                yield from self._word(word)
+
+    def encode_piece(self, piece: bytes) -> list[int]:
         text, out, at = piece.decode("utf-8", "replace"), [], 0
+        if text.isalpha() and text.isascii():
+            return self._word(text.lower())
         for m in self.at_special.finditer(text) if self.at_special else ():
             out += self._plain(text[at : m.start()])
             out.append(self.special[m[0]])
@@ -156,17 +196,9 @@ class Codec:
         return out
 
     def encode(self, text: bytes) -> list[list[int]]:
-        """The ids of each piece between ASCII white space; no token and no composition crosses it."""
+        """The ids of each piece of the text."""
         memo = self.memo
-        out = []
-        for piece in text.split():
-            ids = memo.get(piece)
-            if ids is None:
-                if len(memo) >= MEMO:
-                    memo.clear()
-                ids = memo[piece] = self._piece(piece)
-            out.append(ids)
-        return out
+        return [memo[piece] for piece in pieces(text)]
 
     def decode(self, ids: list[int]) -> str:
         """The arcs' labels; the file has no decoder, so one space stands between them."""
@@ -212,27 +244,23 @@ def round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(tokenizer)
-        spelled: dict[tuple[int, ...], tuple[str, str]] = {}
+
+        def said(piece: bytes) -> tuple[int, str, str]:
+            """A piece's number of ids, its ids and its labels as text."""
+            found = c.encode_piece(piece)
+            return len(found), " ".join(map(str, found)), c.decode(found)
+
+        memo = Memo(said)
         for batch in batches:
             n, ids_sha, text_sha, all_ids = [], [], [], []
             for text in text_bytes(batch["text"]):
-                total, numbers, labels = 0, [], []
-                pieces = [piece for piece in c.encode(text) if piece]
+                spoken = [x for p in pieces(text) if (x := memo[p])[0]]
+                numbers = " ".join([x[1] for x in spoken])
+                n.append(sum([x[0] for x in spoken]))
+                ids_sha.append(hashlib.sha256(numbers.encode()).hexdigest())
+                text_sha.append(hashlib.sha256(" ".join([x[2] for x in spoken]).encode()).hexdigest())
                 if ids:
-                    all_ids.append([i for piece in pieces for i in piece])
-                for piece in pieces:
-                    key = tuple(piece)
-                    said = spelled.get(key)
-                    if said is None:
-                        if len(spelled) >= MEMO:
-                            spelled.clear()
-                        said = spelled[key] = (" ".join(map(str, piece)), c.decode(piece))
-                    total += len(piece)
-                    numbers.append(said[0])
-                    labels.append(said[1])
-                n.append(total)
-                ids_sha.append(hashlib.sha256(" ".join(numbers).encode()).hexdigest())
-                text_sha.append(hashlib.sha256(" ".join(labels).encode()).hexdigest())
+                    all_ids.append(np.array(numbers.split(), np.int32))
             cols = [batch["doc_id"], pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if ids:

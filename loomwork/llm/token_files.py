@@ -12,6 +12,7 @@ doc_id keep no particular order among themselves. An empty input gives a table w
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -22,6 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomwork.llm import bpe
 from loomwork.llm._common import in_arrow, renamed, text_bytes, written
 
 #: A segment is closed at so many ids or documents; a longer document makes a longer segment of its own.
@@ -31,7 +33,9 @@ SEGMENT_DOCS = 1 << 12
 STRIDE = 512
 HEAD = struct.Struct("<4sBBHQQQ")  # magic, bytes an id, low bits, unused, boundaries, ids, bytes of the high bits
 MAGIC = b"TIDS"
-MEMO = 400_000
+MEMO = 200_000
+#: Documents that are handed to the library together.
+STEP = 200
 
 
 class EliasFano:
@@ -96,6 +100,7 @@ def write(docs: DataFrame, tokenizer: str, end_id: int = 2, id_col: str = "doc_i
     kind = docs.schema[id_col].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the work
         from tokenizers import Tokenizer
 
         library = Tokenizer.from_file(tokenizer)
@@ -104,6 +109,7 @@ def write(docs: DataFrame, tokenizer: str, end_id: int = 2, id_col: str = "doc_i
         width = 2 if max(library.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
         end = np.array([end_id], f"<u{width}").tobytes()
         memo: dict[bytes, bytes] = {}
+        old: dict[bytes, bytes] = {}  # the generation before; common pieces move on from it
         part, segment, start = TaskContext.get().partitionId(), 0, 0
         keys: list = []
         lengths: list[int] = []
@@ -117,13 +123,19 @@ def write(docs: DataFrame, tokenizer: str, end_id: int = 2, id_col: str = "doc_i
                 ["part", "segment", "start", "n_ids", "doc_ids", "image"],
             )
 
-        for batch in batches:
+        for batch in (b.slice(at, STEP) for b in batches for at in range(0, b.num_rows, STEP)):
             keyed = batch["doc_id"].type
-            # the pieces between ASCII white space, which no token crosses; each new one goes to the library once
-            split = [text.split() for text in text_bytes(batch["text"])]
+            # each new piece goes to the library once
+            split = [bpe.pieces(text) for text in text_bytes(batch["text"])]
             if len(memo) > MEMO:
-                memo.clear()
-            new = list({p for pieces in split for p in pieces if p not in memo})
+                old, memo = memo, {}
+            new = []
+            for piece in {p for found in split for p in found}:
+                if piece not in memo:
+                    if piece in old:
+                        memo[piece] = old[piece]
+                    else:
+                        new.append(piece)
             for piece, e in zip(new, library.encode_batch_fast([p.decode("utf-8", "replace") for p in new], add_special_tokens=False), strict=True):
                 memo[piece] = np.array(e.ids, f"<u{width}").tobytes()
             for key, pieces in zip(batch["doc_id"].to_pylist(), split, strict=True):
