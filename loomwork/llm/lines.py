@@ -8,7 +8,7 @@ Lines of equal token sets form one class, which its earliest line stands for. To
 hashes are counted in a table of fixed size, and a token's code is its bucket's rank by that count followed by the
 rest of its 64-bit hash, so codes sort from rare to frequent and are as distinct as the hashes. Two sets that are
 similar enough share a token among the first few codes (the prefix). Classes meet on those, and length and
-positional filters drop pairs that can't reach the threshold. Each class first meets the earliest class of each
+positional filters, and a count of marks that only one set has, drop pairs that can't reach the threshold. Each class first meets the earliest class of each
 of its prefix tokens, which settles nearly all members of a large group in proportion to its size; only classes
 not settled by this meet the others. What remains is verified on the whole token sets.
 
@@ -25,7 +25,7 @@ from loomwork.llm._common import renamed, written
 
 THRESHOLD = 0.8
 #: Buckets of the table of token counts (a power of two).
-BUCKET_BITS = 14
+BUCKET_BITS = 16
 #: Bits of the maps that rows are screened by before they are dealt out.
 MAP_BITS = 20
 
@@ -39,15 +39,13 @@ def _split_lines(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
 
-def _hashes() -> Column:
-    """The distinct 64-bit hashes of a line's tokens."""
-    words = F.filter(F.split("line", r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
+def _words(column: str) -> Column:
+    return F.array_remove(F.split(column, r"[\x20\x09-\x0D]+"), "")
 
 
 def _ranks(docs: DataFrame) -> Column:
     """The rank of each bucket of token hashes, from rare to frequent, as a constant array."""
-    words = docs.select(F.explode(F.split("text", r"[\x20\x09-\x0D]+")).alias("w"))
+    words = docs.select(F.explode(_words("text")).alias("w"))
     counts = dict(words.groupBy(F.xxhash64("w").bitwiseAND((1 << BUCKET_BITS) - 1).alias("b")).agg(F.count("*")).collect())
     order = sorted(range(1 << BUCKET_BITS), key=lambda b: (counts.get(b, 0), b))
     ranks = [0] * len(order)
@@ -58,7 +56,8 @@ def _ranks(docs: DataFrame) -> Column:
 
 def _codes(ranks: Column) -> Column:
     code = lambda h: F.shiftleft(F.get(ranks, h.bitwiseAND((1 << BUCKET_BITS) - 1).cast("int")), 64 - BUCKET_BITS).bitwiseOR(F.shiftrightunsigned(h, BUCKET_BITS))
-    return F.array_sort(F.transform(_hashes(), code))
+    hashes = F.array_distinct(F.transform(_words("line"), lambda w: F.xxhash64(w)))
+    return F.sort_array(F.transform(hashes, code))
 
 
 def _at_least(size: Column, threshold: float) -> Column:
@@ -87,69 +86,78 @@ def _position(prefix: str = "") -> Column:
     return F.struct(F.col(prefix + "doc_id"), F.col(prefix + "line_no"))
 
 
-def line_classes(docs: DataFrame, ranks: Column, threshold: float = THRESHOLD) -> DataFrame:
-    """(k1, k2, first, size, prefix, n): the classes of equal token sets, by two digests of the set, with their
-    earliest line, their prefix and how many lines they have."""
+def keyed_lines(docs: DataFrame, ranks: Column, threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, line_no, k1, k2, size, marks, prefix) of each line with tokens: two digests of its token set, a map of
+    64 marks that each token sets one of, and the prefix."""
     tokens = _split_lines(docs).select("doc_id", "line_no", _codes(ranks).alias("codes")).where("size(codes) > 0")
     size = F.size("codes")
     prefix = F.slice("codes", F.lit(1), (size - F.ceil(size * threshold - 1e-9) + 1).cast("int"))
-    keyed = tokens.select(F.xxhash64("codes").alias("k1"), F.xxhash64(F.lit(7), "codes").alias("k2"), _position().alias("at"), size.alias("size"), prefix.alias("prefix"))
-    return keyed.groupBy("k1", "k2").agg(F.min("at").alias("first"), F.any_value("size").alias("size"), F.any_value("prefix").alias("prefix"), F.count("*").alias("n"))
+    one = F.lit(1).cast("long")
+    marks = F.aggregate("codes", F.lit(0).cast("long"), lambda m, h: m.bitwiseOR(F.call_function("shiftleft", one, h.bitwiseAND(63).cast("int"))))
+    return tokens.select("doc_id", "line_no", F.xxhash64("codes").alias("k1"), F.xxhash64(F.lit(7), "codes").alias("k2"), size.alias("size"), marks.alias("marks"), prefix.alias("prefix"))
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, ranks: Column, threshold: float) -> DataFrame:
-    """The (first, other) pairs of line positions whose whole token sets are similar enough."""
-    pairs = written(pairs.distinct(), "line-pairs")
-    ends = pairs.select(F.explode(F.array("first", "other")).alias("at"))
-    wanted = _in_map(_mapped(ends, F.col("at")), _position())
-    sets = _split_lines(docs).where(wanted).select(_position().alias("at"), _codes(ranks).alias("codes")).dropDuplicates(["at"])
-    # both joins read one exchange of the sets
-    left = sets.select(F.col("at").alias("first"), F.col("codes").alias("x"))
-    right = sets.select(F.col("at").alias("other"), F.col("codes").alias("y"))
-    both = F.size(F.array_intersect("x", "y"))
-    return pairs.join(left, "first").join(right, "other").where(both >= (F.size("x") + F.size("y") - both) * threshold - F.lit(1e-9)).select("first", "other")
+def line_classes(keyed: DataFrame) -> DataFrame:
+    """(id, first, k1, k2, size, marks, prefix, n): the classes of equal token sets, numbered in the order of their
+    earliest lines."""
+    classes = keyed.groupBy("k1", "k2").agg(
+        F.min(_position()).alias("first"), F.any_value("size").alias("size"), F.any_value("marks").alias("marks"), F.any_value("prefix").alias("prefix"), F.count("*").alias("n")
+    )
+    return classes.repartitionByRange("first").sortWithinPartitions("first").withColumn("id", F.monotonically_increasing_id())
+
 
+def _entries(classes: DataFrame) -> DataFrame:
+    """(token, id, at, marks): each class under the tokens of its prefix; ``at`` packs its size and the place."""
+    each = classes.select("id", "size", "marks", F.posexplode("prefix").alias("pos", "token"))
+    return each.select("token", "id", F.shiftleft(F.col("size").cast("long"), 32).bitwiseOR(F.col("pos").cast("long")).alias("at"), "marks")
 
-def _filters(threshold: float) -> Column:
-    """Length and positional filters on a class (size, pos) and an earlier one (size2, pos2)."""
-    small, large = F.least("size", "size2"), F.greatest("size", "size2")
-    reach = F.least("pos", "pos2") + 1 + F.least(F.col("size") - F.col("pos") - 1, F.col("size2") - F.col("pos2") - 1)
-    return (small >= large * threshold - F.lit(1e-9)) & (reach >= _at_least(F.col("size") + F.col("size2"), threshold))
+
+def _may_match(threshold: float) -> Column:
+    """Length, positional and mark filters on a class (at, marks) and an earlier one (at2, marks2)."""
+    size, size2 = (F.shiftright(c, 32) for c in ("at", "at2"))
+    pos, pos2 = (F.col(c).bitwiseAND((1 << 32) - 1) for c in ("at", "at2"))
+    least = _at_least(size + size2, threshold)
+    reach = F.least(pos, pos2) + 1 + F.least(size - pos - 1, size2 - pos2 - 1)
+    # a mark that only one of the sets has stands for a token that only it has
+    apart = F.bit_count(F.col("marks").bitwiseXOR(F.col("marks2")))
+    return (F.least(size, size2) >= F.greatest(size, size2) * threshold - F.lit(1e-9)) & (reach >= least) & (apart <= size + size2 - 2 * least)
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, ranks: Column, threshold: float) -> DataFrame:
+    """The ids of pairs (id, other) whose whole token sets are similar enough, each once."""
+    pairs = written(pairs.distinct(), "line-pairs")
+    needed = pairs.select(F.explode(F.array("id", "other")).alias("id")).distinct()
+    places = classes.select("id", "first").join(needed, "id")
+    wanted = _in_map(_mapped(places, F.col("first")), _position())
+    sets = _split_lines(docs).where(wanted).select(_position().alias("first"), _codes(ranks).alias("codes")).dropDuplicates(["first"])
+    sets = places.join(sets, "first")
+    both = F.size(F.array_intersect("x", "y"))
+    joined = pairs.join(sets.select("id", F.col("codes").alias("x")), "id").join(sets.select(F.col("id").alias("other"), F.col("codes").alias("y")), "other")
+    return joined.where(both >= (F.size("x") + F.size("y") - both) * threshold - F.lit(1e-9)).select("id").distinct()
 
 
 def later_matches(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, line_no) of the lines of (doc_id, text) to be removed."""
     docs = docs.where("doc_id is not null")
     ranks = _ranks(docs)
-    classes = written(line_classes(docs, ranks, threshold), "line-classes")
-
-    entries = classes.select(F.col("first"), "size", F.posexplode("prefix").alias("pos", "token"))
-    earliest = F.min(F.struct("first", "size", "pos")).alias("earliest")
-    shared = entries.groupBy("token").agg(F.count("*").alias("n"), earliest).where("n > 1")
-    entries = written(entries.join(shared, "token"), "line-prefixes")
-
-    met = entries.select("first", "size", "pos", F.col("earliest.first").alias("other"), F.col("earliest.size").alias("size2"), F.col("earliest.pos").alias("pos2"))
-    met = met.where(F.col("other") < F.col("first")).where(_filters(threshold)).select("first", "other")
-    settled = written(_verified(met, docs, ranks, threshold).select("first").distinct(), "lines-settled")
-
-    # the earliest class of a token has been met already; a pair of two members has n > 2
-    rest = entries.where("n > 2")
-    open_ = rest.join(settled, "first", "left_anti").select("token", "first", "size", "pos")
-    others = rest.where(F.col("first") != F.col("earliest.first")).select("token", F.col("first").alias("other"), F.col("size").alias("size2"), F.col("pos").alias("pos2"))
-    more = open_.join(others, "token").where(F.col("other") < F.col("first")).where(_filters(threshold)).select("first", "other")
-    settled = settled.unionByName(_verified(more, docs, ranks, threshold).select("first")).distinct()
-
-    # the earliest line of a class goes if it is settled; the others always do
-    gone = settled.select(F.col("first.doc_id").alias("doc_id"), F.col("first.line_no").alias("line_no"))
-    many = classes.where("n > 1").select("k1", "k2", "first")
-    return gone.unionByName(_repeated(docs, ranks, many)).distinct()
+    keyed = written(keyed_lines(docs, ranks, threshold), "lines")
+    classes = written(line_classes(keyed), "line-classes")
 
+    entries = _entries(classes)
+    earliest = entries.groupBy("token").agg(F.min("id").alias("other"), F.min_by("at", "id").alias("at2"), F.min_by("marks", "id").alias("marks2"), F.count("*").alias("n")).where("n > 1")
+    met = entries.join(earliest, "token").where("other < id").where(_may_match(threshold)).select("id", "other")
+    settled = written(_verified(met, classes, docs, ranks, threshold), "lines-settled")
 
-def _repeated(docs: DataFrame, ranks: Column, many: DataFrame) -> DataFrame:
-    """The lines of a class after its earliest one."""
-    lines = _split_lines(docs).select("doc_id", "line_no", _codes(ranks).alias("codes")).where("size(codes) > 0")
-    keyed = lines.select("doc_id", "line_no", F.xxhash64("codes").alias("k1"), F.xxhash64(F.lit(7), "codes").alias("k2"))
-    return keyed.join(many, ["k1", "k2"]).where(_position() > F.col("first")).select("doc_id", "line_no")
+    open_ = _entries(classes.join(settled, "id", "left_anti"))
+    others = entries.select("token", F.col("id").alias("other"), F.col("at").alias("at2"), F.col("marks").alias("marks2"))
+    more = open_.join(others, "token").where("other < id").where(_may_match(threshold)).select("id", "other")
+    settled = settled.unionByName(_verified(more, classes, docs, ranks, threshold)).distinct()
+
+    # the earliest line of a class goes if the class is settled; its others always do
+    gone = classes.join(settled, "id").select("first.doc_id", "first.line_no")
+    many = classes.where("n > 1").select("k1", "k2", "first")
+    later = keyed.select("doc_id", "line_no", "k1", "k2").join(many, ["k1", "k2"]).where(_position() > F.col("first"))
+    return gone.unionByName(later.select("doc_id", "line_no")).distinct()
 
 
 def without_lines(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
