@@ -170,6 +170,7 @@ class Codec:
         self.words = regex.compile(next(s["pattern"]["Regex"] for s in steps if s["type"] == "Split"))
         self.alphabet = byte_alphabet()
         self.memo = Memo(self.encode_piece)
+        self.spoken = Memo(self.speak)
 
     def _word(self, word: str) -> list[int]:
         spelled = word if word.isascii() and word.isprintable() else "".join([self.alphabet[b] for b in word.encode()])
@@ -195,6 +196,11 @@ class Codec:
         out += self._plain(text[at:])
         return out
 
+    def speak(self, piece: bytes) -> tuple[int, str, str]:
+        """A piece's number of ids, its ids and its labels as text."""
+        ids = self.encode_piece(piece)
+        return len(ids), " ".join(map(str, ids)), self.decode(ids)
+
     def encode(self, text: bytes) -> list[list[int]]:
         """The ids of each piece of the text."""
         memo = self.memo
@@ -244,13 +250,7 @@ def round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(tokenizer)
-
-        def said(piece: bytes) -> tuple[int, str, str]:
-            """A piece's number of ids, its ids and its labels as text."""
-            found = c.encode_piece(piece)
-            return len(found), " ".join(map(str, found)), c.decode(found)
-
-        memo = Memo(said)
+        memo = c.spoken
         for batch in batches:
             n, ids_sha, text_sha, all_ids = [], [], [], []
             for text in text_bytes(batch["text"]):

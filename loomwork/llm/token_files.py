@@ -16,6 +16,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,8 @@ SEGMENT_DOCS = 1 << 12
 STRIDE = 512
 HEAD = struct.Struct("<4sBBHQQQ")  # magic, bytes an id, low bits, unused, boundaries, ids, bytes of the high bits
 MAGIC = b"TIDS"
-MEMO = 200_000
+#: Pieces of a generation that a worker remembers.
+MEMO = 400_000
 #: Documents that are handed to the library together.
 STEP = 200
 
@@ -94,22 +96,51 @@ def opened(blob: bytes) -> tuple[EliasFano, np.ndarray]:
     return ends, np.frombuffer(blob, f"<u{width}", size, at)
 
 
+class _Encoder:
+    """The library with the ids of the pieces it has encoded, in two generations, so that memory is bounded."""
+
+    def __init__(self, tokenizer: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the work
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_file(tokenizer)
+        self.library.no_truncation()
+        self.library.no_padding()
+        self.new: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def learned(self, texts: list[list[bytes]], width: int) -> dict[bytes, bytes]:
+        """The ids of all pieces of the texts; each new piece goes to the library once."""
+        if len(self.new) > MEMO:
+            self.old, self.new = self.new, {}
+        new, old, unknown = self.new, self.old, []
+        for piece in {p for pieces in texts for p in pieces}:
+            if piece not in new:
+                if piece in old:
+                    new[piece] = old[piece]
+                else:
+                    unknown.append(piece)
+        found = self.library.encode_batch_fast([p.decode("utf-8", "replace") for p in unknown], add_special_tokens=False)
+        for piece, e in zip(unknown, found, strict=True):
+            new[piece] = np.array(e.ids, f"<u{width}").tobytes()
+        return new
+
+
+@lru_cache(maxsize=4)
+def _encoder(tokenizer: str, end_id: int) -> _Encoder:
+    """One per Python worker and file, kept from task to task."""
+    return _Encoder(tokenizer)
+
+
 def write(docs: DataFrame, tokenizer: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write the token-id table of ``docs`` to the shared folder and return it as read back: ``part``, ``segment``,
     ``start`` (ids of the part before the segment), ``n_ids``, ``doc_ids`` and ``image``."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the work
-        from tokenizers import Tokenizer
-
-        library = Tokenizer.from_file(tokenizer)
-        library.no_truncation()
-        library.no_padding()
-        width = 2 if max(library.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
+        encoder = _encoder(tokenizer, end_id)
+        width = 2 if max(encoder.library.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
         end = np.array([end_id], f"<u{width}").tobytes()
-        memo: dict[bytes, bytes] = {}
-        old: dict[bytes, bytes] = {}  # the generation before; common pieces move on from it
         part, segment, start = TaskContext.get().partitionId(), 0, 0
         keys: list = []
         lengths: list[int] = []
@@ -125,19 +156,8 @@ def write(docs: DataFrame, tokenizer: str, end_id: int = 2, id_col: str = "doc_i
 
         for batch in (b.slice(at, STEP) for b in batches for at in range(0, b.num_rows, STEP)):
             keyed = batch["doc_id"].type
-            # each new piece goes to the library once
             split = [bpe.pieces(text) for text in text_bytes(batch["text"])]
-            if len(memo) > MEMO:
-                old, memo = memo, {}
-            new = []
-            for piece in {p for found in split for p in found}:
-                if piece not in memo:
-                    if piece in old:
-                        memo[piece] = old[piece]
-                    else:
-                        new.append(piece)
-            for piece, e in zip(new, library.encode_batch_fast([p.decode("utf-8", "replace") for p in new], add_special_tokens=False), strict=True):
-                memo[piece] = np.array(e.ids, f"<u{width}").tobytes()
+            memo = encoder.learned(split, width)
             for key, pieces in zip(batch["doc_id"].to_pylist(), split, strict=True):
                 ids = b"".join([memo[p] for p in pieces]) + end
                 if keys and (held + len(ids) // width > SEGMENT_IDS or len(keys) >= SEGMENT_DOCS):
