@@ -25,8 +25,8 @@ from loomwork.llm._common import WORD_TABLE, bounded_batches, in_arrow, renamed,
 WIDTH = 13
 #: Windows that are broadcast at most: about 100 bytes each.
 BROADCAST_WINDOWS = 500_000
-#: Bits of the table that most windows are turned away by.
-FILTER_BITS = 24
+#: Slots for each window in the table that most others are turned away by.
+FILTER_SLOTS = 32
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -49,36 +49,44 @@ class WindowSet:
 
     def __init__(self, windows: list[tuple[tuple[bytes, ...], list[str]]]):
         self.word: dict[bytes, int] = {}
-        self.by_length: dict[int, tuple[np.ndarray, dict[tuple[int, ...], list[str]]]] = {}
+        by_length: dict[int, dict[tuple[int, ...], list[str]]] = {}
         for words, items in windows:
             ids = tuple(self.word.setdefault(w, len(self.word) + 1) for w in words)
-            filter_, known = self.by_length.setdefault(len(ids), (np.zeros(1 << FILTER_BITS, bool), {}))
-            known[ids] = items
-        for length, (filter_, known) in self.by_length.items():
-            filter_[self._slots(np.array(list(known), np.uint64).ravel(), length)[::length]] = True
+            by_length.setdefault(len(ids), {})[ids] = items
+        self.by_length: dict[int, tuple[np.ndarray, dict[tuple[int, ...], list[str]]]] = {}
+        for length, known in by_length.items():
+            bits = (FILTER_SLOTS * len(known)).bit_length()
+            filter_ = np.zeros(1 << bits, bool)
+            ids = np.array(list(known), np.uint64).ravel()
+            filter_[self._slots(ids, np.arange(0, len(ids), length), length, bits)] = True
+            self.by_length[length] = filter_, known
 
     @staticmethod
-    def _slots(ids: np.ndarray, length: int) -> np.ndarray:
-        n = len(ids) - length + 1
-        h = np.zeros(n, np.uint64)
+    def _slots(ids: np.ndarray, at: np.ndarray, length: int, bits: int) -> np.ndarray:
+        """Slots of the windows that start at the given places."""
+        h = np.zeros(len(at), np.uint64)
         for k in range(length):
-            h = h * MIX + ids[k : k + n]
+            h = h * MIX + ids[at + k]
         h ^= h >> np.uint64(29)
-        return (h * MIX) >> np.uint64(64 - FILTER_BITS)
+        return (h * MIX) >> np.uint64(64 - bits)
 
     def hits(self, words: list[bytes]) -> tuple[np.ndarray, set[str]]:
         """Which words a window covers, and the items whose windows occur."""
         hit, items = np.zeros(len(words), bool), set()
         get = self.word.get
         ids = np.fromiter((get(w, 0) for w in words), np.uint64, len(words))
+        strange = np.concatenate(([0], np.cumsum(ids == 0)))  # words that no window has
         for length, (filter_, known) in self.by_length.items():
             if len(ids) < length:
                 continue
-            for i in np.flatnonzero(filter_[self._slots(ids, length)]).tolist():
-                found = known.get(tuple(ids[i : i + length].tolist()))
-                if found:
-                    hit[i : i + length] = True
-                    items.update(found)
+            at = np.flatnonzero(strange[length:] == strange[:-length])
+            if len(at):
+                bits = len(filter_).bit_length() - 1
+                for i in at[filter_[self._slots(ids, at, length, bits)]].tolist():
+                    found = known.get(tuple(ids[i : i + length].tolist()))
+                    if found:
+                        hit[i : i + length] = True
+                        items.update(found)
         return hit, items
 
 
