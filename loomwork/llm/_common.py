@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -56,6 +57,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     # the job's shuffle files are of no more use; the cleaner drops them once the driver has collected its garbage
+    gc.collect()
     spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
@@ -82,6 +84,31 @@ def text_bytes(column: pa.Array) -> Iterator[bytes]:
         yield value.as_py() or b""
 
 
+#: Bits of the maps that rows are screened by before they are dealt out.
+MAP_BITS = 20
+
+
+def numbers(values: list[int]) -> Column:
+    """A constant array, folded into the plan once."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<long>")
+
+
+def mapped(df: DataFrame, key: Column) -> Column:
+    """A constant bit map of ``key`` over the rows of ``df``: fixed in size, it lets every row in that has its key
+    there, and some others."""
+    h = F.xxhash64(key).bitwiseAND((1 << MAP_BITS) - 1)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("h").bitwiseAND(63).cast("int"))
+    words = [0] * (1 << MAP_BITS - 6)
+    for w, b in df.select(h.alias("h")).groupBy(F.shiftright("h", 6).alias("w")).agg(F.bit_or(bit).alias("b")).collect():
+        words[w] = b
+    return numbers(words)
+
+
+def in_map(bit_map: Column, key: Column) -> Column:
+    h = F.xxhash64(key).bitwiseAND((1 << MAP_BITS) - 1)
+    return F.getbit(F.get(bit_map, F.shiftright(h, 6).cast("int")), h.bitwiseAND(63).cast("int")) == 1
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*columns) if columns else df

@@ -21,18 +21,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.llm._common import renamed, written
+from loomwork.llm._common import in_map, mapped, numbers, renamed, written
 
 THRESHOLD = 0.8
 #: Buckets of the table of token counts (a power of two).
 BUCKET_BITS = 16
-#: Bits of the maps that rows are screened by before they are dealt out.
-MAP_BITS = 20
-
-
-def _numbers(values: list[int]) -> Column:
-    """A constant array, folded into the plan once."""
-    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<long>")
 
 
 def _split_lines(docs: DataFrame) -> DataFrame:
@@ -51,7 +44,7 @@ def _ranks(docs: DataFrame) -> Column:
     ranks = [0] * len(order)
     for rank, bucket in enumerate(order):
         ranks[bucket] = rank - (1 << BUCKET_BITS - 1)  # codes are signed
-    return _numbers(ranks)
+    return numbers(ranks)
 
 
 def _codes(ranks: Column) -> Column:
@@ -66,22 +59,6 @@ def _at_least(size: Column, threshold: float) -> Column:
     return F.ceil(size * (threshold / (1 + threshold)) - 1e-9)
 
 
-def _mapped(df: DataFrame, key: Column) -> Column:
-    """A constant bit map of ``key`` over the rows of ``df``: fixed in size, it lets every row in that has its key
-    there, and some others."""
-    h = F.xxhash64(key).bitwiseAND((1 << MAP_BITS) - 1)
-    bits = df.select(h.alias("h")).groupBy((F.shiftright("h", 6)).alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("h").bitwiseAND(63).cast("int"))).alias("bits"))
-    words = [0] * (1 << MAP_BITS - 6)
-    for w, b in bits.collect():
-        words[w] = b
-    return _numbers(words)
-
-
-def _in_map(bit_map: Column, key: Column) -> Column:
-    h = F.xxhash64(key).bitwiseAND((1 << MAP_BITS) - 1)
-    return F.getbit(F.get(bit_map, F.shiftright(h, 6).cast("int")), h.bitwiseAND(63).cast("int")) == 1
-
-
 def _position(prefix: str = "") -> Column:
     return F.struct(F.col(prefix + "doc_id"), F.col(prefix + "line_no"))
 
@@ -128,7 +105,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, ranks: Colu
     pairs = written(pairs.distinct(), "line-pairs")
     needed = pairs.select(F.explode(F.array("id", "other")).alias("id")).distinct()
     places = classes.select("id", "first").join(needed, "id")
-    wanted = _in_map(_mapped(places, F.col("first")), _position())
+    wanted = in_map(mapped(places, F.col("first")), _position())
     sets = _split_lines(docs).where(wanted).select(_position().alias("first"), _codes(ranks).alias("codes")).dropDuplicates(["first"])
     sets = places.join(sets, "first")
     both = F.size(F.array_intersect("x", "y"))
@@ -171,7 +148,7 @@ def without_lines(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "
     others = [F.col(f"`{c}`") for c in docs.columns if c not in (text_col, "n_lines", "n_removed")]
 
     # documents that lose nothing are not dealt out
-    touched = F.coalesce(_in_map(_mapped(gone, F.col("doc_id")), F.col(f"`{id_col}`")), F.lit(False))
+    touched = F.coalesce(in_map(mapped(gone, F.col("doc_id")), F.col(f"`{id_col}`")), F.lit(False))
     n_lines = F.coalesce(F.array_size(lines), F.lit(0)).cast("long")
     joined = docs.where(touched).join(listed, F.col(f"`{id_col}`") == F.col("_doc"), "left")
     cut = joined.select(*others, F.when(F.col("_gone").isNull(), F.col(f"`{text_col}`")).otherwise(text).alias(text_col), n_lines.alias("n_lines"), F.coalesce(F.array_size("_gone"), F.lit(0)).cast("long").alias("n_removed"))

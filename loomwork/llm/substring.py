@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.llm._common import in_arrow, renamed, text_bytes, written
+from loomwork.llm._common import in_arrow, in_map, mapped, renamed, text_bytes, written
 
 LENGTH = 50
 BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
@@ -157,7 +157,8 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     classes = written(classes.select("anchor", "reach", F.col("first.doc_id").alias("owner"), "first.at", "first.before", "first.more", "n"), "reach-classes")
 
     shared = classes.where("n > 1").select("anchor", "reach", "owner")
-    later = found.join(shared, ["anchor", "reach"]).where("doc_id > owner").select("doc_id", F.explode("at").alias("at"), "before", "more")
+    screened = found.where(in_map(mapped(shared, F.col("reach")), F.col("reach")))
+    later = screened.join(shared, ["anchor", "reach"]).where("doc_id > owner").select("doc_id", F.explode("at").alias("at"), "before", "more")
     start = F.col("at") - F.col("before")
     whole = later.select("doc_id", start.alias("start"), (start + F.col("more") + length).alias("end"))
 
