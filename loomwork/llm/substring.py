@@ -144,7 +144,9 @@ def _windows(docs: DataFrame, places: DataFrame, length: int) -> DataFrame:
                 ids = batch["doc_id"].take(pa.array(np.full(len(start), i)))
                 yield pa.RecordBatch.from_arrays([ids, pa.array(np.repeat(anchor, n)), pa.array(start - np.repeat(at, n), pa.int32()), pa.array(digest), pa.array(start, pa.int32())], ["doc_id", "anchor", "off", "digest", "start"])
 
-    chosen = docs.join(places, "doc_id").select("doc_id", "text", "places")
+    # most texts need not be dealt out
+    needed = docs.where(in_map(mapped(places, F.col("doc_id")), F.col("doc_id")))
+    chosen = needed.join(places, "doc_id").select("doc_id", "text", "places")
     return in_arrow(chosen, work, f"doc_id {kind}, anchor long, off int, digest long, start int")
 
 
@@ -164,7 +166,7 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     several = classes.groupBy("anchor").agg(F.min("owner").alias("x"), F.max("owner").alias("y")).where("x < y").select("anchor")
     chosen = classes.join(several, "anchor").select(F.col("owner").alias("doc_id"), "anchor", F.explode("at").alias("at"), "before", "more")
-    places = chosen.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "at", "before", "more")).alias("places"))
+    places = written(chosen.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "at", "before", "more")).alias("places")), "places")
     windows = written(_windows(docs, places, length), "windows")
     least = windows.groupBy("anchor", "off", "digest").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("latest")).where("owner < latest").drop("latest")
     part = windows.join(least, ["anchor", "off", "digest"]).where("doc_id > owner").select("doc_id", "start", (F.col("start") + length).alias("end"))
@@ -210,6 +212,9 @@ def _cut(docs: DataFrame, length: int, texts: bool) -> DataFrame:
                 names.append("kept")
             yield pa.RecordBatch.from_arrays([batch["doc_id"], *cols], names)
 
-    spans = repeats(docs, length).distinct().groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    spans = written(repeats(docs, length).distinct().groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
     schema = f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string" + ", kept string" * texts
-    return in_arrow(docs.join(spans, "doc_id", "left").select("doc_id", "text", "spans"), work, schema)
+    touched = F.coalesce(in_map(mapped(spans, F.col("doc_id")), F.col("doc_id")), F.lit(False))
+    with_spans = docs.where(touched).join(spans, "doc_id", "left").select("doc_id", "text", "spans")
+    without = docs.where(~touched).select("doc_id", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
+    return in_arrow(with_spans, work, schema).unionByName(in_arrow(without, work, schema))
