@@ -8,9 +8,10 @@ Lines of equal token sets form one class, which its earliest line stands for. To
 hashes are counted in a table of fixed size, and a token's code is its bucket's rank by that count followed by the
 rest of its 64-bit hash, so codes sort from rare to frequent and are as distinct as the hashes. Two sets that are
 similar enough share a token among the first few codes (the prefix). Classes meet on those, and length and
-positional filters, and a count of marks that only one set has, drop pairs that can't reach the threshold. Each class first meets the earliest class of each
-of its prefix tokens, which settles nearly all members of a large group in proportion to its size; only classes
-not settled by this meet the others. What remains is verified on the whole token sets.
+positional filters, a count of marks that only one set has, and the number of prefix tokens that a pair shares drop
+pairs that can't reach the threshold. Each class first meets the earliest class of each of its prefix tokens, which
+settles nearly all members of a large group in proportion to its size; only classes not settled by this meet the
+others. What remains is verified on the whole token sets.
 
 Nulls: a null text stays null and has no lines. Rows with a null doc_id take no part and are returned as they are.
 Rows with one doc_id are taken for one document, repeated. Repeated rows come back as often as they went in.
@@ -66,7 +67,8 @@ def _position(prefix: str = "") -> Column:
 def keyed_lines(docs: DataFrame, ranks: Column, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, line_no, k1, k2, size, marks, prefix) of each line with tokens: two digests of its token set, a map of
     64 marks that each token sets one of, and the prefix."""
-    tokens = _split_lines(docs).select("doc_id", "line_no", _codes(ranks).alias("codes")).where("size(codes) > 0")
+    # a condition on the codes would be pushed below the projection and have them made twice
+    tokens = _split_lines(docs).where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select("doc_id", "line_no", _codes(ranks).alias("codes"))
     size = F.size("codes")
     prefix = F.slice("codes", F.lit(1), (size - F.ceil(size * threshold - 1e-9) + 1).cast("int"))
     one = F.lit(1).cast("long")
@@ -100,17 +102,30 @@ def _may_match(threshold: float) -> Column:
     return (F.least(size, size2) >= F.greatest(size, size2) * threshold - F.lit(1e-9)) & (reach >= least) & (apart <= size + size2 - 2 * least)
 
 
+def _paired(met: DataFrame, threshold: float, share: float = 1.0) -> DataFrame:
+    """The pairs (id, other), each once, whose prefixes share enough tokens. Of two sets, the one whose prefix ends first
+    shares no more than what the prefixes share and what it has beyond its own. ``share`` below 1 asks for less, where
+    pairs have met on some of their tokens only."""
+    sizes = [F.min(F.shiftright(c, 32)).alias(name) for c, name in (("at", "size"), ("at2", "size2"))]
+    pairs = met.groupBy("id", "other").agg(F.count("*").alias("shared"), *sizes)
+    beyond = F.ceil(F.greatest("size", "size2") * threshold - 1e-9) - 1
+    return pairs.where(F.col("shared") >= (_at_least(F.col("size") + F.col("size2"), threshold) - beyond) * share).select("id", "other")
+
+
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, ranks: Column, threshold: float) -> DataFrame:
     """The ids of pairs (id, other) whose whole token sets are similar enough, each once."""
-    pairs = written(pairs.distinct(), "line-pairs")
+    pairs = written(pairs, "line-pairs")
     needed = pairs.select(F.explode(F.array("id", "other")).alias("id")).distinct()
-    places = classes.select("id", "first").join(needed, "id")
-    wanted = in_map(mapped(places, F.col("first")), _position())
-    sets = _split_lines(docs).where(wanted).select(_position().alias("first"), _codes(ranks).alias("codes")).dropDuplicates(["first"])
-    sets = places.join(sets, "first")
+    places = written(classes.select("id", "first").join(needed, "id").select("id", "first.doc_id", "first.line_no"), "line-places")
+    wanted = in_map(mapped(places, _position()), _position())
+    lines = _split_lines(docs).where(wanted)
+    # repeated rows give a line more than once; its shortest way is to keep one of each place
+    sets = places.join(lines, ["doc_id", "line_no"]).groupBy("id").agg(F.any_value("line").alias("line")).select("id", _codes(ranks).alias("codes"))
+    sets = written(sets, "line-sets")
     both = F.size(F.array_intersect("x", "y"))
     joined = pairs.join(sets.select("id", F.col("codes").alias("x")), "id").join(sets.select(F.col("id").alias("other"), F.col("codes").alias("y")), "other")
-    return joined.where(both >= (F.size("x") + F.size("y") - both) * threshold - F.lit(1e-9)).select("id").distinct()
+    alike = joined.select("id", both.alias("both"), (F.size("x") + F.size("y")).alias("all"))
+    return alike.where((F.col("both") >= (F.col("all") - F.col("both")) * threshold - F.lit(1e-9))).select("id").distinct()
 
 
 def later_matches(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -122,13 +137,13 @@ def later_matches(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     entries = _entries(classes)
     earliest = entries.groupBy("token").agg(F.min("id").alias("other"), F.min_by("at", "id").alias("at2"), F.min_by("marks", "id").alias("marks2"), F.count("*").alias("n")).where("n > 1")
-    met = entries.join(earliest, "token").where("other < id").where(_may_match(threshold)).select("id", "other")
-    settled = written(_verified(met, classes, docs, ranks, threshold), "lines-settled")
+    met = entries.join(earliest, "token").where("other < id").where(_may_match(threshold))
+    settled = written(_verified(_paired(met, threshold, 0.5), classes, docs, ranks, threshold), "lines-settled")
 
     open_ = _entries(classes.join(settled, "id", "left_anti"))
     others = entries.select("token", F.col("id").alias("other"), F.col("at").alias("at2"), F.col("marks").alias("marks2"))
-    more = open_.join(others, "token").where("other < id").where(_may_match(threshold)).select("id", "other")
-    settled = settled.unionByName(_verified(more, classes, docs, ranks, threshold)).distinct()
+    more = open_.join(others, "token").where("other < id").where(_may_match(threshold))
+    settled = settled.unionByName(_verified(_paired(more, threshold), classes, docs, ranks, threshold)).distinct()
 
     # the earliest line of a class goes if the class is settled; its others always do
     gone = classes.join(settled, "id").select("first.doc_id", "first.line_no")
