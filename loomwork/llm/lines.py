@@ -13,6 +13,9 @@ pairs that can't reach the threshold. Each class first meets the earliest class
 settles nearly all members of a large group in proportion to its size; only classes not settled by this meet the
 others. What remains is verified on the whole token sets.
 
+A line's place is one number, its document's id times 2^31 plus its number in the document: a long where the ids' span
+allows it, a decimal otherwise. Other than integer ids raise a TypeError.
+
 Nulls: a null text stays null and has no lines. Rows with a null doc_id take no part and are returned as they are.
 Rows with one doc_id are taken for one document, repeated. Repeated rows come back as often as they went in.
 """
@@ -21,16 +24,47 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from loomwork.llm._common import in_map, mapped, numbers, renamed, written
 
 THRESHOLD = 0.8
 #: Buckets of the table of token counts (a power of two).
 BUCKET_BITS = 16
-
-
-def _split_lines(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+#: Lines that a document may have, and the span of ids whose places fit a long.
+LINES = 1 << 31
+SPAN = 1 << 32
+
+
+class Places:
+    """The place of each line as one number that sorts by document and line."""
+
+    def __init__(self, docs: DataFrame):
+        if not isinstance(docs.schema["doc_id"].dataType, IntegralType):
+            raise TypeError("line dedup needs integer ids")
+        self.kind = docs.schema["doc_id"].dataType
+        low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
+        self.low = low or 0
+        self.long = (high or 0) - self.low < SPAN
+
+    def split(self, docs: DataFrame) -> DataFrame:
+        """(place, line) of every line."""
+        each = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+        if self.long:
+            place = F.shiftleft(F.col("doc_id").cast("long") - F.lit(self.low), 31) + F.col("line_no")
+        else:
+            place = (F.col("doc_id").cast("decimal(20,0)") * F.lit(LINES) + F.col("line_no")).cast("decimal(38,0)")
+        return each.select(place.alias("place"), "line")
+
+    def named(self, places: DataFrame) -> DataFrame:
+        """(doc_id, line_no) of a table of places."""
+        if self.long:
+            line_no = F.col("place").bitwiseAND(LINES - 1)
+            doc_id = F.shiftright("place", 31) + F.lit(self.low)
+        else:
+            line_no = F.pmod("place", F.lit(LINES).cast("decimal(38,0)"))
+            doc_id = (F.col("place") - line_no) / F.lit(LINES)
+        return places.select(doc_id.cast(self.kind).alias("doc_id"), line_no.cast("int").alias("line_no"))
 
 
 def _words(column: str) -> Column:
@@ -60,29 +94,26 @@ def _at_least(size: Column, threshold: float) -> Column:
     return F.ceil(size * (threshold / (1 + threshold)) - 1e-9)
 
 
-def _position(prefix: str = "") -> Column:
-    return F.struct(F.col(prefix + "doc_id"), F.col(prefix + "line_no"))
-
-
-def keyed_lines(docs: DataFrame, ranks: Column, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, line_no, k1, k2, size, marks, prefix) of each line with tokens: two digests of its token set, a map of
+def keyed_lines(lines: DataFrame, ranks: Column, threshold: float = THRESHOLD) -> DataFrame:
+    """(place, k1, k2, size, marks, prefix) of each line with tokens: two digests of its token set, a map of
     64 marks that each token sets one of, and the prefix."""
     # a condition on the codes would be pushed below the projection and have them made twice
-    tokens = _split_lines(docs).where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select("doc_id", "line_no", _codes(ranks).alias("codes"))
+    tokens = lines.where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select("place", _codes(ranks).alias("codes"))
     size = F.size("codes")
     prefix = F.slice("codes", F.lit(1), (size - F.ceil(size * threshold - 1e-9) + 1).cast("int"))
     one = F.lit(1).cast("long")
     marks = F.aggregate("codes", F.lit(0).cast("long"), lambda m, h: m.bitwiseOR(F.call_function("shiftleft", one, h.bitwiseAND(63).cast("int"))))
-    return tokens.select("doc_id", "line_no", F.xxhash64("codes").alias("k1"), F.xxhash64(F.lit(7), "codes").alias("k2"), size.alias("size"), marks.alias("marks"), prefix.alias("prefix"))
+    return tokens.select("place", F.xxhash64("codes").alias("k1"), F.xxhash64(F.lit(7), "codes").alias("k2"), size.alias("size"), marks.alias("marks"), prefix.alias("prefix"))
 
 
-def line_classes(keyed: DataFrame) -> DataFrame:
-    """(id, first, k1, k2, size, marks, prefix, n): the classes of equal token sets, numbered in the order of their
-    earliest lines."""
-    classes = keyed.groupBy("k1", "k2").agg(
-        F.min(_position()).alias("first"), F.any_value("size").alias("size"), F.any_value("marks").alias("marks"), F.any_value("prefix").alias("prefix"), F.count("*").alias("n")
-    )
-    return classes.repartitionByRange("first").sortWithinPartitions("first").withColumn("id", F.monotonically_increasing_id())
+def line_classes(keyed: DataFrame, groups: DataFrame, repeated: Column) -> DataFrame:
+    """(id, size, marks, prefix): the classes of equal token sets, named by the place of their earliest lines. Lines
+    that surely have no equal are classes as they are; only the others are dealt out."""
+    firsts = groups.where(repeated).select(F.col("first").alias("place"))
+    some = keyed.where(repeated).select("place", "size", "marks", "prefix").join(firsts, "place").dropDuplicates(["place"])
+    some = written(some, "line-classes")
+    alone = keyed.where(~repeated).select("place", "size", "marks", "prefix")
+    return alone.unionByName(some).withColumnRenamed("place", "id")
 
 
 def _entries(classes: DataFrame) -> DataFrame:
@@ -112,44 +143,45 @@ def _paired(met: DataFrame, threshold: float, share: float = 1.0) -> DataFrame:
     return pairs.where(F.col("shared") >= (_at_least(F.col("size") + F.col("size2"), threshold) - beyond) * share).select("id", "other")
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, ranks: Column, threshold: float) -> DataFrame:
+def _verified(pairs: DataFrame, lines: DataFrame, ranks: Column, threshold: float) -> DataFrame:
     """The ids of pairs (id, other) whose whole token sets are similar enough, each once."""
     pairs = written(pairs, "line-pairs")
-    needed = pairs.select(F.explode(F.array("id", "other")).alias("id")).distinct()
-    places = written(classes.select("id", "first").join(needed, "id").select("id", "first.doc_id", "first.line_no"), "line-places")
-    wanted = in_map(mapped(places, _position()), _position())
-    lines = _split_lines(docs).where(wanted)
-    # repeated rows give a line more than once; its shortest way is to keep one of each place
-    sets = places.join(lines, ["doc_id", "line_no"]).groupBy("id").agg(F.any_value("line").alias("line")).select("id", _codes(ranks).alias("codes"))
-    sets = written(sets, "line-sets")
+    needed = written(pairs.select(F.explode(F.array("id", "other")).alias("place")).distinct(), "line-places")
+    some = lines.where(in_map(mapped(needed, F.col("place")), F.col("place")))
+    # repeated rows give a line more than once
+    sets = needed.join(some, "place").groupBy(F.col("place").alias("id")).agg(F.any_value("line").alias("line"))
+    sets = written(sets.select("id", _codes(ranks).alias("codes")), "line-sets")
     both = F.size(F.array_intersect("x", "y"))
     joined = pairs.join(sets.select("id", F.col("codes").alias("x")), "id").join(sets.select(F.col("id").alias("other"), F.col("codes").alias("y")), "other")
     alike = joined.select("id", both.alias("both"), (F.size("x") + F.size("y")).alias("all"))
-    return alike.where((F.col("both") >= (F.col("all") - F.col("both")) * threshold - F.lit(1e-9))).select("id").distinct()
+    return alike.where(F.col("both") >= (F.col("all") - F.col("both")) * threshold - F.lit(1e-9)).select("id").distinct()
 
 
 def later_matches(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, line_no) of the lines of (doc_id, text) to be removed."""
     docs = docs.where("doc_id is not null")
     ranks = _ranks(docs)
-    keyed = written(keyed_lines(docs, ranks, threshold), "lines")
-    classes = written(line_classes(keyed), "line-classes")
+    places = Places(docs)
+    lines = places.split(docs)
+    keyed = written(keyed_lines(lines, ranks, threshold), "lines")
+    groups = written(keyed.groupBy("k1", "k2").agg(F.min("place").alias("first"), F.count("*").alias("n")), "line-groups")
+    many = groups.where("n > 1")
+    repeated = in_map(mapped(many, F.col("k1")), F.col("k1"))
+    classes = line_classes(keyed, groups, repeated)
 
     entries = _entries(classes)
     earliest = entries.groupBy("token").agg(F.min("id").alias("other"), F.min_by("at", "id").alias("at2"), F.min_by("marks", "id").alias("marks2"), F.count("*").alias("n")).where("n > 1")
     met = entries.join(earliest, "token").where("other < id").where(_may_match(threshold))
-    settled = written(_verified(_paired(met, threshold, 0.5), classes, docs, ranks, threshold), "lines-settled")
+    settled = written(_verified(_paired(met, threshold, 0.5), lines, ranks, threshold), "lines-settled")
 
     open_ = _entries(classes.join(settled, "id", "left_anti"))
     others = entries.select("token", F.col("id").alias("other"), F.col("at").alias("at2"), F.col("marks").alias("marks2"))
     more = open_.join(others, "token").where("other < id").where(_may_match(threshold))
-    settled = settled.unionByName(_verified(_paired(more, threshold), classes, docs, ranks, threshold)).distinct()
+    settled = settled.unionByName(_verified(_paired(more, threshold), lines, ranks, threshold))
 
     # the earliest line of a class goes if the class is settled; its others always do
-    gone = classes.join(settled, "id").select("first.doc_id", "first.line_no")
-    many = classes.where("n > 1").select("k1", "k2", "first")
-    later = keyed.select("doc_id", "line_no", "k1", "k2").join(many, ["k1", "k2"]).where(_position() > F.col("first"))
-    return gone.unionByName(later.select("doc_id", "line_no")).distinct()
+    later = keyed.where(repeated).select("place", "k1", "k2").join(many.select("k1", "k2", "first"), ["k1", "k2"]).where("place > first")
+    return places.named(settled.select(F.col("id").alias("place")).unionByName(later.select("place")).distinct())
 
 
 def without_lines(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
