@@ -22,6 +22,9 @@ Rows with one doc_id are taken for one document, repeated. Repeated rows come ba
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
@@ -68,12 +71,16 @@ class Places:
 
 
 def _words(column: str) -> Column:
-    return F.array_remove(F.split(column, r"[\x20\x09-\x0D]+"), "")
+    # most lines have spaces only, and a split at one plain character needs no pattern
+    others = "\t\n\x0b\f\r"
+    found = reduce(or_, [F.contains(F.col(column), F.lit(c)) for c in others])
+    spaced = F.when(found, F.translate(column, others, " " * len(others))).otherwise(F.col(column))
+    return F.array_remove(F.split(spaced, " "), "")
 
 
-def _ranks(docs: DataFrame) -> Column:
+def _ranks(lines: DataFrame) -> Column:
     """The rank of each bucket of token hashes, from rare to frequent, as a constant array."""
-    words = docs.select(F.explode(_words("text")).alias("w"))
+    words = lines.select(F.explode(_words("line")).alias("w"))
     counts = dict(words.groupBy(F.xxhash64("w").bitwiseAND((1 << BUCKET_BITS) - 1).alias("b")).agg(F.count("*")).collect())
     order = sorted(range(1 << BUCKET_BITS), key=lambda b: (counts.get(b, 0), b))
     ranks = [0] * len(order)
@@ -160,9 +167,9 @@ def _verified(pairs: DataFrame, lines: DataFrame, ranks: Column, threshold: floa
 def later_matches(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, line_no) of the lines of (doc_id, text) to be removed."""
     docs = docs.where("doc_id is not null")
-    ranks = _ranks(docs)
     places = Places(docs)
     lines = places.split(docs)
+    ranks = _ranks(lines)
     keyed = written(keyed_lines(lines, ranks, threshold), "lines")
     groups = written(keyed.groupBy("k1", "k2").agg(F.min("place").alias("first"), F.count("*").alias("n")), "line-groups")
     many = groups.where("n > 1")
@@ -170,7 +177,7 @@ def later_matches(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     classes = line_classes(keyed, groups, repeated)
 
     entries = _entries(classes)
-    earliest = entries.groupBy("token").agg(F.min("id").alias("other"), F.min_by("at", "id").alias("at2"), F.min_by("marks", "id").alias("marks2"), F.count("*").alias("n")).where("n > 1")
+    earliest = entries.groupBy("token").agg(F.min("id").alias("other"), F.min_by("at", "id").alias("at2"), F.min_by("marks", "id").alias("marks2"))
     met = entries.join(earliest, "token").where("other < id").where(_may_match(threshold))
     settled = written(_verified(_paired(met, threshold, 0.5), lines, ranks, threshold), "lines-settled")
 

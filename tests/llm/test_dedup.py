@@ -102,7 +102,9 @@ def cut_lines(rows, share=0.8):
     return {(k, t): None if t is None else "\n".join(x for i, x in enumerate(t.split("\n")) if (k, i) not in gone) for k, t in rows}
 
 
-def test_lines(spark):
+@pytest.mark.parametrize("apart", [1, -1, 1 << 50])
+def test_lines(spark, apart):
+    """Ids near each other, descending below zero, and too far apart for places to be longs."""
     rnd = random.Random(5)
     vocabulary = [f"w{i}" for i in range(60)]
     base = [[rnd.choice(vocabulary) for _ in range(rnd.randint(1, 25))] for _ in range(12)]
@@ -115,6 +117,7 @@ def test_lines(spark):
                 words[rnd.randrange(len(words))] = rnd.choice(vocabulary)
             text.append(" ".join(words))
         rows.append((k, "\n".join(text)))
+    rows = [(k and k * apart, t) for k, t in rows]
     want = cut_lines(list(dict.fromkeys(rows)))
     got = lines.without_lines(frame(spark, rows))
     assert got.columns == ["doc_id", "text", "fp", "node", "n_lines", "n_removed"]
@@ -124,6 +127,11 @@ def test_lines(spark):
     assert all(r.text == by_id[r.doc_id] for r in got)
 
 
+def test_lines_ids(spark):
+    with pytest.raises(TypeError):
+        lines.without_lines(spark.createDataFrame([("a", "w1")], "doc_id string, text string"))
+
+
 def test_lines_empty(spark):
     assert lines.without_lines(frame(spark, [])).count() == 0
 
