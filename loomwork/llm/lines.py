@@ -181,7 +181,9 @@ def later_matches(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     met = entries.join(earliest, "token").where("other < id").where(_may_match(threshold))
     settled = written(_verified(_paired(met, threshold, 0.5), lines, ranks, threshold), "lines-settled")
 
-    open_ = _entries(classes.join(settled, "id", "left_anti"))
+    # only classes that may be settled are dealt out to find those that are
+    maybe = in_map(mapped(settled, F.col("id")), F.col("id"))
+    open_ = _entries(classes.where(~maybe).unionByName(classes.where(maybe).join(settled, "id", "left_anti")))
     others = entries.select("token", F.col("id").alias("other"), F.col("at").alias("at2"), F.col("marks").alias("marks2"))
     more = open_.join(others, "token").where("other < id").where(_may_match(threshold))
     settled = settled.unionByName(_verified(_paired(more, threshold), lines, ranks, threshold))
