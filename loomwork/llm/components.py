@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomwork.llm._common import written
+
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node that each node of ``edges`` (a, b) reaches.
@@ -37,3 +39,25 @@ def _small_star(pairs: DataFrame) -> DataFrame:
     least = pairs.groupBy("u").agg(F.min("v").alias("m"))
     moved = pairs.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+
+
+#: The column that numbers rows.
+ROW = "_row"
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` in the shared folder with a number for each row, so that rows are told apart whatever their ids."""
+    return written(docs.withColumn(ROW, F.monotonically_increasing_id()), "documents-by-row")
+
+
+def nodes_of(keyed: DataFrame) -> DataFrame:
+    """(key, best, node) for each key of (doc_id, ROW, key): its first row, by doc_id with nulls last, then by number."""
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", ROW)).alias("best")
+    return keyed.groupBy("key").agg(best).withColumn("node", F.col(f"best.{ROW}"))
+
+
+def first_of_each(rows: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """The numbered ``rows`` that are first in their component of ``edges`` (a, b) between ``nodes``."""
+    labelled = nodes.join(connected_components(edges), "node", "left")
+    stay = labelled.groupBy(F.coalesce("component", "node")).agg(F.min("best").alias("best")).select(f"best.{ROW}")
+    return rows.join(stay, ROW, "left_semi").drop(ROW)

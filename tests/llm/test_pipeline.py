@@ -1,5 +1,7 @@
 """The pipeline's stages keep the documents' columns and take effect one after another."""
 
+import random
+
 import corpus_pipeline
 from loomwork.llm import queries
 
@@ -20,3 +22,37 @@ def test_pipeline(spark):
 
 def test_every_operator_has_a_query():
     assert sorted(int(name[2:].split("_")[0]) for name in queries.queries()) == list(range(1, 11))
+
+
+def shingles_of(text):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def test_near_dedup_keeps_one_of_each_group_of_similar_documents(spark):
+    """Against brute force: five-word shingles, 0.8 or more, whatever the ids."""
+    rnd = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(2000)]
+    rows = [(None, "nobody has this text but one row"), (7000, None), (7001, " \t"), (7002, "one"), (7003, "one"), (7004, "two words"), (7002, "another text under an id in use")]
+    for k in range(40):
+        base = [rnd.choice(vocabulary) for _ in range(rnd.choice((60, 300)))]
+        for copy in range(4):
+            words = list(base)
+            for at in rnd.sample(range(len(words)), rnd.randint(0, len(words) // 40)):
+                words[at] = rnd.choice(vocabulary)
+            rows.append((None if k == 3 else 100 * k + copy, " ".join(words)))
+    sets = [shingles_of(t) for _, t in rows]
+    group, near = list(range(len(rows))), 0
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 5 * len(a & b) >= 4 * len(a | b):
+                near += a != b
+                group = [group[j] if g == group[i] else g for g in group]
+    assert near > 60
+    want = {}
+    for at, (k, _) in enumerate(rows):
+        want[group[at]] = min(want.get(group[at], (True, 0, at)), (k is None, k or 0, at))
+    docs = spark.createDataFrame([(k, t, at) for at, (k, t) in enumerate(rows)], "doc_id long, text string, at int").coalesce(1)
+    got = corpus_pipeline.dedup_documents(spark, docs, "").collect()
+    named = lambda ats: sorted((rows[at][0] is None, rows[at][0] or 0, group[at]) for at in ats)
+    assert named(r["at"] for r in got) == named(at for _, _, at in want.values())
