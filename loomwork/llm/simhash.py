@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomwork.llm._common import in_arrow, renamed, text_bytes, written
-from loomwork.llm.components import connected_components
+from loomwork.llm.components import ROW, connected_components, first_of_each, nodes_of, numbered
 
 #: Fingerprints that one index node may hold before it is split by a finer mask; 256 at least.
 NODE = 512
@@ -179,8 +179,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each group of near duplicates, that of the smallest doc_id. Rows without
-    a doc_id can't stand for a group, and go."""
-    grouped = near_duplicates(docs)
-    stay = grouped.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(stay, "doc_id", "left_semi").select(docs.columns)
+    """``docs`` with one row of each group of near duplicates: that of the smallest doc_id, rows without one last, and
+    of rows with the same id one only. Rows without a doc_id are linked like others here."""
+    rows = numbered(docs)
+    fps = fingerprints(rows, ROW).select(F.col("doc_id").alias(ROW), "fp")
+    nodes = written(nodes_of(fps.join(rows.select(ROW, "doc_id"), ROW).withColumnRenamed("fp", "key")), "fingerprint-nodes")
+    ends = nodes.select("key", "node")
+    pairs = links(nodes.select(F.col("key").alias("fp")))
+    edges = pairs.join(ends.toDF("a", "x"), "a").join(ends.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    return first_of_each(rows, nodes, edges).select(docs.columns)

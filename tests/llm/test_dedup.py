@@ -184,3 +184,9 @@ def test_repeats(spark, length):
 
 def test_repeats_empty(spark):
     assert substring.digests(frame(spark, [])).count() == 0
+
+
+def test_one_of_each_whatever_the_ids(spark):
+    rows = [(1, "a b c d"), (1, "a b c d"), (1, "quite another text"), (2, "a b c d"), (None, "a b c d"), (None, "no id has this"), (None, "no id has this"), (None, None)]
+    got = sorted((r.doc_id or 0, r.text or "") for r in simhash.one_of_each(frame(spark, rows)).collect())
+    assert got == [(0, ""), (0, "no id has this"), (1, "a b c d"), (1, "quite another text")]
