@@ -20,7 +20,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.llm._common import WORD_TABLE, bounded_batches, in_arrow, renamed, text_bytes, written
+from loomwork.llm._common import WORD_TABLE, bounded_batches, in_arrow, renamed, text_bytes
+from loomwork.llm.components import ROW, numbered
 
 WIDTH = 13
 #: Windows that are broadcast at most: about 100 bytes each.
@@ -148,9 +149,14 @@ def _scanned(docs: DataFrame, windows: DataFrame) -> DataFrame:
 
 def _joined(docs: DataFrame, windows: DataFrame, width: int) -> DataFrame:
     """The same by a join on whole windows, for benchmarks too large to broadcast."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    keyed = renamed(docs, doc_id="doc_id", text="text").withColumn("row", F.monotonically_increasing_id())
-    keyed = written(keyed, "documents-by-row")
+    keyed = numbered(renamed(docs, doc_id="doc_id", text="text"))
+    return _joined_by_row(keyed, windows).drop("row")
+
+
+def _joined_by_row(rows: DataFrame, windows: DataFrame) -> DataFrame:
+    """``row`` and the columns of SCHEMA for numbered rows."""
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    keyed = renamed(rows, row=ROW, doc_id="doc_id", text="text")
     lengths = sorted(r[0] for r in windows.select(F.size("window")).distinct().collect())  # at most ``width`` of them
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,12 +177,13 @@ def _joined(docs: DataFrame, windows: DataFrame, width: int) -> DataFrame:
                 for s in spans or ():
                     hit[s["at"] : s["at"] + s["n"]] = True
                 rows.append(_row(text, len(hit), hit, set(items or ())))
-            yield _batch(batch["doc_id"], batch["text"], rows)
+            done = _batch(batch["doc_id"], batch["text"], rows)
+            yield pa.RecordBatch.from_arrays([batch["row"], *done.columns], ["row", *done.schema.names])
 
     places = in_arrow(keyed.select("row", "text"), shingles, "row long, at long, window string")
     known = windows.select("item", F.array_join("window", " ").alias("window"), F.size("window").alias("n"))
     found = places.join(known, "window").groupBy("row").agg(F.collect_set(F.struct("at", "n")).alias("covers"), F.collect_set("item").alias("items"))
-    return in_arrow(keyed.join(found, "row", "left").select("doc_id", "text", "covers", "items"), marked, SCHEMA.format(kind=kind))
+    return in_arrow(keyed.join(found, "row", "left").select("row", "doc_id", "text", "covers", "items"), marked, "row long, " + SCHEMA.format(kind=kind))
 
 
 def judged(found: DataFrame, share: int = 20) -> DataFrame:
@@ -188,8 +195,9 @@ def without_documents(docs: DataFrame, items: DataFrame, share: int = 20, width:
     """``docs`` without the contaminated rows; all other rows and columns as they are."""
     windows = item_windows(items, width)
     if not _small(windows, broadcast_windows):
-        bad = judged(_joined(docs, windows, width), share).where("contaminated").select("doc_id").distinct()
-        return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+        rows = numbered(docs)
+        bad = judged(_joined_by_row(rows, windows), share).where("contaminated").select(F.col("row").alias(ROW))
+        return rows.join(bad, ROW, "left_anti").select(docs.columns)
     sent, texts = _sent(windows), docs.columns.index("text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -138,3 +138,11 @@ def test_archive_raises_on_a_false_payload(spark):
     bad = warc.Archive(archive.headers, archive.payloads.withColumn("payload", F.lit(b"abd")))
     with pytest.raises(Exception, match="doesn't match its digest"):
         warc.read(bad).collect()
+
+
+@pytest.mark.parametrize("bound", [0, 500_000])
+def test_contaminated_rows_are_judged_by_themselves(spark, bound):
+    passage = " ".join(f"p{i}" for i in range(13))
+    docs = spark.createDataFrame([(None, passage, 0), (None, "clean", 1), (7, passage, 2), (7, "clean", 3), (8, "clean too", 4)], "doc_id long, text string, at int")
+    bench = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    assert sorted(r.at for r in decontaminate.without_documents(docs, bench, broadcast_windows=bound).collect()) == [1, 3, 4]
