@@ -169,11 +169,12 @@ class Model:
     def margins(self, texts: list[np.ndarray]) -> np.ndarray:
         """The network's output for each text, before calibration."""
         step, lap = PIECE, WIDTHS[-1] - 1
-        owner, pieces = [], []
+        owner, pieces, last = [], [], []
         for i, t in enumerate(texts):
             for at in range(0, max(len(t), 1), step):
                 owner.append(i)
                 pieces.append(t[at : at + step + lap])
+                last.append(at + step >= len(t))
         top = np.full((len(texts), len(self.out)), -np.inf, np.float32)
         at = 0
         while at < len(pieces):
@@ -182,6 +183,8 @@ class Model:
                 held += len(pieces[till])
                 till += 1
             ids, start, end = _laid_out(pieces[at:till])
+            # within a text, places whose windows would run into the padding belong to the next piece
+            end = np.where(last[at:till], end, start + step)
             cuts = np.stack((start, end), 1).ravel()
             peaks = np.concatenate([np.maximum.reduceat(m, cuts, 0)[::2] for m in _maps(self.table, ids)], 1)
             np.maximum.at(top, owner[at:till], peaks)

@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,3 +147,13 @@ def test_contaminated_rows_are_judged_by_themselves(spark, bound):
     docs = spark.createDataFrame([(None, passage, 0), (None, "clean", 1), (7, passage, 2), (7, "clean", 3), (8, "clean too", 4)], "doc_id long, text string, at int")
     bench = spark.createDataFrame([(1, passage)], "item_id long, text string")
     assert sorted(r.at for r in decontaminate.without_documents(docs, bench, broadcast_windows=bound).collect()) == [1, 3, 4]
+
+
+def test_toxicity_does_not_depend_on_the_piece(monkeypatch):
+    rng = np.random.default_rng(3)
+    model = toxicity.Model(toxicity.Network.fresh(rng), 0.5)
+    model.table = [[t - 1 + (np.arange(len(t)) == toxicity.PAD)[:, None] for t in places] for places in model.table]  # padding alone is high
+    texts = [rng.integers(0, toxicity.BUCKETS, n).astype(np.int32) for n in (0, 1, 9, 10, 11, 12, 13, 20, 31, 95)]
+    whole = model.margins(texts)
+    monkeypatch.setattr(toxicity, "PIECE", 10)
+    assert np.allclose(model.margins(texts), whole, rtol=0, atol=1e-5)
