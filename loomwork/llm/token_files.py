@@ -188,6 +188,14 @@ def read_digests(segments: DataFrame) -> DataFrame:
     return _documents(segments, f"doc_id {kind}, part int, at long, n_tokens long, ids_crc32 long", lambda ids: zlib.crc32(ids.astype("<u4").tobytes()), pa.int64())
 
 
+def document(segment: bytes, position: int) -> np.ndarray:
+    """The ids of the document at ``position`` of a segment image, found without its other boundaries."""
+    ends, ids = opened(segment)
+    if not 0 <= position < ends.n:
+        raise IndexError(position)
+    return ids[ends.select(position - 1) if position else 0 : ends.select(position)]
+
+
 def _documents(segments: DataFrame, schema: str, derive, derived: pa.DataType) -> DataFrame:
     last = schema.rsplit(", ", 1)[1].split(" ")[0]
 
@@ -195,7 +203,7 @@ def _documents(segments: DataFrame, schema: str, derive, derived: pa.DataType) -
         for batch in batches:
             for part, start, keys, blob in zip(batch["part"], batch["start"].to_pylist(), batch["doc_ids"], batch["image"], strict=True):
                 ends, ids = opened(blob.as_py())
-                till = ends.values()
+                till = np.fromiter(map(ends.select, range(ends.n)), np.int64, ends.n)
                 first = np.concatenate(([0], till[:-1]))
                 out = [derive(ids[a:b]) for a, b in zip(first.tolist(), till.tolist(), strict=True)]
                 n = len(out)

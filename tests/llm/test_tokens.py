@@ -173,3 +173,13 @@ def test_jpeg_columns(spark):
     pixels = {r.doc_id: r for r in jpeg.tensors(stored).collect()}
     assert all(len(r.rgb) == r.height * r.width * 3 for r in pixels.values())
     assert jpeg.described(jpeg.stored(frame(spark, []))).count() == 0
+
+
+def test_documents_by_position(spark):
+    segments = token_files.write(frame(spark, [*TEXTS, *noise(60)]), PATH)
+    rows = {r.doc_id: r.ids for r in token_files.read(segments).collect()}
+    for s in segments.collect():
+        for at in (0, len(s.doc_ids) // 2, len(s.doc_ids) - 1):
+            assert token_files.document(bytes(s.image), at).tolist() == rows[s.doc_ids[at]]
+        with pytest.raises(IndexError):
+            token_files.document(bytes(s.image), len(s.doc_ids))
