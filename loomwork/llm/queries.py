@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwork.llm import bpe, decontaminate, jpeg, lines, simhash, substring, token_files, toxicity, urls, warc
-from loomwork.llm._common import table
+from loomwork.llm._common import table, written
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -55,7 +55,7 @@ def op9_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jpeg.described(jpeg.stored(table(spark, sf_dir, "documents", "doc_id", "text")))
+    return jpeg.described(written(jpeg.stored(table(spark, sf_dir, "documents", "doc_id", "text")), "media"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

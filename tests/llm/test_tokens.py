@@ -4,13 +4,14 @@ import hashlib
 import os
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from loomwork.llm import bpe, jpeg, token_files
+from loomwork.llm import _common, bpe, jpeg, queries, token_files
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 KIND = "doc_id long, text string, ids string, part int"
@@ -183,3 +184,13 @@ def test_documents_by_position(spark):
             assert token_files.document(bytes(s.image), at).tolist() == rows[s.doc_ids[at]]
         with pytest.raises(IndexError):
             token_files.document(bytes(s.image), len(s.doc_ids))
+
+
+def test_media_are_stored_before_they_are_read(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    folder = Path(_common.shared_folder(spark).removeprefix("file:"))
+    old = set(folder.glob("media-*"))
+    got = {r.doc_id: r.media_sha256 for r in queries.op10_jpeg(spark, sf_dir).collect()}
+    (path,) = set(folder.glob("media-*")) - old
+    stored = spark.read.parquet(str(path)).collect()
+    assert {r.doc_id: hashlib.sha256(r.media).hexdigest() for r in stored} == got
