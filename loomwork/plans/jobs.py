@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from loomwork.functions.scalars import first_truthy
 from loomwork.operators import audit, joins, mapping, quality, reports
@@ -52,13 +53,25 @@ def stream_rows(messages: DataFrame, dimension: DataFrame | None, columns: Seque
     return quality.annotate(rows, rules)
 
 
-def stream_sinks(term: str, staging: str, refined: str, columns: mapping.Refreshed | None, as_of: Column) -> dict:
+def stream_sinks(term: str, staging: str, refined: str, columns: mapping.Refreshed | None, as_of: Column, trace: str | None = None, ts: str = "_timestamp") -> dict:
     """The sinks of a term: ``mid`` stages mapped rows and refines raw ones, ``long`` refines only. The mapping is read
-    anew as it ages, for each micro-batch has a plan of its own."""
+    anew as it ages, for each micro-batch has a plan of its own. ``trace`` takes each batch's counts by window of ``ts``
+    on the refined branch."""
     refine = lambda batch, _: without_metadata(mapping.stamped(batch, as_of))
+    sinks = {refined: refine}
+    if trace:
+        sinks |= {trace: lambda batch, _: audit.window_trace(batch, ts)}
     if term == "long":
-        return {refined: refine}
-    return {staging: lambda batch, _: without_metadata(mapping.stamped(mapping.map_columns(batch, columns()), as_of)), refined: refine}
+        return sinks
+    return {staging: lambda batch, _: without_metadata(mapping.stamped(mapping.map_columns(batch, columns()), as_of)), **sinks}
+
+
+def stream(rows: DataFrame, term: str, staging: str, refined: str, trace: str, audited: str, checkpoint: str, columns: mapping.Refreshed | None, as_of: Column, ts: str = "_timestamp") -> list[StreamingQuery]:
+    """The stream job on annotated rows, as two queries with a checkpoint each: the fan-out to the term's sinks, and
+    the stateful hourly audit by ``ts``, appended to its own sink."""
+    fanned = streams.fan_out(rows, f"{checkpoint}/fan-out", stream_sinks(term, staging, refined, columns, as_of, trace, ts))
+    totals = streams.stream_audit(audit.audit_projection(rows, "member_number", ts))
+    return [fanned, streams.to_files(totals, audited, f"{checkpoint}/audit")]
 
 
 @dataclasses.dataclass(frozen=True)

@@ -517,14 +517,16 @@ def s9_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
-def _streamed(spark: SparkSession, sf_dir: str, term: str) -> tuple[str, str]:
+def _streamed(spark: SparkSession, sf_dir: str, term: str) -> tuple[str, str, str, str]:
+    """The paths of the staging, refined, trace and audit tables that the stream job fills."""
     dim = _table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     parsed = streams.notifications(_messages(_stream(spark, sf_dir)), "value", F.current_timestamp())
     rows = jobs.stream_rows(parsed, dim, ["c_name"], "c_custkey", as_of())
-    staging, refined = fresh_path(spark, "staging"), fresh_path(spark, "refined")
+    paths = tuple(fresh_path(spark, name) for name in ("staging", "refined", "trace", "audit"))
     pairs = mapping.Refreshed(lambda: [("member", "member_number"), ("name", "c_name"), ("event", "event_id")])
-    _ran(streams.fan_out(rows, fresh_path(spark, "checkpoint"), jobs.stream_sinks(term, staging, refined, pairs, as_of())))
-    return staging, refined
+    for query in jobs.stream(rows, term, *paths, fresh_path(spark, "checkpoint"), pairs, as_of(), "ts"):
+        _ran(query)
+    return paths
 
 
 _STREAMED = "SELECT event_id, member_number, c_name FROM (SELECT event_id, CASE event_id % 4 WHEN 2 THEN 'm' || user_id ELSE user_id::VARCHAR END AS member_number FROM events WHERE event_id % 4 <> 3 AND (event_id % 4 = 2 OR user_id <> 0)) LEFT JOIN customer ON member_number = c_custkey::VARCHAR"
