@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new path below ``spark.checkpoint.dir``; a session without one, as in tests, gets a temporary folder."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``. A local session without one, as in tests, gets a temporary folder; on a
+    cluster that would be a folder of one machine, so there it raises."""
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
-    return f"{sc.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
+    return sc.getCheckpointDir()
+
+
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
