@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-import gc
-import tempfile
+import dataclasses
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomwork.sources import workspace
+
 #: Rows and bytes that one Arrow batch may carry to a Python worker.
 BATCH_ROWS = 2_000
 BATCH_BYTES = 16 << 20
@@ -42,26 +44,63 @@ class Memo(dict):
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share (``spark.checkpoint.dir``); a session without one, as in
-    tests, gets a temporary folder of its own."""
-    sc = spark.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
-    return sc.getCheckpointDir()
+    """The folder that driver and executors share (``spark.checkpoint.dir``). A local session without one, as in
+    tests, gets a temporary folder; on a cluster that would be a folder of one machine, so there it raises."""
+    return workspace.shared_folder(spark)
+
+
+#: Spark drops a write's shuffle files at its end under this setting.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _cleaned(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as a Parquet table below the shared folder and read back: cuts the lineage, survives
-    lost executors and stays small on disk."""
+    lost executors and stays small on disk. The table stays until the folder is cleared."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    # the job's shuffle files are of no more use; the cleaner drops them once the driver has collected its garbage
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    with _cleaned(spark):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Intermediate tables of one operator, in a database of their own below the shared folder. They go when the
+    block ends, so what the operator returns is written apart."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.name = spark, f"scratch_{uuid.uuid4().hex}"
+
+    def __enter__(self) -> Scratch:
+        self.spark.sql(f"CREATE DATABASE {self.name} LOCATION '{shared_folder(self.spark)}/{self.name}'")
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.spark.sql(f"DROP DATABASE IF EXISTS {self.name} CASCADE")
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        with _cleaned(self.spark):
+            df.write.format("parquet").option("compression", "zstd").saveAsTable(f"{self.name}.{name}")
+        return self.spark.table(f"{self.name}.{name}")
+
+    def drop(self, *names: str) -> None:
+        """Tables that are of no more use before the end."""
+        for name in names:
+            self.spark.sql(f"DROP TABLE {self.name}.{name}")
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Keep Arrow batches small enough for texts of any length: at most BATCH_ROWS rows and about BATCH_BYTES."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -84,29 +123,40 @@ def text_bytes(column: pa.Array) -> Iterator[bytes]:
         yield value.as_py() or b""
 
 
-#: Bits of the maps that rows are screened by before they are dealt out.
-MAP_BITS = 20
+#: Bits of the maps that rows are screened by before they are dealt out: about 16 for each key, between these powers
+#: of two, so a map is 8 MiB at most.
+MAP_BITS = (20, 26)
+
+
+@dataclasses.dataclass(frozen=True)
+class BitMap:
+    """A bit for each key's hash, as a constant of the plan."""
+
+    bits: int
+    data: bytes
 
 
-def numbers(values: list[int]) -> Column:
-    """A constant array, folded into the plan once."""
-    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<long>")
+def _hashed(key: Column, bits: int) -> Column:
+    return F.xxhash64(key).bitwiseAND((1 << bits) - 1)
 
 
-def mapped(df: DataFrame, key: Column) -> Column:
-    """A constant bit map of ``key`` over the rows of ``df``: fixed in size, it lets every row in that has its key
-    there, and some others."""
-    h = F.xxhash64(key).bitwiseAND((1 << MAP_BITS) - 1)
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("h").bitwiseAND(63).cast("int"))
-    words = [0] * (1 << MAP_BITS - 6)
-    for w, b in df.select(h.alias("h")).groupBy(F.shiftright("h", 6).alias("w")).agg(F.bit_or(bit).alias("b")).collect():
-        words[w] = b
-    return numbers(words)
+def mapped(df: DataFrame, key: Column) -> BitMap:
+    """A bit map of ``key`` over the rows of ``df``, sized by their number. It lets every row in that has its key there,
+    and some others: about one in 16, and more only beyond 4 million keys."""
+    bits = min(max(MAP_BITS[0], (df.count() * 16 - 1).bit_length()), MAP_BITS[1])
+    h = _hashed(key, bits).alias("h")
+    size = 1 << 15  # bits of one of Spark's bitmap buckets
+    data = bytearray((1 << bits) // 8)
+    at = df.select(h).select(F.shiftright("h", 15).alias("bucket"), F.col("h").bitwiseAND(size - 1).alias("at"))
+    for bucket, part in at.groupBy("bucket").agg(F.bitmap_construct_agg("at")).collect():
+        data[bucket * size // 8 : (bucket + 1) * size // 8] = part
+    return BitMap(bits, bytes(data))
 
 
-def in_map(bit_map: Column, key: Column) -> Column:
-    h = F.xxhash64(key).bitwiseAND((1 << MAP_BITS) - 1)
-    return F.getbit(F.get(bit_map, F.shiftright(h, 6).cast("int")), h.bitwiseAND(63).cast("int")) == 1
+def in_map(bit_map: BitMap, key: Column) -> Column:
+    h = _hashed(key, bit_map.bits)
+    byte = F.substring(F.lit(bit_map.data), (F.shiftright(h, 3) + 1).cast("int"), F.lit(1))
+    return F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), h.bitwiseAND(7).cast("int")) == 1
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:

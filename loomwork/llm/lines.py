@@ -5,19 +5,23 @@ earlier, in the order of doc_id and then of lines, has a token set of Jaccard si
 Lines are judged on the input, not on what is left; lines without tokens stay.
 
 Lines of equal token sets form one class, which its earliest line stands for. Tokens are ordered by rarity: their
-hashes are counted in a table of fixed size, and a token's code is its bucket's rank by that count followed by the
-rest of its 64-bit hash, so codes sort from rare to frequent and are as distinct as the hashes. Two sets that are
-similar enough share a token among the first few codes (the prefix). Classes meet on those, and length and
-positional filters, a count of marks that only one set has, and the number of prefix tokens that a pair shares drop
-pairs that can't reach the threshold. Each class first meets the earliest class of each of its prefix tokens, which
-settles nearly all members of a large group in proportion to its size; only classes not settled by this meet the
-others. What remains is verified on the whole token sets.
+hashes are counted over all texts in a table of fixed size, and a token's code is the level of its bucket's count
+followed by 58 bits of its hash, so codes sort from rare to frequent. Two sets that are similar enough share a token
+among the first few codes (the prefix). Classes meet on those, and length and positional filters, a map of marks that
+each token flips one of, and the number of prefix tokens that a pair shares drop pairs that can't reach the threshold.
+What remains is verified on the whole token sets, by 64-bit hashes.
+
+Large groups: each class first meets the earliest class of each of its prefix tokens that stand often in the corpus,
+which settles nearly all members of a large group in proportion to its size; then only classes not settled by this meet
+the others. A token that stands fewer than OFTEN times has fewer than OFTEN classes, so it needs no such round.
 
 A line's place is one number, its document's id times 2^31 plus its number in the document: a long where the ids' span
 allows it, a decimal otherwise. Other than integer ids raise a TypeError.
 
 Nulls: a null text stays null and has no lines. Rows with a null doc_id take no part and are returned as they are.
-Rows with one doc_id are taken for one document, repeated. Repeated rows come back as often as they went in.
+Rows with one doc_id are taken for one document: a line number that matches an earlier line in one of them goes from
+all. Repeated rows come back as often as they went in. A document's lines are cut in time proportional to their number.
+Columns besides id and text may have any names; input columns named ``n_lines`` or ``n_removed`` are replaced.
 """
 
 from __future__ import annotations
@@ -29,11 +33,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from loomwork.llm._common import in_map, mapped, numbers, renamed, written
+from loomwork.llm._common import Scratch, in_map, mapped, renamed, written
 
 THRESHOLD = 0.8
-#: Buckets of the table of token counts (a power of two).
-BUCKET_BITS = 16
+#: Buckets of the table of token counts, and how many of them are collected as one row (powers of two).
+BUCKET_BITS = 20
+ROW_BITS = 12
+#: Levels of a count: three for two doublings.
+LEVEL_BITS = 6
+LEVELS = 1.5
+#: Tokens that stand so often may have large groups.
+OFTEN = 1024
 #: Lines that a document may have, and the span of ids whose places fit a long.
 LINES = 1 << 31
 SPAN = 1 << 32
@@ -78,21 +88,44 @@ def _words(column: str) -> Column:
     return F.array_remove(F.split(spaced, " "), "")
 
 
-def _ranks(lines: DataFrame) -> Column:
-    """The rank of each bucket of token hashes, from rare to frequent, as a constant array."""
-    words = lines.select(F.explode(_words("line")).alias("w"))
-    counts = dict(words.groupBy(F.xxhash64("w").bitwiseAND((1 << BUCKET_BITS) - 1).alias("b")).agg(F.count("*")).collect())
-    order = sorted(range(1 << BUCKET_BITS), key=lambda b: (counts.get(b, 0), b))
-    ranks = [0] * len(order)
-    for rank, bucket in enumerate(order):
-        ranks[bucket] = rank - (1 << BUCKET_BITS - 1)  # codes are signed
-    return numbers(ranks)
+def _level(count: Column) -> Column:
+    return F.least(F.floor(F.log2(count) * LEVELS) + 1, F.lit((1 << LEVEL_BITS) - 1)).cast("int")
+
+
+def _levels(docs: DataFrame) -> bytes:
+    """The level of each bucket's count of token hashes, one byte a bucket: 64 plus the level with its highest bit
+    turned, so that codes sort as signed numbers."""
+    # lines don't matter here, and a replaced character is cheaper than a second split
+    text = F.replace("text", F.lit("\n"), F.lit(" "))
+    words = docs.select(text.alias("line")).select(F.explode(_words("line")).alias("w"))
+    counts = words.groupBy(F.xxhash64("w").bitwiseAND((1 << BUCKET_BITS) - 1).alias("bucket")).agg(F.count("*").alias("n"))
+    packed = F.shiftleft(F.col("bucket").bitwiseAND((1 << ROW_BITS) - 1), LEVEL_BITS).bitwiseOR(_level(F.col("n")).cast("long"))
+    rows = counts.groupBy(F.shiftright("bucket", ROW_BITS).alias("row")).agg(F.collect_list(packed).alias("levels"))
+    turned = 1 << LEVEL_BITS - 1
+    out = bytearray([64 + turned]) * (1 << BUCKET_BITS)
+    for row, levels in rows.collect():
+        for x in levels:
+            out[(row << ROW_BITS) + (x >> LEVEL_BITS)] = 64 + ((x & (1 << LEVEL_BITS) - 1) ^ turned)
+    return bytes(out)
+
+
+def _least_code(count: int) -> Column:
+    """No token that stands ``count`` times or more has a smaller code."""
+    return F.shiftleft((_level(F.lit(count)) - (1 << LEVEL_BITS - 1)).cast("long"), 64 - LEVEL_BITS)
+
+
+def _hashes() -> Column:
+    return F.array_distinct(F.transform(_words("line"), lambda w: F.xxhash64(w)))
+
+
+def _codes(levels: bytes) -> Column:
+    table = F.lit(levels)
 
+    def code(h: Column) -> Column:
+        level = F.ascii(F.substring(table, (h.bitwiseAND((1 << BUCKET_BITS) - 1) + 1).cast("int"), F.lit(1)).cast("string"))
+        return F.shiftleft(level.cast("long"), 64 - LEVEL_BITS).bitwiseOR(F.shiftrightunsigned(h, LEVEL_BITS))
 
-def _codes(ranks: Column) -> Column:
-    code = lambda h: F.shiftleft(F.get(ranks, h.bitwiseAND((1 << BUCKET_BITS) - 1).cast("int")), 64 - BUCKET_BITS).bitwiseOR(F.shiftrightunsigned(h, BUCKET_BITS))
-    hashes = F.array_distinct(F.transform(_words("line"), lambda w: F.xxhash64(w)))
-    return F.sort_array(F.transform(hashes, code))
+    return F.sort_array(F.transform(_hashes(), code))
 
 
 def _at_least(size: Column, threshold: float) -> Column:
@@ -101,67 +134,73 @@ def _at_least(size: Column, threshold: float) -> Column:
     return F.ceil(size * (threshold / (1 + threshold)) - 1e-9)
 
 
-def keyed_lines(lines: DataFrame, ranks: Column, threshold: float = THRESHOLD) -> DataFrame:
-    """(place, k1, k2, size, marks, prefix) of each line with tokens: two digests of its token set, a map of
-    64 marks that each token sets one of, and the prefix."""
+def keyed_lines(lines: DataFrame, levels: bytes, threshold: float = THRESHOLD) -> DataFrame:
+    """(place, k1, k2, size, low, high, prefix) of each line with tokens: two digests of its token set, 128 marks that
+    each token flips one of, and the prefix."""
     # a condition on the codes would be pushed below the projection and have them made twice
-    tokens = lines.where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select("place", _codes(ranks).alias("codes"))
+    tokens = lines.where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select("place", _codes(levels).alias("codes"))
     size = F.size("codes")
     prefix = F.slice("codes", F.lit(1), (size - F.ceil(size * threshold - 1e-9) + 1).cast("int"))
-    one = F.lit(1).cast("long")
-    marks = F.aggregate("codes", F.lit(0).cast("long"), lambda m, h: m.bitwiseOR(F.call_function("shiftleft", one, h.bitwiseAND(63).cast("int"))))
-    return tokens.select("place", F.xxhash64("codes").alias("k1"), F.xxhash64(F.lit(7), "codes").alias("k2"), size.alias("size"), marks.alias("marks"), prefix.alias("prefix"))
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
 
+    def marks(half: int) -> Column:
+        flipped = lambda h: F.when(h.bitwiseAND(64) == half, F.call_function("shiftleft", one, h.bitwiseAND(63).cast("int"))).otherwise(none)
+        return F.aggregate("codes", none, lambda m, h: m.bitwiseXOR(flipped(h)))
 
-def line_classes(keyed: DataFrame, groups: DataFrame, repeated: Column) -> DataFrame:
-    """(id, size, marks, prefix): the classes of equal token sets, named by the place of their earliest lines. Lines
+    return tokens.select("place", F.xxhash64("codes").alias("k1"), F.xxhash64(F.lit(7), "codes").alias("k2"), size.alias("size"), marks(0).alias("low"), marks(64).alias("high"), prefix.alias("prefix"))
+
+
+def line_classes(keyed: DataFrame, many: DataFrame, repeated: Column) -> DataFrame:
+    """(id, size, low, high, prefix): the classes of equal token sets, named by the place of their earliest lines. Lines
     that surely have no equal are classes as they are; only the others are dealt out."""
-    firsts = groups.where(repeated).select(F.col("first").alias("place"))
-    some = keyed.where(repeated).select("place", "size", "marks", "prefix").join(firsts, "place").dropDuplicates(["place"])
-    some = written(some, "line-classes")
-    alone = keyed.where(~repeated).select("place", "size", "marks", "prefix")
-    return alone.unionByName(some).withColumnRenamed("place", "id")
+    some = keyed.where(repeated).join(many, ["k1", "k2"], "left").where(F.coalesce("first", "place") == F.col("place"))
+    some = some.dropDuplicates(["place", "k1", "k2"])
+    columns = [F.col("place").alias("id"), "size", "low", "high", "prefix"]
+    return keyed.where(~repeated).select(columns).unionByName(some.select(columns))
 
 
 def _entries(classes: DataFrame) -> DataFrame:
-    """(token, id, at, marks): each class under the tokens of its prefix; ``at`` packs its size and the place."""
-    each = classes.select("id", "size", "marks", F.posexplode("prefix").alias("pos", "token"))
-    return each.select("token", "id", F.shiftleft(F.col("size").cast("long"), 32).bitwiseOR(F.col("pos").cast("long")).alias("at"), "marks")
+    """(token, id, at, low, high): each class under the tokens of its prefix; ``at`` packs its size and the place."""
+    each = classes.select("id", "size", "low", "high", F.posexplode("prefix").alias("pos", "token"))
+    return each.select("token", "id", F.shiftleft(F.col("size").cast("long"), 32).bitwiseOR(F.col("pos").cast("long")).alias("at"), "low", "high")
+
+
+def _seconds(entries: DataFrame) -> DataFrame:
+    return entries.toDF("token", "other", "at2", "low2", "high2")
 
 
 def _may_match(threshold: float) -> Column:
-    """Length, positional and mark filters on a class (at, marks) and an earlier one (at2, marks2)."""
+    """Length, positional and mark filters on a class (at, low, high) and an earlier one (at2, low2, high2)."""
     size, size2 = (F.shiftright(c, 32) for c in ("at", "at2"))
     pos, pos2 = (F.col(c).bitwiseAND((1 << 32) - 1) for c in ("at", "at2"))
     least = _at_least(size + size2, threshold)
     reach = F.least(pos, pos2) + 1 + F.least(size - pos - 1, size2 - pos2 - 1)
-    # a mark that only one of the sets has stands for a token that only it has
-    apart = F.bit_count(F.col("marks").bitwiseXOR(F.col("marks2")))
+    # a mark in which the sets differ stands for a token that only one of them has
+    apart = F.bit_count(F.col("low").bitwiseXOR(F.col("low2"))) + F.bit_count(F.col("high").bitwiseXOR(F.col("high2")))
     return (F.least(size, size2) >= F.greatest(size, size2) * threshold - F.lit(1e-9)) & (reach >= least) & (apart <= size + size2 - 2 * least)
 
 
-def _paired(met: DataFrame, threshold: float, share: float = 1.0) -> DataFrame:
+def _paired(met: DataFrame, threshold: float) -> DataFrame:
     """The pairs (id, other), each once, whose prefixes share enough tokens. Of two sets, the one whose prefix ends first
-    shares no more than what the prefixes share and what it has beyond its own. ``share`` below 1 asks for less, where
-    pairs have met on some of their tokens only."""
+    shares no more than what the prefixes share and what it has beyond its own."""
     sizes = [F.min(F.shiftright(c, 32)).alias(name) for c, name in (("at", "size"), ("at2", "size2"))]
     pairs = met.groupBy("id", "other").agg(F.count("*").alias("shared"), *sizes)
     beyond = F.ceil(F.greatest("size", "size2") * threshold - 1e-9) - 1
-    return pairs.where(F.col("shared") >= (_at_least(F.col("size") + F.col("size2"), threshold) - beyond) * share).select("id", "other")
+    return pairs.where(F.col("shared") >= _at_least(F.col("size") + F.col("size2"), threshold) - beyond).select("id", "other")
 
 
-def _verified(pairs: DataFrame, lines: DataFrame, ranks: Column, threshold: float) -> DataFrame:
+def _verified(scratch: Scratch, name: str, pairs: DataFrame, lines: DataFrame, threshold: float) -> DataFrame:
     """The ids of pairs (id, other) whose whole token sets are similar enough, each once."""
-    pairs = written(pairs, "line-pairs")
-    needed = written(pairs.select(F.explode(F.array("id", "other")).alias("place")).distinct(), "line-places")
-    some = lines.where(in_map(mapped(needed, F.col("place")), F.col("place")))
+    pairs = scratch.written(pairs, f"{name}_pairs")
+    needed = mapped(pairs.select(F.explode(F.array("id", "other")).alias("place")), F.col("place"))
     # repeated rows give a line more than once
-    sets = needed.join(some, "place").groupBy(F.col("place").alias("id")).agg(F.any_value("line").alias("line"))
-    sets = written(sets.select("id", _codes(ranks).alias("codes")), "line-sets")
-    both = F.size(F.array_intersect("x", "y"))
-    joined = pairs.join(sets.select("id", F.col("codes").alias("x")), "id").join(sets.select(F.col("id").alias("other"), F.col("codes").alias("y")), "other")
-    alike = joined.select("id", both.alias("both"), (F.size("x") + F.size("y")).alias("all"))
-    return alike.where(F.col("both") >= (F.col("all") - F.col("both")) * threshold - F.lit(1e-9)).select("id").distinct()
+    some = lines.where(in_map(needed, F.col("place"))).dropDuplicates(["place", "line"])
+    one = pairs.join(some.select(F.col("place").alias("id"), "line"), "id").select("id", "other", _hashes().alias("x"))
+    both = one.join(some.select(F.col("place").alias("other"), "line"), "other").select("id", "x", _hashes().alias("y"))
+    shared = F.size(F.array_intersect("x", "y"))
+    alike = both.select("id", shared.alias("both"), (F.size("x") + F.size("y")).alias("all"))
+    found = alike.where(F.col("both") >= (F.col("all") - F.col("both")) * threshold - F.lit(1e-9)).select("id").distinct()
+    return scratch.written(found, f"{name}_settled")
 
 
 def later_matches(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -169,45 +208,59 @@ def later_matches(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     docs = docs.where("doc_id is not null")
     places = Places(docs)
     lines = places.split(docs)
-    ranks = _ranks(lines)
-    keyed = written(keyed_lines(lines, ranks, threshold), "lines")
-    groups = written(keyed.groupBy("k1", "k2").agg(F.min("place").alias("first"), F.count("*").alias("n")), "line-groups")
-    many = groups.where("n > 1")
-    repeated = in_map(mapped(many, F.col("k1")), F.col("k1"))
-    classes = line_classes(keyed, groups, repeated)
-
-    entries = _entries(classes)
-    earliest = entries.groupBy("token").agg(F.min("id").alias("other"), F.min_by("at", "id").alias("at2"), F.min_by("marks", "id").alias("marks2"))
-    met = entries.join(earliest, "token").where("other < id").where(_may_match(threshold))
-    settled = written(_verified(_paired(met, threshold, 0.5), lines, ranks, threshold), "lines-settled")
-
-    # only classes that may be settled are dealt out to find those that are
-    maybe = in_map(mapped(settled, F.col("id")), F.col("id"))
-    open_ = _entries(classes.where(~maybe).unionByName(classes.where(maybe).join(settled, "id", "left_anti")))
-    others = entries.select("token", F.col("id").alias("other"), F.col("at").alias("at2"), F.col("marks").alias("marks2"))
-    more = open_.join(others, "token").where("other < id").where(_may_match(threshold))
-    settled = settled.unionByName(_verified(_paired(more, threshold), lines, ranks, threshold))
-
-    # the earliest line of a class goes if the class is settled; its others always do
-    later = keyed.where(repeated).select("place", "k1", "k2").join(many.select("k1", "k2", "first"), ["k1", "k2"]).where("place > first")
-    return places.named(settled.select(F.col("id").alias("place")).unionByName(later.select("place")).distinct())
+    levels = _levels(docs)
+    with Scratch(docs.sparkSession) as scratch:
+        keyed = scratch.written(keyed_lines(lines, levels, threshold), "keyed")
+        groups = keyed.groupBy("k1", "k2").agg(F.min("place").alias("first"), F.count("*").alias("n"))
+        many = scratch.written(groups.where("n > 1").select("k1", "k2", "first"), "many")
+        repeated = in_map(mapped(many, F.col("k1")), F.col("k1"))
+        classes = scratch.written(line_classes(keyed, many, repeated), "classes")
+
+        often = _entries(classes).where(F.col("token") >= _least_code(OFTEN))
+        earliest = often.groupBy("token").agg(F.min(F.struct("id", "at", "low", "high")).alias("e")).select("token", "e.*")
+        met = often.join(_seconds(earliest), "token").where("other < id").where(_may_match(threshold))
+        first = _verified(scratch, "first", met.select("id", "other").distinct(), lines, threshold)
+
+        # only classes that may be settled are dealt out to find those that are
+        maybe = in_map(mapped(first, F.col("id")), F.col("id"))
+        open_ = _entries(classes.where(~maybe).unionByName(classes.where(maybe).join(first, "id", "left_anti")))
+        more = open_.join(_seconds(_entries(classes)), "token").where("other < id").where(_may_match(threshold))
+        settled = first.unionByName(_verified(scratch, "second", _paired(more, threshold), lines, threshold))
+
+        # the earliest line of a class goes if the class is settled; its others always do
+        later = keyed.where(repeated).join(many, ["k1", "k2"]).where("place > first").select("place")
+        return written(places.named(settled.select(F.col("id").alias("place")).unionByName(later).distinct()), "lines-removed")
+
+
+def _kept_marks(gone: Column) -> Column:
+    """One character a line up to the last of the sorted numbers ``gone``: x for these, a blank for others."""
+    before = F.concat(F.array(F.lit(-1)), gone)
+    gaps = F.zip_with(gone, before, lambda i, j: F.when(i.isNotNull(), F.concat(F.repeat(F.lit(" "), i - j - 1), F.lit("x"))))
+    return F.array_join(gaps, "").cast("binary")
 
 
 def without_lines(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with ``text_col`` cut down to the lines that stay, and two more columns, ``n_lines`` and
     ``n_removed``."""
-    gone = written(later_matches(renamed(docs, doc_id=id_col, text=text_col), threshold), "lines-removed")
-    listed = gone.groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_list("line_no").alias("_gone"))
-    lines = F.split(F.col(f"`{text_col}`"), "\n")
-    kept = F.filter(lines, lambda _, i: ~F.array_contains("_gone", i))
-    text = F.array_join(kept, "\n")
-    others = [F.col(f"`{c}`") for c in docs.columns if c not in (text_col, "n_lines", "n_removed")]
+    counts = ("n_lines", "n_removed")
+    columns = [c for c in docs.columns if c not in counts]
+    rows = docs.select([F.col(f"`{c}`") for c in columns])
+    # the joined table's names must not be those of any column
+    ours = "_" * (1 + max(map(len, columns)))
+    doc, marks, n_gone = ours + "d", ours + "m", ours + "n"
+    gone = later_matches(renamed(docs, doc_id=id_col, text=text_col), threshold)
+    listed = gone.groupBy(F.col("doc_id").alias(doc)).agg(F.sort_array(F.collect_list("line_no")).alias("lines"))
+    listed = listed.select(doc, _kept_marks(F.col("lines")).alias(marks), F.size("lines").cast("long").alias(n_gone))
+
+    text = F.col(f"`{text_col}`")
+    lines = F.split(text, "\n")
+    # past the last mark the part is empty
+    stays = lambda _, i: F.substring(F.col(marks), i + 1, F.lit(1)) != F.lit(b"x")
+    cut = F.when(F.col(marks).isNull(), text).otherwise(F.array_join(F.filter(lines, stays), "\n"))
+    n_lines = F.coalesce(F.array_size(lines), F.lit(0)).cast("long").alias("n_lines")
+    out = lambda cut, n: [*[cut.alias(c) if c == text_col else F.col(f"`{c}`") for c in columns], n_lines, n.alias("n_removed")]
 
     # documents that lose nothing are not dealt out
-    touched = F.coalesce(in_map(mapped(gone, F.col("doc_id")), F.col(f"`{id_col}`")), F.lit(False))
-    n_lines = F.coalesce(F.array_size(lines), F.lit(0)).cast("long")
-    joined = docs.where(touched).join(listed, F.col(f"`{id_col}`") == F.col("_doc"), "left")
-    cut = joined.select(*others, F.when(F.col("_gone").isNull(), F.col(f"`{text_col}`")).otherwise(text).alias(text_col), n_lines.alias("n_lines"), F.coalesce(F.array_size("_gone"), F.lit(0)).cast("long").alias("n_removed"))
-    whole = docs.where(~touched).select(*others, F.col(f"`{text_col}`"), n_lines.alias("n_lines"), F.lit(0).cast("long").alias("n_removed"))
-    order = [F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_removed")] + [F.col("n_lines"), F.col("n_removed")]
-    return cut.unionByName(whole).select(order)
+    touched = F.coalesce(in_map(mapped(listed, F.col(doc)), F.col(f"`{id_col}`")), F.lit(False))
+    some = rows.where(touched).join(listed, F.col(f"`{id_col}`") == F.col(doc), "left")
+    return some.select(out(cut, F.coalesce(n_gone, F.lit(0).cast("long")))).unionByName(rows.where(~touched).select(out(text, F.lit(0).cast("long"))))

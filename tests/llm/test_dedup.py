@@ -102,9 +102,11 @@ def cut_lines(rows, share=0.8):
     return {(k, t): None if t is None else "\n".join(x for i, x in enumerate(t.split("\n")) if (k, i) not in gone) for k, t in rows}
 
 
-@pytest.mark.parametrize("apart", [1, -1, 1 << 50])
-def test_lines(spark, apart):
-    """Ids near each other, descending below zero, and too far apart for places to be longs."""
+@pytest.mark.parametrize(("apart", "often"), [(1, 1024), (-1, 1), (1 << 50, 50)])
+def test_lines(spark, monkeypatch, apart, often):
+    """Ids near each other, descending below zero, and too far apart for places to be longs; no, all or some tokens
+    meet their earliest class first."""
+    monkeypatch.setattr(lines, "OFTEN", often)
     rnd = random.Random(5)
     vocabulary = [f"w{i}" for i in range(60)]
     base = [[rnd.choice(vocabulary) for _ in range(rnd.randint(1, 25))] for _ in range(12)]
@@ -127,6 +129,33 @@ def test_lines(spark, apart):
     assert all(r.text == by_id[r.doc_id] for r in got)
 
 
+def test_lines_of_any_columns_and_copies(spark):
+    """Column names that an operator may use, rows of one id, and counts that are replaced."""
+    rows = [(1, "a b c d e\nx", 7), (1, "a b c d e\nx", 7), (2, "e d c b a\ny", 8), (2, "other\nx", 9), (3, None, 1)]
+    docs = spark.createDataFrame([(*r, "p", "q", 5) for r in rows], "_doc long, _gone string, n_lines long, __m string, ___n string, n_removed long")
+    got = lines.without_lines(docs, id_col="_doc", text_col="_gone")
+    assert got.columns == ["_doc", "_gone", "__m", "___n", "n_lines", "n_removed"]
+    found = sorted((r["_doc"], r["_gone"], r.n_lines, r.n_removed) for r in got.collect() if r["_gone"] is not None)
+    # of document 2 the first line goes, as in one of its rows, and the second
+    assert found == [(1, "a b c d e\nx", 2, 0), (1, "a b c d e\nx", 2, 0), (2, "", 2, 2), (2, "", 2, 2)]
+
+
+def test_lines_of_a_long_document(spark):
+    """Time is in proportion: 300,000 lines of which all but two go."""
+    rows = [(1, "\n".join(["first line of all"] * 150_000 + ["quite another line"] + ["first line of all"] * 150_000)), (2, "x")]
+    got = {r.doc_id: r for r in lines.without_lines(frame(spark, rows)).collect()}
+    assert (got[1].text, got[1].n_lines, got[1].n_removed) == ("first line of all\nquite another line", 300_001, 299_999)
+    assert (got[2].text, got[2].n_removed) == ("x", 0)
+
+
+def test_lines_of_a_hot_group(spark):
+    """Thousands of near copies of one line, each of another token set, take no pair of each other."""
+    words = [f"w{i}" for i in range(30)]
+    rows = [(k, " ".join(words[:k % 30] + [f"x{k}"] + words[k % 30 + 1 :])) for k in range(3000)]
+    got = lines.without_lines(frame(spark, rows)).agg({"n_removed": "sum"}).first()[0]
+    assert got == 2999
+
+
 def test_lines_ids(spark):
     with pytest.raises(TypeError):
         lines.without_lines(spark.createDataFrame([("a", "w1")], "doc_id string, text string"))
