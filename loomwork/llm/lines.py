@@ -8,7 +8,7 @@ Lines of equal token sets form one class, which its earliest line stands for. To
 hashes are counted over all texts in a table of fixed size, and a token's code is the level of its bucket's count
 followed by 58 bits of its hash, so codes sort from rare to frequent. Two sets that are similar enough share a token
 among the first few codes (the prefix). Classes meet on those, and length and positional filters, a map of marks that
-each token flips one of, and the number of prefix tokens that a pair shares drop pairs that can't reach the threshold.
+each token flips one of (64, or 128 for lines of many tokens), and the number of prefix tokens that a pair shares drop pairs that can't reach the threshold.
 What remains is verified on the whole token sets, by 64-bit hashes.
 
 Large groups: each class first meets the earliest class of each of its prefix tokens that stand often in the corpus,
@@ -37,13 +37,15 @@ from loomwork.llm._common import Scratch, in_map, mapped, renamed, written
 
 THRESHOLD = 0.8
 #: Buckets of the table of token counts, and how many of them are collected as one row (powers of two).
-BUCKET_BITS = 20
-ROW_BITS = 12
+BUCKET_BITS = 18
+ROW_BITS = 10
 #: Levels of a count: three for two doublings.
 LEVEL_BITS = 6
 LEVELS = 1.5
 #: Tokens that stand so often may have large groups.
 OFTEN = 1024
+#: Lines of more tokens than this have 128 marks.
+WIDE = 96
 #: Lines that a document may have, and the span of ids whose places fit a long.
 LINES = 1 << 31
 SPAN = 1 << 32
@@ -92,21 +94,22 @@ def _level(count: Column) -> Column:
     return F.least(F.floor(F.log2(count) * LEVELS) + 1, F.lit((1 << LEVEL_BITS) - 1)).cast("int")
 
 
-def _levels(docs: DataFrame) -> bytes:
-    """The level of each bucket's count of token hashes, one byte a bucket: 64 plus the level with its highest bit
-    turned, so that codes sort as signed numbers."""
+def _levels(docs: DataFrame) -> Column:
+    """The level of each bucket's count of token hashes as the highest bits of a code, as a constant array."""
     # lines don't matter here, and a replaced character is cheaper than a second split
-    text = F.replace("text", F.lit("\n"), F.lit(" "))
-    words = docs.select(text.alias("line")).select(F.explode(_words("line")).alias("w"))
+    others = "\t\n\x0b\f\r"
+    text = reduce(lambda c, other: F.replace(c, F.lit(other), F.lit(" ")), others, F.col("text"))
+    words = docs.select(F.explode(F.split(text, " ")).alias("w")).where("w <> ''")
     counts = words.groupBy(F.xxhash64("w").bitwiseAND((1 << BUCKET_BITS) - 1).alias("bucket")).agg(F.count("*").alias("n"))
     packed = F.shiftleft(F.col("bucket").bitwiseAND((1 << ROW_BITS) - 1), LEVEL_BITS).bitwiseOR(_level(F.col("n")).cast("long"))
     rows = counts.groupBy(F.shiftright("bucket", ROW_BITS).alias("row")).agg(F.collect_list(packed).alias("levels"))
-    turned = 1 << LEVEL_BITS - 1
-    out = bytearray([64 + turned]) * (1 << BUCKET_BITS)
+    out = [0] * (1 << BUCKET_BITS)
     for row, levels in rows.collect():
         for x in levels:
-            out[(row << ROW_BITS) + (x >> LEVEL_BITS)] = 64 + ((x & (1 << LEVEL_BITS) - 1) ^ turned)
-    return bytes(out)
+            out[(row << ROW_BITS) + (x >> LEVEL_BITS)] = x & (1 << LEVEL_BITS) - 1
+    half = 1 << LEVEL_BITS - 1  # codes are signed
+    tops = [str(level - half << 64 - LEVEL_BITS) for level in range(2 * half)]
+    return F.split(F.lit(",".join([tops[x] for x in out])), ",").cast("array<long>")
 
 
 def _least_code(count: int) -> Column:
@@ -118,12 +121,9 @@ def _hashes() -> Column:
     return F.array_distinct(F.transform(_words("line"), lambda w: F.xxhash64(w)))
 
 
-def _codes(levels: bytes) -> Column:
-    table = F.lit(levels)
-
+def _codes(levels: Column) -> Column:
     def code(h: Column) -> Column:
-        level = F.ascii(F.substring(table, (h.bitwiseAND((1 << BUCKET_BITS) - 1) + 1).cast("int"), F.lit(1)).cast("string"))
-        return F.shiftleft(level.cast("long"), 64 - LEVEL_BITS).bitwiseOR(F.shiftrightunsigned(h, LEVEL_BITS))
+        return F.get(levels, h.bitwiseAND((1 << BUCKET_BITS) - 1).cast("int")).bitwiseOR(F.shiftrightunsigned(h, LEVEL_BITS))
 
     return F.sort_array(F.transform(_hashes(), code))
 
@@ -134,20 +134,21 @@ def _at_least(size: Column, threshold: float) -> Column:
     return F.ceil(size * (threshold / (1 + threshold)) - 1e-9)
 
 
-def keyed_lines(lines: DataFrame, levels: bytes, threshold: float = THRESHOLD) -> DataFrame:
-    """(place, k1, k2, size, low, high, prefix) of each line with tokens: two digests of its token set, 128 marks that
-    each token flips one of, and the prefix."""
+def keyed_lines(lines: DataFrame, levels: Column, threshold: float = THRESHOLD) -> DataFrame:
+    """(place, k1, k2, size, low, high, prefix) of each line with tokens: two digests of its token set, the
+    marks that each token flips one of, and the prefix. All marks of ``low`` and ``high`` together, taken as flips of
+    one map of 64, are comparable whatever the sizes."""
     # a condition on the codes would be pushed below the projection and have them made twice
     tokens = lines.where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select("place", _codes(levels).alias("codes"))
     size = F.size("codes")
     prefix = F.slice("codes", F.lit(1), (size - F.ceil(size * threshold - 1e-9) + 1).cast("int"))
-    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
-
-    def marks(half: int) -> Column:
-        flipped = lambda h: F.when(h.bitwiseAND(64) == half, F.call_function("shiftleft", one, h.bitwiseAND(63).cast("int"))).otherwise(none)
-        return F.aggregate("codes", none, lambda m, h: m.bitwiseXOR(flipped(h)))
-
-    return tokens.select("place", F.xxhash64("codes").alias("k1"), F.xxhash64(F.lit(7), "codes").alias("k2"), size.alias("size"), marks(0).alias("low"), marks(64).alias("high"), prefix.alias("prefix"))
+    none = F.lit(0).cast("long")
+    flip = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(63).cast("int"))
+    every = F.aggregate("codes", none, lambda m, h: m.bitwiseXOR(flip(h)))
+    half = F.aggregate("codes", none, lambda m, h: F.when(h.bitwiseAND(64) == 0, m).otherwise(m.bitwiseXOR(flip(h))))
+    high = F.when(size > WIDE, half).otherwise(none)
+    keyed = tokens.select("place", F.xxhash64("codes").alias("k1"), F.xxhash64(F.lit(7), "codes").alias("k2"), size.alias("size"), every.alias("every"), high.alias("high"), prefix.alias("prefix"))
+    return keyed.select("place", "k1", "k2", "size", F.col("every").bitwiseXOR(F.col("high")).alias("low"), "high", "prefix")
 
 
 def line_classes(keyed: DataFrame, many: DataFrame, repeated: Column) -> DataFrame:
@@ -159,10 +160,13 @@ def line_classes(keyed: DataFrame, many: DataFrame, repeated: Column) -> DataFra
     return keyed.where(~repeated).select(columns).unionByName(some.select(columns))
 
 
-def _entries(classes: DataFrame) -> DataFrame:
-    """(token, id, at, low, high): each class under the tokens of its prefix; ``at`` packs its size and the place."""
-    each = classes.select("id", "size", "low", "high", F.posexplode("prefix").alias("pos", "token"))
-    return each.select("token", "id", F.shiftleft(F.col("size").cast("long"), 32).bitwiseOR(F.col("pos").cast("long")).alias("at"), "low", "high")
+def _entries(classes: DataFrame, least: Column | None = None) -> DataFrame:
+    """(token, id, at, low, high): each class under the tokens of its prefix, of those with codes from ``least`` on.
+    ``at`` packs size and place. A token is named by 32 bits here; two of one name only give more pairs to verify."""
+    each = classes.select("id", "size", "low", "high", F.posexplode("prefix").alias("pos", "code"))
+    if least is not None:
+        each = each.where(F.col("code") >= least)
+    return each.select(F.hash("code").alias("token"), "id", F.shiftleft(F.col("size").cast("long"), 32).bitwiseOR(F.col("pos").cast("long")).alias("at"), "low", "high")
 
 
 def _seconds(entries: DataFrame) -> DataFrame:
@@ -176,7 +180,8 @@ def _may_match(threshold: float) -> Column:
     least = _at_least(size + size2, threshold)
     reach = F.least(pos, pos2) + 1 + F.least(size - pos - 1, size2 - pos2 - 1)
     # a mark in which the sets differ stands for a token that only one of them has
-    apart = F.bit_count(F.col("low").bitwiseXOR(F.col("low2"))) + F.bit_count(F.col("high").bitwiseXOR(F.col("high2")))
+    low, high = F.col("low").bitwiseXOR(F.col("low2")), F.col("high").bitwiseXOR(F.col("high2"))
+    apart = F.when((size > WIDE) & (size2 > WIDE), F.bit_count(low) + F.bit_count(high)).otherwise(F.bit_count(low.bitwiseXOR(high)))
     return (F.least(size, size2) >= F.greatest(size, size2) * threshold - F.lit(1e-9)) & (reach >= least) & (apart <= size + size2 - 2 * least)
 
 
@@ -189,10 +194,12 @@ def _paired(met: DataFrame, threshold: float) -> DataFrame:
     return pairs.where(F.col("shared") >= _at_least(F.col("size") + F.col("size2"), threshold) - beyond).select("id", "other")
 
 
-def _verified(scratch: Scratch, name: str, pairs: DataFrame, lines: DataFrame, threshold: float) -> DataFrame:
+def _verified(scratch: Scratch, name: str, pairs: DataFrame, docs: DataFrame, places: Places, threshold: float) -> DataFrame:
     """The ids of pairs (id, other) whose whole token sets are similar enough, each once."""
     pairs = scratch.written(pairs, f"{name}_pairs")
-    needed = mapped(pairs.select(F.explode(F.array("id", "other")).alias("place")), F.col("place"))
+    ends = pairs.select(F.explode(F.array("id", "other")).alias("place"))
+    needed, needed_docs = mapped(ends, F.col("place")), mapped(places.named(ends), F.col("doc_id"))
+    lines = places.split(docs.where(in_map(needed_docs, F.col("doc_id"))))
     # repeated rows give a line more than once
     some = lines.where(in_map(needed, F.col("place"))).dropDuplicates(["place", "line"])
     one = pairs.join(some.select(F.col("place").alias("id"), "line"), "id").select("id", "other", _hashes().alias("x"))
@@ -207,29 +214,28 @@ def later_matches(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, line_no) of the lines of (doc_id, text) to be removed."""
     docs = docs.where("doc_id is not null")
     places = Places(docs)
-    lines = places.split(docs)
     levels = _levels(docs)
     with Scratch(docs.sparkSession) as scratch:
-        keyed = scratch.written(keyed_lines(lines, levels, threshold), "keyed")
+        keyed = scratch.written(keyed_lines(places.split(docs), levels, threshold), "keyed")
         groups = keyed.groupBy("k1", "k2").agg(F.min("place").alias("first"), F.count("*").alias("n"))
         many = scratch.written(groups.where("n > 1").select("k1", "k2", "first"), "many")
         repeated = in_map(mapped(many, F.col("k1")), F.col("k1"))
+        # the earliest line of a class goes if the class is settled; its others always do
+        later = scratch.written(keyed.where(repeated).select("k1", "k2", "place").join(many, ["k1", "k2"]).where("place > first").select("place"), "later")
         classes = scratch.written(line_classes(keyed, many, repeated), "classes")
+        scratch.drop("keyed", "many")
 
-        often = _entries(classes).where(F.col("token") >= _least_code(OFTEN))
+        often = _entries(classes, _least_code(OFTEN))
         earliest = often.groupBy("token").agg(F.min(F.struct("id", "at", "low", "high")).alias("e")).select("token", "e.*")
         met = often.join(_seconds(earliest), "token").where("other < id").where(_may_match(threshold))
-        first = _verified(scratch, "first", met.select("id", "other").distinct(), lines, threshold)
+        first = _verified(scratch, "first", met.select("id", "other").distinct(), docs, places, threshold)
 
         # only classes that may be settled are dealt out to find those that are
         maybe = in_map(mapped(first, F.col("id")), F.col("id"))
         open_ = _entries(classes.where(~maybe).unionByName(classes.where(maybe).join(first, "id", "left_anti")))
         more = open_.join(_seconds(_entries(classes)), "token").where("other < id").where(_may_match(threshold))
-        settled = first.unionByName(_verified(scratch, "second", _paired(more, threshold), lines, threshold))
-
-        # the earliest line of a class goes if the class is settled; its others always do
-        later = keyed.where(repeated).join(many, ["k1", "k2"]).where("place > first").select("place")
-        return written(places.named(settled.select(F.col("id").alias("place")).unionByName(later).distinct()), "lines-removed")
+        second = _verified(scratch, "second", _paired(more, threshold), docs, places, threshold)
+        return written(places.named(first.unionByName(second).select(F.col("id").alias("place")).unionByName(later).distinct()), "lines-removed")
 
 
 def _kept_marks(gone: Column) -> Column:
