@@ -124,16 +124,16 @@ def text_bytes(column: pa.Array) -> Iterator[bytes]:
 
 
 #: Bits of the maps that rows are screened by before they are dealt out: about 16 for each key, between these powers
-#: of two, so a map is 8 MiB at most.
-MAP_BITS = (20, 26)
+#: of two. A map is broadcast as rows of 64 bits, so as half a million rows at most.
+MAP_BITS = (16, 25)
 
 
 @dataclasses.dataclass(frozen=True)
 class BitMap:
-    """A bit for each key's hash, as a constant of the plan."""
+    """A bit for each key's hash: ``words`` (word, map)."""
 
     bits: int
-    data: bytes
+    words: DataFrame
 
 
 def _hashed(key: Column, bits: int) -> Column:
@@ -142,21 +142,31 @@ def _hashed(key: Column, bits: int) -> Column:
 
 def mapped(df: DataFrame, key: Column) -> BitMap:
     """A bit map of ``key`` over the rows of ``df``, sized by their number. It lets every row in that has its key there,
-    and some others: about one in 16, and more only beyond 4 million keys."""
-    bits = min(max(MAP_BITS[0], (df.count() * 16 - 1).bit_length()), MAP_BITS[1])
-    h = _hashed(key, bits).alias("h")
-    size = 1 << 15  # bits of one of Spark's bitmap buckets
-    data = bytearray((1 << bits) // 8)
-    at = df.select(h).select(F.shiftright("h", 15).alias("bucket"), F.col("h").bitwiseAND(size - 1).alias("at"))
-    for bucket, part in at.groupBy("bucket").agg(F.bitmap_construct_agg("at")).collect():
-        data[bucket * size // 8 : (bucket + 1) * size // 8] = part
-    return BitMap(bits, bytes(data))
-
-
-def in_map(bit_map: BitMap, key: Column) -> Column:
+    and some others: about one in 16, and more only beyond two million keys."""
+    bits = min(max(MAP_BITS[0], (df.count() * 16).bit_length()), MAP_BITS[1])
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("h").bitwiseAND(63).cast("int"))
+    words = df.select(_hashed(key, bits).alias("h")).groupBy(F.shiftright("h", 6).alias("word")).agg(F.bit_or(bit).alias("map"))
+    return BitMap(bits, written(words, "bit-map"))
+
+
+def _probed(df: DataFrame, bit_map: BitMap, key: Column, how: str) -> tuple[DataFrame, Column]:
+    """``df`` with its word of the map, in columns of new names, and whether the key's bit is set there."""
+    ours = "_" * (1 + max(map(len, df.columns)))
     h = _hashed(key, bit_map.bits)
-    byte = F.substring(F.lit(bit_map.data), (F.shiftright(h, 3) + 1).cast("int"), F.lit(1))
-    return F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), h.bitwiseAND(7).cast("int")) == 1
+    joined = df.join(F.broadcast(bit_map.words.toDF(f"{ours}w", f"{ours}m")), F.shiftright(h, 6) == F.col(f"{ours}w"), how)
+    return joined, F.getbit(F.col(f"{ours}m"), h.bitwiseAND(63).cast("int")) == 1
+
+
+def inside(df: DataFrame, bit_map: BitMap, key: Column) -> DataFrame:
+    """The rows whose key may be in the map: all that are, and few others."""
+    joined, there = _probed(df, bit_map, key, "inner")
+    return joined.where(there).select([F.col(f"`{c}`") for c in df.columns])
+
+
+def outside(df: DataFrame, bit_map: BitMap, key: Column) -> DataFrame:
+    """The other rows: no key of theirs is in the map."""
+    joined, there = _probed(df, bit_map, key, "left")
+    return joined.where(~F.coalesce(there, F.lit(False))).select([F.col(f"`{c}`") for c in df.columns])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:

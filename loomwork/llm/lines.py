@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from loomwork.llm._common import Scratch, in_map, mapped, renamed, written
+from loomwork.llm._common import BitMap, Scratch, inside, mapped, outside, renamed, written
 
 THRESHOLD = 0.8
 #: Buckets of the table of token counts, and how many of them are collected as one row (powers of two).
@@ -95,7 +95,8 @@ def _level(count: Column) -> Column:
 
 
 def _levels(docs: DataFrame) -> Column:
-    """The level of each bucket's count of token hashes as the highest bits of a code, as a constant array."""
+    """The level of each bucket's count of token hashes, from below zero on so that codes sort as signed numbers, as a
+    constant array."""
     # lines don't matter here, and a replaced character is cheaper than a second split
     others = "\t\n\x0b\f\r"
     text = reduce(lambda c, other: F.replace(c, F.lit(other), F.lit(" ")), others, F.col("text"))
@@ -107,9 +108,8 @@ def _levels(docs: DataFrame) -> Column:
     for row, levels in rows.collect():
         for x in levels:
             out[(row << ROW_BITS) + (x >> LEVEL_BITS)] = x & (1 << LEVEL_BITS) - 1
-    half = 1 << LEVEL_BITS - 1  # codes are signed
-    tops = [str(level - half << 64 - LEVEL_BITS) for level in range(2 * half)]
-    return F.split(F.lit(",".join([tops[x] for x in out])), ",").cast("array<long>")
+    half = 1 << LEVEL_BITS - 1
+    return F.split(F.lit(",".join([str(x - half) for x in out])), ",").cast("array<tinyint>")
 
 
 def _least_code(count: int) -> Column:
@@ -123,7 +123,8 @@ def _hashes() -> Column:
 
 def _codes(levels: Column) -> Column:
     def code(h: Column) -> Column:
-        return F.get(levels, h.bitwiseAND((1 << BUCKET_BITS) - 1).cast("int")).bitwiseOR(F.shiftrightunsigned(h, LEVEL_BITS))
+        level = F.get(levels, h.bitwiseAND((1 << BUCKET_BITS) - 1).cast("int"))
+        return F.shiftleft(level.cast("long"), 64 - LEVEL_BITS).bitwiseOR(F.shiftrightunsigned(h, LEVEL_BITS))
 
     return F.sort_array(F.transform(_hashes(), code))
 
@@ -151,13 +152,13 @@ def keyed_lines(lines: DataFrame, levels: Column, threshold: float = THRESHOLD)
     return keyed.select("place", "k1", "k2", "size", F.col("every").bitwiseXOR(F.col("high")).alias("low"), "high", "prefix")
 
 
-def line_classes(keyed: DataFrame, many: DataFrame, repeated: Column) -> DataFrame:
+def line_classes(keyed: DataFrame, many: DataFrame, repeated: BitMap) -> DataFrame:
     """(id, size, low, high, prefix): the classes of equal token sets, named by the place of their earliest lines. Lines
     that surely have no equal are classes as they are; only the others are dealt out."""
-    some = keyed.where(repeated).join(many, ["k1", "k2"], "left").where(F.coalesce("first", "place") == F.col("place"))
+    some = inside(keyed, repeated, F.col("k1")).join(many, ["k1", "k2"], "left").where(F.coalesce("first", "place") == F.col("place"))
     some = some.dropDuplicates(["place", "k1", "k2"])
     columns = [F.col("place").alias("id"), "size", "low", "high", "prefix"]
-    return keyed.where(~repeated).select(columns).unionByName(some.select(columns))
+    return outside(keyed, repeated, F.col("k1")).select(columns).unionByName(some.select(columns))
 
 
 def _entries(classes: DataFrame, least: Column | None = None) -> DataFrame:
@@ -199,9 +200,9 @@ def _verified(scratch: Scratch, name: str, pairs: DataFrame, docs: DataFrame, pl
     pairs = scratch.written(pairs, f"{name}_pairs")
     ends = pairs.select(F.explode(F.array("id", "other")).alias("place"))
     needed, needed_docs = mapped(ends, F.col("place")), mapped(places.named(ends), F.col("doc_id"))
-    lines = places.split(docs.where(in_map(needed_docs, F.col("doc_id"))))
+    lines = places.split(inside(docs, needed_docs, F.col("doc_id")))
     # repeated rows give a line more than once
-    some = lines.where(in_map(needed, F.col("place"))).dropDuplicates(["place", "line"])
+    some = inside(lines, needed, F.col("place")).dropDuplicates(["place", "line"])
     one = pairs.join(some.select(F.col("place").alias("id"), "line"), "id").select("id", "other", _hashes().alias("x"))
     both = one.join(some.select(F.col("place").alias("other"), "line"), "other").select("id", "x", _hashes().alias("y"))
     shared = F.size(F.array_intersect("x", "y"))
@@ -219,9 +220,9 @@ def later_matches(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         keyed = scratch.written(keyed_lines(places.split(docs), levels, threshold), "keyed")
         groups = keyed.groupBy("k1", "k2").agg(F.min("place").alias("first"), F.count("*").alias("n"))
         many = scratch.written(groups.where("n > 1").select("k1", "k2", "first"), "many")
-        repeated = in_map(mapped(many, F.col("k1")), F.col("k1"))
+        repeated = mapped(many, F.col("k1"))
         # the earliest line of a class goes if the class is settled; its others always do
-        later = scratch.written(keyed.where(repeated).select("k1", "k2", "place").join(many, ["k1", "k2"]).where("place > first").select("place"), "later")
+        later = scratch.written(inside(keyed.select("k1", "k2", "place"), repeated, F.col("k1")).join(many, ["k1", "k2"]).where("place > first").select("place"), "later")
         classes = scratch.written(line_classes(keyed, many, repeated), "classes")
         scratch.drop("keyed", "many")
 
@@ -231,8 +232,8 @@ def later_matches(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         first = _verified(scratch, "first", met.select("id", "other").distinct(), docs, places, threshold)
 
         # only classes that may be settled are dealt out to find those that are
-        maybe = in_map(mapped(first, F.col("id")), F.col("id"))
-        open_ = _entries(classes.where(~maybe).unionByName(classes.where(maybe).join(first, "id", "left_anti")))
+        maybe = mapped(first, F.col("id"))
+        open_ = _entries(outside(classes, maybe, F.col("id")).unionByName(inside(classes, maybe, F.col("id")).join(first, "id", "left_anti")))
         more = open_.join(_seconds(_entries(classes)), "token").where("other < id").where(_may_match(threshold))
         second = _verified(scratch, "second", _paired(more, threshold), docs, places, threshold)
         return written(places.named(first.unionByName(second).select(F.col("id").alias("place")).unionByName(later).distinct()), "lines-removed")
@@ -267,6 +268,6 @@ def without_lines(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "
     out = lambda cut, n: [*[cut.alias(c) if c == text_col else F.col(f"`{c}`") for c in columns], n_lines, n.alias("n_removed")]
 
     # documents that lose nothing are not dealt out
-    touched = F.coalesce(in_map(mapped(listed, F.col(doc)), F.col(f"`{id_col}`")), F.lit(False))
-    some = rows.where(touched).join(listed, F.col(f"`{id_col}`") == F.col(doc), "left")
-    return some.select(out(cut, F.coalesce(n_gone, F.lit(0).cast("long")))).unionByName(rows.where(~touched).select(out(text, F.lit(0).cast("long"))))
+    touched, key = mapped(listed, F.col(doc)), F.col(f"`{id_col}`")
+    some = inside(rows, touched, key).join(listed, key == F.col(doc), "left")
+    return some.select(out(cut, F.coalesce(n_gone, F.lit(0).cast("long")))).unionByName(outside(rows, touched, key).select(out(text, F.lit(0).cast("long"))))

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.llm._common import in_arrow, in_map, mapped, renamed, text_bytes, written
+from loomwork.llm._common import in_arrow, inside, mapped, outside, renamed, text_bytes, written
 
 LENGTH = 50
 BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
@@ -145,7 +145,7 @@ def _windows(docs: DataFrame, places: DataFrame, length: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([ids, pa.array(np.repeat(anchor, n)), pa.array(start - np.repeat(at, n), pa.int32()), pa.array(digest), pa.array(start, pa.int32())], ["doc_id", "anchor", "off", "digest", "start"])
 
     # most texts need not be dealt out
-    needed = docs.where(in_map(mapped(places, F.col("doc_id")), F.col("doc_id")))
+    needed = inside(docs, mapped(places, F.col("doc_id")), F.col("doc_id"))
     chosen = needed.join(places, "doc_id").select("doc_id", "text", "places")
     return in_arrow(chosen, work, f"doc_id {kind}, anchor long, off int, digest long, start int")
 
@@ -159,7 +159,7 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     classes = written(classes.select("anchor", "reach", F.col("first.doc_id").alias("owner"), "first.at", "first.before", "first.more", "n"), "reach-classes")
 
     shared = classes.where("n > 1").select("anchor", "reach", "owner")
-    screened = found.where(in_map(mapped(shared, F.col("reach")), F.col("reach")))
+    screened = inside(found, mapped(shared, F.col("reach")), F.col("reach"))
     later = screened.join(shared, ["anchor", "reach"]).where("doc_id > owner").select("doc_id", F.explode("at").alias("at"), "before", "more")
     start = F.col("at") - F.col("before")
     whole = later.select("doc_id", start.alias("start"), (start + F.col("more") + length).alias("end"))
@@ -214,7 +214,7 @@ def _cut(docs: DataFrame, length: int, texts: bool) -> DataFrame:
 
     spans = written(repeats(docs, length).distinct().groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
     schema = f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string" + ", kept string" * texts
-    touched = F.coalesce(in_map(mapped(spans, F.col("doc_id")), F.col("doc_id")), F.lit(False))
-    with_spans = docs.where(touched).join(spans, "doc_id", "left").select("doc_id", "text", "spans")
-    without = docs.where(~touched).select("doc_id", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
+    touched = mapped(spans, F.col("doc_id"))
+    with_spans = inside(docs, touched, F.col("doc_id")).join(spans, "doc_id", "left").select("doc_id", "text", "spans")
+    without = outside(docs, touched, F.col("doc_id")).select("doc_id", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
     return in_arrow(with_spans, work, schema).unionByName(in_arrow(without, work, schema))
