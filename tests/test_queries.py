@@ -1,5 +1,9 @@
 """Every registered query against its SQL twin on the smallest tables."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -54,3 +58,11 @@ def test_stream_job_audits_its_annotated_rows(spark, term):
     assert rows.count() > 0 and got.count() > 0
     assert sorted(map(repr, got.select(want.columns).collect())) == sorted(map(repr, want.collect()))
     assert spark.read.parquet(trace).selectExpr("sum(record_count)").first()[0] == rows.count()
+
+
+def test_the_entry_without_a_library_of_the_training_data_operators(tmp_path):
+    """The core queries stay when a library that only those operators import is missing."""
+    code = "import sys; sys.modules['xxhash'] = None; import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    root = str(Path(__file__).resolve().parents[1])
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True)
+    assert done.stdout.split()[-2:] == [str(len(plans.QUERIES)), str(len(plans.SQL))]
