@@ -47,7 +47,8 @@ def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive = warc.write(table(spark, sf_dir, "pages", "page_id", "url", "html"), min_bytes=0)
-    return warc.read(archive).select("page_id", "payload_bytes", F.col("stored_digest").alias("payload_digest"), "record_type", "refers_to")
+    records = warc.read(archive)
+    return records.select("page_id", "payload_bytes", F.col("stored_digest").alias("payload_digest"), "record_type", "refers_to", F.sha2(warc.record_of(), 256).alias("record_sha256"))
 
 
 def op9_substring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,10 @@ header block. ``record_bytes`` gives the standard record (header block, empty li
 Of records with equal payloads of at least ``min_bytes`` bytes, the one with the smallest page_id is the response and
 the others are revisits that refer to it; records with smaller payloads are all responses.
 
-Nulls: a null payload is empty, a null url an empty target. Rows with a null page_id are archived like others and
+Header lines end in CR LF alone, whatever other line separators a url holds. A url with CR or LF is stored with these
+and ``%`` percent-encoded, under a field of ours that says so, and comes back as it was; so are ids that are strings.
+
+Nulls: a null payload is empty, a null url an empty target; a null id has a record id without a last part. Rows with a null page_id are archived like others and
 never are a revisit's response unless no other row has the payload; then refers_to is null too. Repeated page_ids with
 equal payloads are responses alike.
 """
@@ -16,9 +19,11 @@ equal payloads are responses alike.
 from __future__ import annotations
 
 import dataclasses
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from loomwork.llm._common import renamed, written
 
@@ -53,15 +58,17 @@ def write(pages: DataFrame, min_bytes: int = 0, date: str = "1970-01-01T00:00:00
     records = small.join(firsts, "digest")
     again = (F.col("bytes") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     kept = F.when(again, "revisit").otherwise("response")
-    # line ends can't enter a header field
-    target = F.regexp_replace("url", r"[\r\n]", "")
-    urn = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("")), F.lit(">"))
+    several = F.contains("url", F.lit("\r")) | F.contains("url", F.lit("\n"))
+    target = F.when(several, _encoded(F.col("url"))).otherwise(F.col("url"))
+    plain = lambda c: _encoded(c) if isinstance(kind, StringType) else c.cast("string")
+    urn = lambda c: F.when(c.isNull(), "<urn:page>").otherwise(F.concat(F.lit("<urn:page:"), plain(c), F.lit(">")))
     fields = [
         F.lit("WARC/1.1"),
         F.concat(F.lit("WARC-Type: "), kept),
         F.concat(F.lit("WARC-Record-ID: "), urn(F.col("page_id"))),
         F.lit(f"WARC-Date: {date}"),
         F.concat(F.lit("WARC-Target-URI: "), target),
+        F.when(several, F.lit("X-Target-URI-Encoding: percent")),
         F.concat(F.lit("WARC-Payload-Digest: sha1:"), F.col("sha1")),
         F.when(again, F.concat(F.lit("WARC-Refers-To: "), urn(F.col("first_id")))),
         F.when(again, F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
@@ -75,7 +82,20 @@ def write(pages: DataFrame, min_bytes: int = 0, date: str = "1970-01-01T00:00:00
 
 
 def _field(name: str) -> Column:
-    return F.regexp_extract("header", rf"(?m)^{name}: ?(.*?)\r?$", 1)
+    """A field's value; empty if the header has no such field."""
+    return F.regexp_extract("header", rf"(?:^|\r\n){name}: ([^\r\n]*)", 1)
+
+
+#: What is encoded: a percent sign first, and decoded last.
+ENCODED = (("%", "%25"), ("\r", "%0D"), ("\n", "%0A"))
+
+
+def _encoded(text: Column) -> Column:
+    return reduce(lambda c, pair: F.replace(c, *map(F.lit, pair)), ENCODED, text)
+
+
+def _decoded(text: Column) -> Column:
+    return reduce(lambda c, pair: F.replace(c, F.lit(pair[1]), F.lit(pair[0])), ENCODED[::-1], text)
 
 
 def read(archive: Archive, id_type: str = "long") -> DataFrame:
@@ -90,12 +110,17 @@ def read(archive: Archive, id_type: str = "long") -> DataFrame:
         F.octet_length("payload").cast("long").alias("payload_bytes"),
         base32_sha1(F.col("payload")).alias("stored_digest"),
     )
-    page = lambda c: F.nullif(F.regexp_extract(c, "^<urn:page:(.*)>$", 1), F.lit("")).cast(id_type)
+
+    def page(urn: Column) -> Column:
+        text = F.when(urn.startswith("<urn:page:"), F.regexp_extract(urn, "(?s)^<urn:page:(.*)>$", 1))
+        return (_decoded(text) if id_type == "string" else text).cast(id_type)
+
+    stored_url = _field("WARC-Target-URI")
     records = archive.headers.select(
         "digest",
         "header",
         page(_field("WARC-Record-ID")).alias("page_id"),
-        _field("WARC-Target-URI").alias("url"),
+        F.when(_field("X-Target-URI-Encoding") == "percent", _decoded(stored_url)).otherwise(stored_url).alias("url"),
         _field("WARC-Type").alias("record_type"),
         page(_field("WARC-Refers-To")).alias("refers_to"),
         F.regexp_replace(_field("WARC-Payload-Digest"), "^sha1:", "").alias("payload_digest"),
@@ -103,7 +128,12 @@ def read(archive: Archive, id_type: str = "long") -> DataFrame:
     return records.join(payloads, "digest").select("page_id", "url", "record_type", "refers_to", "payload_digest", "header", "payload", "payload_bytes", "stored_digest")
 
 
-def record_bytes(records: DataFrame) -> DataFrame:
-    """(page_id, record): the record as it stands in a WARC file; a revisit has an empty block."""
+def record_of() -> Column:
+    """The record as it stands in a WARC file, from the columns of ``read``; a revisit has an empty block."""
     block = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
-    return records.select("page_id", F.concat(F.col("header").cast("binary"), F.lit(END.encode()), block, F.lit((END * 2).encode())).alias("record"))
+    return F.concat(F.col("header").cast("binary"), F.lit(END.encode()), block, F.lit((END * 2).encode()))
+
+
+def record_bytes(records: DataFrame) -> DataFrame:
+    """(page_id, record) of each record."""
+    return records.select("page_id", record_of().alias("record"))

@@ -134,6 +134,19 @@ def test_archive(spark, least):
     assert warc.read(warc.write(pages.limit(0))).count() == 0
 
 
+def test_archive_gives_back_urls_and_ids_as_they_were(spark):
+    """Line separators of any kind can't enter a header as lines, and come back."""
+    ends = ["\x85", "\u2028", "\u2029", "\r", "\n", "\r\n", "%0D", "%250A\r", ""]
+    ids = ["", "a", "b>", "c%0A", "d\r\nWARC-Refers-To: <urn:page:a>", "e\u2028", "f\n", "g%", "h"]
+    urls = [f"http://a/{end}WARC-Refers-To: <urn:page:77>" for end in ends]
+    pages = spark.createDataFrame([(k, u, f"body of {k}") for k, u in zip(ids, urls, strict=True)] + [(None, None, "x")], "page_id string, url string, html string")
+    records = warc.read(warc.write(pages), "string").collect()
+    assert sorted((r.page_id or "-", r.url) for r in records) == sorted([*((k or "-", u) for k, u in zip(ids, urls, strict=True)), ("-", "")])
+    assert {r.page_id for r in records} == {*ids, None} and all(r.refers_to is None and r.record_type == "response" for r in records)
+    again = warc.read(warc.write(pages.unionByName(pages.selectExpr("concat('z', page_id) as page_id", "url", "html"))), "string").where("record_type = 'revisit'")
+    assert {(r.page_id, r.refers_to) for r in again.collect()} == {("z" + k, k) for k in ids}
+
+
 def test_archive_raises_on_a_false_payload(spark):
     archive = warc.write(spark.createDataFrame([(1, "u", "abc")], "page_id long, url string, html string"))
     bad = warc.Archive(archive.headers, archive.payloads.withColumn("payload", F.lit(b"abd")))
