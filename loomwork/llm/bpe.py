@@ -35,6 +35,8 @@ from loomwork.llm._common import Memo, in_arrow, renamed, text_bytes
 KNOWN = 400_000
 #: What the normalizer takes for white space.
 SPACE = regex.compile(r"\p{White_Space}+")
+#: What the pre-tokenizer takes for a word. ``pieces`` relies on it, so another file's pattern is not accepted.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 def byte_alphabet() -> list[str]:
@@ -49,11 +51,15 @@ def byte_alphabet() -> list[str]:
 BOUNDARY = re.compile(rb"(?:(?<=[a-z])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))(?=[!-&(-@\[-`{-~])")
 
 
+def whole_words(text: bytes) -> bool:
+    """Whether a text may hold a special token's name or a combining mark."""
+    return b"<|" in text or b"\xcc" in text or b"\xcd" in text
+
+
 def pieces(text: bytes) -> list[bytes]:
     """A text cut where no token and no composition of characters can reach across: at ASCII white space and, with A-Z
-    lower-cased as the vocabulary's normalizer does, at BOUNDARY. Texts that may hold a special token's name or a
-    combining mark are cut at white space alone."""
-    if b"<|" in text or b"\xcc" in text or b"\xcd" in text:
+    lower-cased as the vocabulary's normalizer does, at BOUNDARY. Texts of ``whole_words`` are cut at white space alone."""
+    if whole_words(text):
         return text.split()
     return BOUNDARY.sub(b" ", text.lower()).split()
 
@@ -153,12 +159,30 @@ class MergeAutomaton:
         return path
 
 
+def read_spec(path: str) -> dict:
+    """A vocabulary file, if its texts are normalized and split as this module does it; another raises ValueError."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    model, normalizer, splitter = spec["model"], spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}
+    steps = [(n.get("type"), n.get("pattern"), n.get("content")) for n in normalizer.get("normalizers", ())]
+    parts = splitter.get("pretokenizers", ())
+    sound = {
+        "normalizer": steps == [("NFC", None, None), ("Replace", {"Regex": r"\s+"}, " "), ("Lowercase", None, None)],
+        "pre_tokenizer": [p.get("type") for p in parts] == ["Split", "ByteLevel"] and parts[0].get("invert") and parts[0].get("behavior") == "Removed" and parts[0].get("pattern") == {"Regex": WORDS} and not parts[1].get("add_prefix_space") and not parts[1].get("use_regex"),
+        "model": model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges")),
+        "decoder": spec.get("decoder") is None,
+        "added_tokens": all(t["special"] and t["content"].startswith("<|") and not (t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"]) for t in spec.get("added_tokens", ())),
+    }
+    if not all(sound.values()):
+        raise ValueError(f"{path}: not a file of the kind that this module encodes: {[k for k, ok in sound.items() if not ok]}")
+    return spec
+
+
 class Codec:
     """Encoder and decoder of one vocabulary file: normalization, pre-split and the automaton."""
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+        spec = read_spec(path)
         model = spec["model"]
         merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
         end = model.get("end_of_word_suffix") or ""
@@ -166,8 +190,7 @@ class Codec:
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.label = {i: t for t, i in model["vocab"].items()} | {i: t for t, i in self.special.items()}
         self.at_special = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
-        steps = spec["pre_tokenizer"]["pretokenizers"]
-        self.words = regex.compile(next(s["pattern"]["Regex"] for s in steps if s["type"] == "Split"))
+        self.words = regex.compile(WORDS)
         self.alphabet = byte_alphabet()
         self.memo = Memo(self.encode_piece)
         self.spoken = Memo(self.speak)

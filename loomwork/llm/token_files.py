@@ -7,12 +7,13 @@ each; ``select`` finds any of them through the directory, so no table of 64-bit
 commits the images as rows of a Parquet table, which works on any store and survives lost executors.
 
 Nulls: a null text is empty and holds the end id alone; rows with a null doc_id come first. Rows with the same
-doc_id keep no particular order among themselves. An empty input gives a table without segments.
+doc_id stand in the order of their texts, a null one first. An empty input gives a table without segments.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -20,12 +21,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomwork.llm import bpe
-from loomwork.llm._common import in_arrow, renamed, text_bytes, written
+from loomwork.llm._common import in_arrow, renamed, written
 
 #: A segment is closed at so many ids or documents; a longer document makes a longer segment of its own.
 SEGMENT_IDS = 1 << 16
@@ -36,8 +38,16 @@ HEAD = struct.Struct("<4sBBHQQQ")  # magic, bytes an id, low bits, unused, bound
 MAGIC = b"TIDS"
 #: Pieces of a generation that a worker remembers.
 MEMO = 400_000
-#: Documents that are handed to the library together.
-STEP = 200
+#: Bytes of text that are cut into pieces together.
+STEP_BYTES = 8 << 20
+
+
+#: Kinds of bytes: white space; what a letter ends with; ASCII punctuation or a digit, the apostrophe excepted; and,
+#: after 0xC3, the last byte of an accented letter. They are those of ``bpe.pieces``.
+BLANK, LETTER, MARK = 1, 2, 4
+KINDS = np.array([BLANK if bytes([b]).isspace() else LETTER if 0x61 <= b <= 0x7A else MARK if re.match(rb"[!-&(-@\[-`{-~]", bytes([b])) else 0 for b in range(256)], np.uint8)
+LATER = np.array([LETTER if 0x80 <= b <= 0xBF and b not in (0x97, 0xB7) else 0 for b in range(256)], np.uint8)
+LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
 
 
 class EliasFano:
@@ -96,6 +106,29 @@ def opened(blob: bytes) -> tuple[EliasFano, np.ndarray]:
     return ends, np.frombuffer(blob, f"<u{width}", size, at)
 
 
+def cut_pieces(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The pieces of ``bpe.pieces`` of all texts, as one dictionary array, and the number of each text's. The bytes are
+    classed in numpy, so that only distinct pieces cost Python anything."""
+    texts = texts.cast(pa.large_binary()).fill_null(b"")
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    ends = ends[1:] - ends[0]
+    kept = LOWER[data]
+    after = np.zeros(len(data) + 1, np.uint8)  # the class of what stands before each place
+    after[1:] = KINDS[kept]
+    accented = np.flatnonzero(kept[:-1] == 0xC3) + 1
+    after[accented + 1] |= LATER[kept[accented]]
+    starts_new = np.zeros(len(data) + 1, bool)
+    starts_new[:-1] = ((after[:-1] & LETTER) > 0) & ((KINDS[kept] & MARK) > 0)
+    starts_new[np.concatenate((np.zeros(1, np.int64), ends))] = True
+    solid = (after[1:] & BLANK) == 0
+    starts_new[1:-1] |= ~solid[:-1]
+    first = np.flatnonzero(starts_new[:-1] & solid)
+    offsets = np.append(np.concatenate((np.zeros(1, np.int64), np.cumsum(solid)))[first], solid.sum()) if len(first) else np.zeros(1, np.int64)
+    pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(kept[solid])])
+    return pieces.dictionary_encode(), np.diff(np.searchsorted(first, ends, side="left"), prepend=0)
+
+
 class _Encoder:
     """The library with the ids of the pieces it has encoded, in two generations, so that memory is bounded."""
 
@@ -103,18 +136,19 @@ class _Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the work
         from tokenizers import Tokenizer
 
+        bpe.read_spec(tokenizer)  # raises for a file whose texts can't be cut so
         self.library = Tokenizer.from_file(tokenizer)
         self.library.no_truncation()
         self.library.no_padding()
         self.new: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
-    def learned(self, texts: list[list[bytes]], width: int) -> dict[bytes, bytes]:
-        """The ids of all pieces of the texts; each new piece goes to the library once."""
+    def learned(self, pieces: list[bytes], width: int) -> dict[bytes, bytes]:
+        """The ids of all the distinct pieces; each new one goes to the library once."""
         if len(self.new) > MEMO:
             self.old, self.new = self.new, {}
         new, old, unknown = self.new, self.old, []
-        for piece in {p for pieces in texts for p in pieces}:
+        for piece in pieces:
             if piece not in new:
                 if piece in old:
                     new[piece] = old[piece]
@@ -122,9 +156,31 @@ class _Encoder:
                     unknown.append(piece)
         found = self.library.encode_batch_fast([p.decode("utf-8", "replace") for p in unknown], add_special_tokens=False)
         for piece, e in zip(unknown, found, strict=True):
-            new[piece] = np.array(e.ids, f"<u{width}").tobytes()
+            new[piece] = struct.pack(f"<{len(e)}{'H' if width == 2 else 'I'}", *e.ids)
         return new
 
+    def encoded(self, texts: pa.Array, width: int) -> list[bytes]:
+        """The ids of each text."""
+        raw = texts.cast(pa.large_binary()).fill_null(b"")
+        odd = [i for i, t in enumerate(raw) if bpe.whole_words(t.as_py())]
+        plain = raw if not odd else pc.if_else(pa.array(np.isin(np.arange(len(raw)), odd)), pa.scalar(b"", pa.large_binary()), raw)
+        pieces, count = cut_pieces(plain)
+        words = pieces.dictionary.to_pylist()
+        memo = self.learned(words, width)
+        each = [memo[w] for w in words]
+        size = np.fromiter(map(len, each), np.int64, len(each)) // width
+        ids, at = np.frombuffer(b"".join(each), f"<u{width}"), np.cumsum(size) - size
+        index = pieces.indices.to_numpy()
+        till = np.cumsum(size[index])
+        spread = np.repeat(at[index] - (till - size[index]), size[index]) + np.arange(till[-1] if len(till) else 0)
+        cuts = np.concatenate((np.zeros(1, np.int64), till))[np.cumsum(count)]
+        out = [part.tobytes() for part in np.split(ids[spread], cuts)[: len(raw)]]
+        for i in odd:
+            split = raw[i].as_py().split()
+            memo = self.learned(list(dict.fromkeys(split)), width)
+            out[i] = b"".join([memo[p] for p in split])
+        return out
+
 
 @lru_cache(maxsize=4)
 def _encoder(tokenizer: str, end_id: int) -> _Encoder:
@@ -132,6 +188,17 @@ def _encoder(tokenizer: str, end_id: int) -> _Encoder:
     return _Encoder(tokenizer)
 
 
+def _steps(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """(first, number) of runs of texts of about STEP_BYTES."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    at = held = 0
+    for i, size in enumerate(sizes.tolist()):
+        held += size
+        if held >= STEP_BYTES or i == len(sizes) - 1:
+            yield at, i + 1 - at
+            at, held = i + 1, 0
+
+
 def write(docs: DataFrame, tokenizer: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write the token-id table of ``docs`` to the shared folder and return it as read back: ``part``, ``segment``,
     ``start`` (ids of the part before the segment), ``n_ids``, ``doc_ids`` and ``image``."""
@@ -154,24 +221,23 @@ def write(docs: DataFrame, tokenizer: str, end_id: int = 2, id_col: str = "doc_i
                 ["part", "segment", "start", "n_ids", "doc_ids", "image"],
             )
 
-        for batch in (b.slice(at, STEP) for b in batches for at in range(0, b.num_rows, STEP)):
+        for batch in batches:
             keyed = batch["doc_id"].type
-            split = [bpe.pieces(text) for text in text_bytes(batch["text"])]
-            memo = encoder.learned(split, width)
-            for key, pieces in zip(batch["doc_id"].to_pylist(), split, strict=True):
-                ids = b"".join([memo[p] for p in pieces]) + end
-                if keys and (held + len(ids) // width > SEGMENT_IDS or len(keys) >= SEGMENT_DOCS):
-                    yield closed()
-                    segment, start = segment + 1, start + held
-                    keys, lengths, parts, held = [], [], [], 0
-                keys.append(key)
-                lengths.append(len(ids) // width)
-                parts.append(ids)
-                held += len(ids) // width
+            for at, n in _steps(batch["text"]):
+                for key, ids in zip(batch["doc_id"].slice(at, n).to_pylist(), encoder.encoded(batch["text"].slice(at, n), width), strict=True):
+                    ids += end
+                    if keys and (held + len(ids) // width > SEGMENT_IDS or len(keys) >= SEGMENT_DOCS):
+                        yield closed()
+                        segment, start = segment + 1, start + held
+                        keys, lengths, parts, held = [], [], [], 0
+                    keys.append(key)
+                    lengths.append(len(ids) // width)
+                    parts.append(ids)
+                    held += len(ids) // width
         if keys:
             yield closed()
 
-    dealt = renamed(docs, doc_id=id_col, text=text_col).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    dealt = renamed(docs, doc_id=id_col, text=text_col).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     schema = f"part int, segment int, start long, n_ids long, doc_ids array<{kind}>, image binary"
     return written(in_arrow(dealt, work, schema), "token-ids")
 

@@ -8,6 +8,7 @@ from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -69,6 +70,30 @@ def test_token_files(spark, monkeypatch):
     assert token_files.read(token_files.write(frame(spark, []), PATH)).count() == 0
 
 
+def test_files_of_another_kind_raise():
+    for read in (bpe.codec, lambda path: token_files._encoder(path, 2)):
+        with pytest.raises(ValueError, match="pre_tokenizer"):
+            read(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_pieces_of_many_texts_at_once():
+    """numpy's cut against the pattern's, text by text, from the middle of an array too."""
+    texts = [None if t is None else t.encode() for t in TEXTS + noise(500)] + [b"caf\xc3\xa9-x \xc3\x97, \xc3\xb7! \xc3\x89.", b"", b"a.", b".a", None]
+    texts = [None if t is not None and bpe.whole_words(t) else t for t in texts]
+    for some in (pa.array(texts), pa.array(texts)[7:], pa.array(texts)[:0], pa.array([b"", None])):
+        pieces, count = token_files.cut_pieces(some)
+        want = [bpe.pieces(t or b"") for t in some.to_pylist()]
+        assert count.tolist() == [len(w) for w in want]
+        assert pieces.to_pylist() == [p for w in want for p in w]
+
+
+def test_rows_of_one_id_stand_in_the_order_of_their_texts(spark):
+    docs = spark.createDataFrame([(1, "the cat"), (1, None), (1, "a"), (None, "of"), (1, "the cat")], "doc_id long, text string")
+    rows = sorted(token_files.read(token_files.write(docs, PATH)).collect(), key=lambda r: r.start)
+    library = Tokenizer.from_file(PATH)
+    assert [(r.doc_id, r.ids) for r in rows] == [(k, [*library.encode(t, add_special_tokens=False).ids, 2]) for k, t in [(None, "of"), (1, ""), (1, "a"), (1, "the cat"), (1, "the cat")]]
+
+
 def test_segments_are_closed_in_order(spark, monkeypatch):
     lengths, ids = [3, 1, 70_000, 2], np.arange(70_006) % 49_000
     ends, back = token_files.opened(token_files.image(lengths, ids, 2))
