@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import dataclasses
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -123,47 +122,38 @@ def text_bytes(column: pa.Array) -> Iterator[bytes]:
         yield value.as_py() or b""
 
 
-#: Bits of the maps that rows are screened by before they are dealt out: about 16 for each key, between these powers
-#: of two. A map is broadcast as rows of 64 bits, so as half a million rows at most.
-MAP_BITS = (16, 25)
+#: Bits of the maps that rows are screened by before they are dealt out. A map is broadcast as its rows of 64 bits that
+#: aren't empty, so as one row for each key, and half a million at most.
+MAP_BITS = 25
 
 
-@dataclasses.dataclass(frozen=True)
-class BitMap:
-    """A bit for each key's hash: ``words`` (word, map)."""
+def _hashed(key: Column) -> Column:
+    return F.xxhash64(key).bitwiseAND((1 << MAP_BITS) - 1)
 
-    bits: int
-    words: DataFrame
 
-
-def _hashed(key: Column, bits: int) -> Column:
-    return F.xxhash64(key).bitwiseAND((1 << bits) - 1)
-
-
-def mapped(df: DataFrame, key: Column) -> BitMap:
-    """A bit map of ``key`` over the rows of ``df``, sized by their number. It lets every row in that has its key there,
-    and some others: about one in 16, and more only beyond two million keys."""
-    bits = min(max(MAP_BITS[0], (df.count() * 16).bit_length()), MAP_BITS[1])
+def mapped(df: DataFrame, key: Column) -> DataFrame:
+    """(word, map): a bit map of the hashes of ``key`` over the rows of ``df``. It lets every row in that has its key
+    there, and some others: few up to two million keys, nearly all far beyond, where it only costs."""
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("h").bitwiseAND(63).cast("int"))
-    words = df.select(_hashed(key, bits).alias("h")).groupBy(F.shiftright("h", 6).alias("word")).agg(F.bit_or(bit).alias("map"))
-    return BitMap(bits, written(words, "bit-map"))
+    words = df.select(_hashed(key).alias("h")).groupBy(F.shiftright("h", 6).alias("word")).agg(F.bit_or(bit).alias("map"))
+    return written(words, "bit-map")
 
 
-def _probed(df: DataFrame, bit_map: BitMap, key: Column, how: str) -> tuple[DataFrame, Column]:
+def _probed(df: DataFrame, bit_map: DataFrame, key: Column, how: str) -> tuple[DataFrame, Column]:
     """``df`` with its word of the map, in columns of new names, and whether the key's bit is set there."""
     ours = "_" * (1 + max(map(len, df.columns)))
-    h = _hashed(key, bit_map.bits)
-    joined = df.join(F.broadcast(bit_map.words.toDF(f"{ours}w", f"{ours}m")), F.shiftright(h, 6) == F.col(f"{ours}w"), how)
+    h = _hashed(key)
+    joined = df.join(F.broadcast(bit_map.toDF(f"{ours}w", f"{ours}m")), F.shiftright(h, 6) == F.col(f"{ours}w"), how)
     return joined, F.getbit(F.col(f"{ours}m"), h.bitwiseAND(63).cast("int")) == 1
 
 
-def inside(df: DataFrame, bit_map: BitMap, key: Column) -> DataFrame:
+def inside(df: DataFrame, bit_map: DataFrame, key: Column) -> DataFrame:
     """The rows whose key may be in the map: all that are, and few others."""
     joined, there = _probed(df, bit_map, key, "inner")
     return joined.where(there).select([F.col(f"`{c}`") for c in df.columns])
 
 
-def outside(df: DataFrame, bit_map: BitMap, key: Column) -> DataFrame:
+def outside(df: DataFrame, bit_map: DataFrame, key: Column) -> DataFrame:
     """The other rows: no key of theirs is in the map."""
     joined, there = _probed(df, bit_map, key, "left")
     return joined.where(~F.coalesce(there, F.lit(False))).select([F.col(f"`{c}`") for c in df.columns])

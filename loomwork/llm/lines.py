@@ -33,12 +33,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from loomwork.llm._common import BitMap, Scratch, inside, mapped, outside, renamed, written
+from loomwork.llm._common import Scratch, inside, mapped, outside, renamed, written
 
 THRESHOLD = 0.8
 #: Buckets of the table of token counts, and how many of them are collected as one row (powers of two).
-BUCKET_BITS = 18
-ROW_BITS = 10
+BUCKET_BITS = 16
+ROW_BITS = 8
 #: Levels of a count: three for two doublings.
 LEVEL_BITS = 6
 LEVELS = 1.5
@@ -152,7 +152,7 @@ def keyed_lines(lines: DataFrame, levels: Column, threshold: float = THRESHOLD)
     return keyed.select("place", "k1", "k2", "size", F.col("every").bitwiseXOR(F.col("high")).alias("low"), "high", "prefix")
 
 
-def line_classes(keyed: DataFrame, many: DataFrame, repeated: BitMap) -> DataFrame:
+def line_classes(keyed: DataFrame, many: DataFrame, repeated: DataFrame) -> DataFrame:
     """(id, size, low, high, prefix): the classes of equal token sets, named by the place of their earliest lines. Lines
     that surely have no equal are classes as they are; only the others are dealt out."""
     some = inside(keyed, repeated, F.col("k1")).join(many, ["k1", "k2"], "left").where(F.coalesce("first", "place") == F.col("place"))
