@@ -33,12 +33,17 @@ def lookup_fallback(new: DataFrame, existing: DataFrame, columns: list[tuple[str
     return joined.select(*out, F.struct(*metadata, found).alias("_metadata"))
 
 
-def enrich(stream: DataFrame, dimension: DataFrame, key: str, dimension_key: str, columns: Sequence[str], as_of: Column) -> DataFrame:
+def enrich(stream: DataFrame, dimension: DataFrame, key: str, dimension_key: str, columns: Sequence[str], as_of: Column, newest: Sequence[Column] = ()) -> DataFrame:
     """Every row with ``columns`` of the dimension, whose values win where they are not null; missing keys and falsy
-    keys find nothing. The dimension has one row a key."""
+    keys find nothing. Of a key's dimension rows the first in ``newest`` counts; without an order the dimension must
+    have one row a key."""
     old = [c for c in stream.columns if c not in columns]
-    slim = dimension.select(F.col(dimension_key).cast("string").alias("_key"), *[F.col(c).alias(f"_dim_{c}") for c in columns])
-    own = F.when(~falsy(stream, key), F.col(key).cast("string"))
+    # keys of one type are compared as they are, so that a bucketed dimension stays in place
+    alike = stream.schema[key].dataType == dimension.schema[dimension_key].dataType
+    plain = (lambda c: c) if alike else lambda c: c.cast("string")
+    latest = latest_per_key(dimension, [dimension_key], *newest) if newest else dimension
+    slim = latest.select(plain(F.col(dimension_key)).alias("_key"), *[F.col(c).alias(f"_dim_{c}") for c in columns])
+    own = F.when(~falsy(stream, key), plain(F.col(key)))
     joined = stream.withColumn("_own", own).join(slim, F.col("_own") == F.col("_key"), "left")
     merged = [(F.coalesce(f"_dim_{c}", c) if c in stream.columns else F.col(f"_dim_{c}")).alias(c) for c in columns]
     return joined.select(*old, *merged, as_of.alias("_enrichment_timestamp"))

@@ -23,15 +23,16 @@ def main_branch(df: DataFrame, conditions: dict[str, str | None], name: str = "m
 
 
 def error_routes(df: DataFrame, as_of: Column, max_share: float | None = None) -> tuple[DataFrame, DataFrame]:
-    """(success, errors): rows with a truthy ``_error`` become (record, error, timestamp). A larger share of errors
+    """(success, errors): rows with a truthy ``_error`` become (record, error, timestamp), where the record is the whole
+    row; the others stay as they are. A larger share of errors
     than ``max_share`` raises, at the cost of one count."""
     bad = ~falsy(df, "_error")
     if max_share is not None:
         n, wrong = df.agg(F.count("*"), F.count_if(bad)).first()
         if n and wrong / n > max_share:
             raise ValueError(f"{wrong} of {n} rows are errors")
-    errors = df.where(bad).select(F.struct(*[c for c in df.columns if c != "_error"]).alias("record"), F.col("_error").alias("error"), as_of.alias("timestamp"))
-    return df.where(~bad).drop("_error"), errors
+    errors = df.where(bad).select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("record"), F.col("_error").alias("error"), as_of.alias("timestamp"))
+    return df.where(~bad), errors
 
 
 def without_metadata(df: DataFrame) -> DataFrame:

@@ -174,11 +174,11 @@ def p6_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.union_all([df.agg(F.count("*").alias("n")).select(F.lit(name).alias("branch"), "n") for name, df in found.items()])
 
 
-@registered("SELECT event_id, 'bad event' AS error FROM events WHERE event_type = 'error'")
+@registered("SELECT event_id, CASE WHEN event_type = 'error' THEN 'bad event' END AS error, CASE WHEN event_type = 'error' THEN 'bad event' WHEN event_type = 'view' THEN '' END AS kept FROM events")
 def p7_error_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "events").withColumn("_error", F.when(F.col("event_type") == "error", "bad event").when(F.col("event_type") == "view", ""))
-    _, errors = routing.error_routes(rows, as_of())
-    return errors.select("record.event_id", "error")
+    good, errors = routing.error_routes(rows, as_of())
+    return reports.union_all([errors.select("record.event_id", "error", F.col("record._error").alias("kept")), good.select("event_id", F.lit(None).cast("string").alias("error"), F.col("_error").alias("kept"))])
 
 
 @registered(f"SELECT TIMESTAMP '{AS_OF}' AS job_time, 'p' AS pipeline, 's' AS step, c_custkey::VARCHAR AS record_id, 'PROCESSED' AS status FROM customer")
@@ -542,7 +542,7 @@ def z3_stream_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(_streamed(spark, sf_dir, "long")[1]).select("event_id", "member_number", "c_name")
 
 
-@registered(None)
+@registered("SELECT CASE WHEN event_id % 2 = 0 THEN user_id ELSE event_id END AS member FROM events")
 def m5_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two micro-batches of the events under a mapping that changes between them."""
     clock = iter((0.0, 700.0))
@@ -552,6 +552,16 @@ def m5_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.union_all([mapping.map_columns(half, columns()) for half in (events.where("event_id % 2 = 0"), events.where("event_id % 2 = 1"))])
 
 
+@registered("SELECT event_id, 'day' AS way FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-30' UNION ALL SELECT event_id, 'condition' FROM events WHERE value > 50")
+def s3_partition_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of one day, and those under a condition, of a table that is partitioned by its day."""
+    path = fresh_path(spark, "by-day")
+    _table(spark, sf_dir, "events").withColumn("day", F.to_date("ts")).write.partitionBy("day").parquet(path)
+    rows = readers.files(spark, path)
+    day, some = readers.partition_scan(rows, date_col="day", as_of=as_of()), readers.partition_scan(rows, "value > 50")
+    return reports.union_all([day.select("event_id", F.lit("day").alias("way")), some.select("event_id", F.lit("condition").alias("way"))])
+
+
 @registered(
     f"""WITH m AS ({_SUMMARY}) SELECT table_name, record_count, last_reconciled, total_columns, reconciling, confirmed, TIMESTAMP '{AS_OF}' AS validation_timestamp FROM (
  SELECT 'personas' AS table_name, count(*) AS record_count, max(reconciled_timestamp) AS last_reconciled FROM ({_RECONCILED})

@@ -49,13 +49,15 @@ def fan_out(stream: DataFrame, checkpoint: str, sinks: dict[str, Callable[[DataF
 
     def work(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
-        for path, make in sinks.items():
-            rows = make(batch, batch_id)
-            if exactly_once:
-                once(rows, batch_id, path)
-            else:
-                rows.write.mode("append").parquet(path)
-        batch.unpersist()
+        try:
+            for path, make in sinks.items():
+                rows = make(batch, batch_id)
+                if exactly_once:
+                    once(rows, batch_id, path)
+                else:
+                    rows.write.mode("append").parquet(path)
+        finally:
+            batch.unpersist()
 
     return stream.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 

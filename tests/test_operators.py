@@ -173,3 +173,52 @@ def test_repeated_micro_batch_replaces_itself(spark):
     for _ in range(2):
         streams.once(spark.range(3), 5, path)
     assert spark.read.parquet(path).count() == 3
+
+
+def test_enrich_takes_the_latest_row_of_a_key(spark):
+    stream = spark.createDataFrame([(1, "a"), (2, "b"), (0, "c"), (None, "d")], "k long, v string")
+    dimension = spark.createDataFrame([(1, "old", 1), (1, "new", 2), (2, None, 1), (0, "never", 1)], "d long, v string, at int")
+    got = joins.enrich(stream, dimension, "k", "d", ["v"], now(), [F.col("at").desc()])
+    assert sorted((r.k or 0, r.v) for r in got.collect()) == [(0, "c"), (0, "d"), (1, "new"), (2, "b")]
+    as_text = joins.enrich(stream, dimension.withColumn("d", F.col("d").cast("string")), "k", "d", ["v"], now(), [F.col("at").desc()])
+    assert sorted(map(str, as_text.select("k", "v").collect())) == sorted(map(str, got.select("k", "v").collect()))
+
+
+def _arriving(spark, folder, parts):
+    """A stream with one micro-batch for each part of (member_number, hour)."""
+    kind = "member_number string, timestamp timestamp, _dq_status string"
+    for rows in parts:
+        spark.createDataFrame([(k, dt.datetime(2024, 2, 1, hour, 30), "PASSED") for k, hour in rows], kind).coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def test_a_row_behind_the_watermark_is_left_out(spark):
+    """A row for the window of 1 o'clock changes nothing once a batch has ended in which that of 5 o'clock was seen, and
+    windows that the watermark hasn't passed are not emitted."""
+    parts = [[("a", 1), ("b", 1)], [("c", 5)], [("c", 6)], [("d", 1)], [("e", 8)]]
+    out = fresh_path(spark, "late")
+    streams.to_files(streams.stream_audit(_arriving(spark, fresh_path(spark, "arriving"), parts)), out, fresh_path(spark, "checkpoint")).awaitTermination()
+    got = sorted((r.window_start.hour, r.records_processed) for r in spark.read.parquet(out).collect())
+    assert got == [(1, 2), (5, 1), (6, 1)]
+
+
+@pytest.mark.parametrize("exactly_once", [True, False])
+def test_fan_out_in_both_modes(spark, exactly_once):
+    """Once exactly, a batch that is written again replaces itself; at least once, it is appended again."""
+    stream = _arriving(spark, fresh_path(spark, "arriving"), [[("a", 1)], [("b", 2), ("c", 3)]])
+    out, failing = fresh_path(spark, "all"), fresh_path(spark, "failing")
+    fails = [True]
+
+    def broken(batch, batch_id):
+        if batch_id == 1 and fails:
+            fails.pop()
+            raise ValueError("once")
+        return batch
+
+    at = fresh_path(spark, "checkpoint")
+    with pytest.raises(Exception, match="once"):
+        streams.fan_out(stream, at, {out: lambda b, _: b, failing: broken}, exactly_once).awaitTermination()
+    streams.fan_out(stream, at, {out: lambda b, _: b, failing: broken}, exactly_once).awaitTermination()
+    keys = sorted(r.member_number for r in spark.read.parquet(out).collect())
+    assert keys == ["a", "b", "c"] if exactly_once else keys == ["a", "b", "b", "c", "c"]
+    assert spark.read.parquet(failing).count() == 3 and not spark.sparkContext._jsc.getPersistentRDDs()
