@@ -152,13 +152,12 @@ def keyed_lines(lines: DataFrame, levels: Column, threshold: float = THRESHOLD)
     return keyed.select("place", "k1", "k2", "size", F.col("every").bitwiseXOR(F.col("high")).alias("low"), "high", "prefix")
 
 
-def line_classes(keyed: DataFrame, many: DataFrame, repeated: DataFrame) -> DataFrame:
+def line_classes(keyed: DataFrame, repeated: DataFrame) -> DataFrame:
     """(id, size, low, high, prefix): the classes of equal token sets, named by the place of their earliest lines. Lines
-    that surely have no equal are classes as they are; only the others are dealt out."""
-    some = inside(keyed, repeated, F.col("k1")).join(many, ["k1", "k2"], "left").where(F.coalesce("first", "place") == F.col("place"))
-    some = some.dropDuplicates(["place", "k1", "k2"])
-    columns = [F.col("place").alias("id"), "size", "low", "high", "prefix"]
-    return outside(keyed, repeated, F.col("k1")).select(columns).unionByName(some.select(columns))
+    that surely have no equal are classes as they are; only the others are dealt out, one for each class of a task."""
+    columns = ["place", "size", "low", "high", "prefix"]
+    some = inside(keyed, repeated, F.col("k1")).groupBy("k1", "k2").agg(F.min(F.struct(columns)).alias("first")).select("first.*")
+    return outside(keyed, repeated, F.col("k1")).select(columns).unionByName(some).withColumnRenamed("place", "id")
 
 
 def _entries(classes: DataFrame, least: Column | None = None) -> DataFrame:
@@ -223,7 +222,7 @@ def later_matches(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         repeated = mapped(many, F.col("k1"))
         # the earliest line of a class goes if the class is settled; its others always do
         later = scratch.written(inside(keyed.select("k1", "k2", "place"), repeated, F.col("k1")).join(many, ["k1", "k2"]).where("place > first").select("place"), "later")
-        classes = scratch.written(line_classes(keyed, many, repeated), "classes")
+        classes = scratch.written(line_classes(keyed, repeated), "classes")
         scratch.drop("keyed", "many")
 
         often = _entries(classes, _least_code(OFTEN))
