@@ -3,15 +3,14 @@
 The host is what follows the first ``://`` up to ``/``, ``?``, ``#`` or the end, with A-Z lower-cased; the path runs
 from there up to ``?``, ``#`` or the end. A null url, or one without ``://``, has an empty host and path. A rule is a
 host and a path written together: it fits its host and all subdomains where the url's path starts with the rule's;
-the longest rule wins. Rules are compiled into one expression; the model is trained in numpy from a small labelled
-table and sent to the tasks, one float for each bucket. Empty urls get the model's intercept. Repeated rows, very
-long urls and further columns don't matter.
+the longest rule wins, and of two equally long ones the first by its text. Rules are compiled into one expression; the model
+is trained in numpy from a small labelled table and sent to the tasks, one number for each bucket. Empty urls are judged
+like others, by their marks alone. Repeated rows are judged alike; very long urls and further columns don't matter.
 """
 
 from __future__ import annotations
 
 import dataclasses
-import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -19,6 +18,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomwork.llm._common import bounded_batches
+
 #: (verdict, rule) of the registered query.
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
 
@@ -73,8 +74,13 @@ LABELLED = (
     ("http://www.farm-market.test/fr/produit/3", 0),
     ("https://photo.club.test/de/galerie/19", 0),
 )
-BUCKETS = 1 << 15
+BUCKET_BITS = 15
+BUCKETS = 1 << BUCKET_BITS
 GRAMS = (3, 4, 5)
+#: An odd number that grams are multiplied by; a product's upper bits are the bucket.
+MIX = 0x9E3779B97F4A7C15
+#: Rows that a labelled table may have: it is collected and learned from in the driver.
+MAX_LABELLED = 10_000
 
 
 def host(url: Column) -> Column:
@@ -99,13 +105,26 @@ def longest_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -
     return (none, none) if rule is None else (rule, verdict)
 
 
-def features(host: str, path: str) -> np.ndarray:
-    """The distinct buckets of the n-grams of host and path, each marked with the part that it comes from."""
-    out = set()
-    for part, text in ((b"h", b"^" + host.encode() + b"$"), (b"p", b"^" + path.encode() + b"$")):
+def features(hosts: Sequence[str], paths: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(row, bucket) of the distinct buckets of each url's n-grams, for a whole batch at once. The grams of a host and
+    of a path, with a mark at both ends, are told apart."""
+    rows, buckets = [], []
+    for part, texts in ((1, hosts), (2, paths)):
+        marked = [b"^" + t.encode() + b"$" for t in texts]
+        lengths = np.array([len(t) for t in marked], np.int64)
+        data = np.frombuffer(b"".join(marked), np.uint8).astype(np.uint64)
+        row = np.repeat(np.arange(len(marked)), lengths)
         for n in GRAMS:
-            out.update(zlib.crc32(part + text[i : i + n]) % BUCKETS for i in range(len(text) - n + 1))
-    return np.fromiter(out, np.int64, len(out))
+            starts = max(len(data) - n + 1, 0)
+            whole = row[:starts] == row[n - 1 :]  # within one text
+            gram = np.full(starts, n * 4 + part, np.uint64)
+            for i in range(n):
+                gram = gram << np.uint64(8) | data[i : i + starts]
+            mixed = (gram[whole] * np.uint64(MIX)) >> np.uint64(64 - BUCKET_BITS)
+            rows.append(row[:starts][whole])
+            buckets.append(mixed.astype(np.int64))
+    each = np.unique(np.concatenate(rows) << BUCKET_BITS | np.concatenate(buckets))
+    return each >> BUCKET_BITS, each & (BUCKETS - 1)
 
 
 @dataclasses.dataclass(frozen=True)
@@ -113,32 +132,37 @@ class UrlModel:
     weights: np.ndarray
     intercept: float
 
-    def score(self, host: str, path: str) -> float:
-        f = features(host, path)
-        z = self.intercept + float(self.weights[f].sum()) / np.sqrt(max(len(f), 1))
-        return float(1 / (1 + np.exp(-z)))
+    def score(self, hosts: Sequence[str], paths: Sequence[str]) -> np.ndarray:
+        row, bucket = features(hosts, paths)
+        z = np.bincount(row, self.weights[bucket], len(hosts)) / np.sqrt(np.maximum(np.bincount(row, minlength=len(hosts)), 1))
+        return 1 / (1 + np.exp(-(self.intercept + z)))
 
 
 def train(labelled: Sequence[tuple[str, str, int]], epochs: int = 300, rate: float = 0.5, decay: float = 1e-3) -> UrlModel:
-    """Fit (host, path, label) rows by gradient descent; the table is small by contract."""
-    rows = [features(h, p) for h, p, _ in labelled]
-    y = np.array([label for *_, label in labelled], float)
+    """Fit (host, path, label) rows by gradient descent."""
+    if not labelled:
+        return UrlModel(np.zeros(BUCKETS), 0.0)
+    hosts, paths, labels = zip(*labelled, strict=True)
+    row, bucket = features(hosts, paths)
+    share = 1 / np.sqrt(np.maximum(np.bincount(row, minlength=len(hosts)), 1))
+    y = np.array(labels, float)
     w, b = np.zeros(BUCKETS), 0.0
     for _ in range(epochs):
-        z = np.array([w[f].sum() / np.sqrt(max(len(f), 1)) for f in rows]) + b
+        z = np.bincount(row, w[bucket], len(y)) * share + b
         gap = 1 / (1 + np.exp(-z)) - y
-        step = np.zeros(BUCKETS)
-        for f, g in zip(rows, gap, strict=True):
-            step[f] += g / np.sqrt(max(len(f), 1))
-        w -= rate * (step / len(rows) * 10 + decay * w)
+        step = np.bincount(bucket, (gap * share)[row], BUCKETS)
+        w -= rate * (step / len(y) * 10 + decay * w)
         b -= rate * gap.mean()
-    return UrlModel(w.astype(np.float32), b)
+    return UrlModel(w, b)
 
 
 def train_table(labelled: DataFrame) -> UrlModel:
-    """From a small DataFrame (url, label)."""
-    rows = labelled.where("label is not null").select(host(F.col("url")), path(F.col("url")), F.col("label").cast("int")).collect()
-    return train([tuple(r) for r in rows])
+    """From a DataFrame (url, label) of at most MAX_LABELLED rows with a label; more raise."""
+    parts = labelled.where("label is not null").select(host(F.col("url")), path(F.col("url")), F.col("label").cast("int"))
+    rows = parts.limit(MAX_LABELLED + 1).collect()
+    if len(rows) > MAX_LABELLED:
+        raise ValueError(f"more than {MAX_LABELLED} labelled urls")
+    return train(sorted(tuple(r) for r in rows))
 
 
 def judged(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, labelled: DataFrame | None = None, threshold: float = 0.5, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -146,12 +170,13 @@ def judged(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, labelled:
     if labelled is None:
         labelled = pages.sparkSession.createDataFrame(list(LABELLED), "url string, label int")
     model = pages.sparkSession.sparkContext.broadcast(train_table(labelled))
+    bounded_batches(pages.sparkSession)
 
     @F.pandas_udf("double")
     def score(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         m = model.value
         for hosts, paths in parts:
-            yield pd.Series([m.score(h, p) for h, p in zip(hosts, paths, strict=True)], dtype="float64")
+            yield pd.Series(m.score(hosts.tolist(), paths.tolist()), dtype="float64")
 
     url = F.col(f"`{url_col}`")
     split = pages.select(F.col(f"`{id_col}`").alias("page_id"), host(url).alias("host"), path(url).alias("path"))
