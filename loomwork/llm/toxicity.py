@@ -191,6 +191,10 @@ class Model:
             at = till
         return np.maximum(top + self.bias, 0) @ self.out + self.out_bias
 
+    def limits(self, langs: list[str | None]) -> np.ndarray:
+        """The threshold of each row's language."""
+        return np.array([self.thresholds.get(lang, THRESHOLD) for lang in langs], float)
+
     def scores(self, texts: list[np.ndarray]) -> np.ndarray:
         if not self.table:
             return np.full(len(texts), self.share)
@@ -254,24 +258,28 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, longest: int
     return model
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, score) of every row."""
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = None) -> DataFrame:
+    """(doc_id, score, threshold) of every row; the threshold is that of the row's language, THRESHOLD without one."""
     kind = docs.schema[id_col].dataType.simpleString()
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    columns = {"doc_id": id_col, "text": text_col} | ({"lang": lang_col} if lang_col else {})
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
         for batch in batches:
             scores = m.scores([word_ids(text) for text in text_bytes(batch["text"])])
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(scores, pa.float64())], ["doc_id", "score"])
+            limits = m.limits(batch["lang"].to_pylist() if lang_col else [None] * batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(scores, pa.float64()), pa.array(limits, pa.float64())], ["doc_id", "score", "threshold"])
 
-    return in_arrow(renamed(docs, doc_id=id_col, text=text_col), work, f"doc_id {kind}, score double")
+    return in_arrow(renamed(docs, **columns), work, f"doc_id {kind}, score double, threshold double")
 
 
 def judged(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of every row."""
-    scored = score(docs, model)
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    """(doc_id, held_out, score, predicted, threshold, rejected) of every row: ``predicted`` at THRESHOLD, ``rejected``
+    at the threshold of the row's language, as ``without_toxic`` has it."""
+    scored = score(docs, model, lang_col="lang" if "lang" in docs.columns else None)
+    at = lambda limit: (F.col("score") >= limit).cast("int")
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", at(F.lit(THRESHOLD)).alias("predicted"), "threshold", at(F.col("threshold")).alias("rejected"))
 
 
 def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
@@ -286,8 +294,7 @@ def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             scores = m.scores([word_ids(text) for text in text_bytes(batch.column(texts))])
             lang = [None] * batch.num_rows if langs is None else batch.column(langs).to_pylist()
-            limit = np.array([m.thresholds.get(x, THRESHOLD) for x in lang])
-            yield batch.filter(pa.array(scores < limit))
+            yield batch.filter(pa.array(scores < m.limits(lang)))
 
     bounded_batches(docs.sparkSession)
     return docs.mapInArrow(work, docs.schema)
