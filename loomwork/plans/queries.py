@@ -420,12 +420,20 @@ def a3_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.union_all([reports.freshness_row(df, name, "ts", as_of()) for name, df in frames.items()])
 
 
-@registered("SELECT 'stale' AS term_type, 'test' AS environment, 'CRITICAL' AS overall_status")
+@registered(
+    f"""WITH t AS (SELECT 'early' AS table_name, max(ts) AS last FROM events WHERE ts::DATE = DATE '2024-01-30' AND ts < TIMESTAMP '2024-01-30 09:00:00'
+ UNION ALL SELECT 'events', max(ts) FROM events WHERE ts::DATE = DATE '2024-01-30'),
+ m AS (SELECT *, date_diff('minute', last, TIMESTAMP '{AS_OF}')::BIGINT AS n FROM t),
+ s AS (SELECT *, CASE WHEN n > 120 THEN 'ALERT: Data stale' WHEN n > 60 THEN 'WARNING: Check pipeline' ELSE 'OK' END AS label FROM m)
+ SELECT TIMESTAMP '{AS_OF}' AS check_timestamp, 'stale' AS term_type, 'test' AS environment,
+ '[' || string_agg('{{"table_name":"' || table_name || '",' || coalesce('"minutes_since_update":' || n || ',', '') || '"health_status":"' || label || '"}}', ',' ORDER BY table_name) || ']' AS health_metrics,
+ CASE WHEN bool_or(label LIKE 'ALERT%') THEN 'CRITICAL' WHEN bool_or(label LIKE 'WARNING%') THEN 'WARNING' ELSE 'HEALTHY' END AS overall_status FROM s"""
+)
 def z7_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _table(spark, sf_dir, "events")
     row = jobs.health({"events": (events, "ts"), "early": (events.where("ts < timestamp_ntz'2024-01-30 09:00:00'"), "ts")}, as_of(), "stale", "test")
     writers.append(row, path := fresh_path(spark, "health-log"))
-    return spark.read.parquet(path).select("term_type", "environment", "overall_status")
+    return spark.read.parquet(path)
 
 
 _SUMMARY = f"SELECT count(*) AS total_columns, count(*) FILTER (reconcile_sts = 'Y') AS reconciling, count(*) FILTER (reconciled_confirm = 'Y') AS confirmed FROM {_MAPPING_SQL}"
