@@ -2,12 +2,15 @@
 
 ``fingerprints`` gives one 64-bit fingerprint a document. ``links`` finds all pairs of distinct fingerprints that
 differ in at most two bits. The index's upper nodes are shared masked bit patterns: of four bit chunks at least two
-are free of differences, so each fingerprint is filed under the six masks that keep two chunks, and a node holds the
-fingerprints that agree under its mask. A node of more than NODE fingerprints is split by six finer masks over the
-bits that it doesn't share, twice at most: then 56 bits are shared and at most 256 fingerprints remain, so no node
-is unbounded whatever the data, and none is dropped. Within a node the fingerprints are sorted by Gray rank, which
-puts those with common bits together; runs of them become nodes with the bits they share, and the search descends
-on pairs of nodes, adding up differences on shared bits and leaving out whole groups once these pass the limit.
+are free of differences, so each fingerprint is filed under the six masks that keep two chunks. All filed fingerprints
+are put in one order over the cluster: by mask, then by the Gray rank of the pattern under it, then by their own. A node
+is a run of one pattern, and the tasks read the runs as they come, in Gray order, which puts those with common bits
+together. Within a node, runs of fingerprints become nodes with the bits they share, and the search descends on pairs of
+nodes, adding up differences on shared bits and leaving out whole groups once these pass the limit.
+
+A node of more than NODE fingerprints is handed back and filed under six finer masks over the bits that it doesn't
+share, twice at most: then 56 bits are shared and at most 256 fingerprints remain, so no node is unbounded whatever the
+data, and none is dropped. A finer level is planned only if there is such a node.
 
 Work on groups of copies: fingerprints are made distinct first, so copies cost nothing here, and a fingerprint has
 at most 2080 others within two bits, so links never grow with the square of a group.
@@ -71,8 +74,7 @@ def gray_rank(codes: np.ndarray) -> np.ndarray:
 
 
 def node_links(codes: np.ndarray, limit: int = 2) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of distinct codes of one index node that differ in at most ``limit`` bits."""
-    codes = codes[np.argsort(gray_rank(codes))]
+    """All pairs of the distinct codes of one index node, in Gray order, that differ in at most ``limit`` bits."""
     # a level of the tree: for each run of FAN nodes, the bits they share (mask) and their values (pattern)
     levels = [(np.full(len(codes), ~np.uint64(0)), codes)]
     while len(levels[-1][0]) > 1:
@@ -105,29 +107,38 @@ def _masks(chunks: list[int]) -> list[int]:
 def _filed(fps: DataFrame) -> DataFrame:
     """Each fingerprint under the six masks that keep two of the four 16-bit chunks."""
     choices = F.array(*[F.lit(_signed(m)) for m in _masks([0xFFFF << 16 * i for i in range(4)])])
-    return fps.select("fp", F.explode(choices).alias("mask")).withColumn("pattern", F.col("fp").bitwiseAND(F.col("mask")))
+    return fps.select("fp", F.explode(choices).alias("mask"))
 
 
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+def _rank(code: Column) -> Column:
+    """``gray_rank`` as an expression."""
+    for shift in (1, 2, 4, 8, 16, 32):
+        code = code.bitwiseXOR(F.shiftrightunsigned(code, shift))
+    return code
+
+
+def _in_gray_order(filed: DataFrame) -> DataFrame:
+    """(fp, mask) by mask, Gray rank of the pattern and Gray rank; the fingerprints of a node are in one partition."""
+    ranked = filed.select("fp", "mask", _rank(F.col("fp").bitwiseAND(F.col("mask"))).alias("node"), _rank(F.col("fp")).alias("rank"))
+    return ranked.repartitionByRange("mask", "node").sortWithinPartitions("mask", "node", "rank").select("fp", "mask")
+
+
 def links(fps: DataFrame) -> DataFrame:
     """(a, b) with a < b: all pairs of the distinct non-null fingerprints ``fp`` that differ in one or two bits."""
-    found, level, size = None, _filed(fps), 16
+    found, filed, size = None, _filed(fps), 16
     while True:
-        nodes = level.groupBy("mask", "pattern").agg(F.count("*").alias("n")).where("n > 1")
-        level = level.join(nodes, ["mask", "pattern"])
-        # a node's fingerprints are distinct, so one that shares 56 bits can't pass NODE
-        small = level if size == 4 else level.where(F.col("n") <= NODE)
-        held = small.groupBy("mask", "pattern").agg(F.collect_list("fp").alias("fps"))
-        pairs = _searched(held)
+        searched = written(_searched(_in_gray_order(filed), NODE), "fingerprint-pairs")
+        pairs, large = searched.where("held is null").select("a", "b"), searched.where("held is not null")
         found = pairs if found is None else found.unionByName(pairs)
-        if size == 4:
+        # nodes that share 56 bits hold 256 fingerprints at most
+        if size == 4 or large.isEmpty():
             return found.distinct()
-        large = level.where(F.col("n") > NODE).select("fp", F.col("mask").alias("held"))
         size //= 2
-        level = _filed_below(large, size)
+        filed = _filed_below(large.select(F.col("a").alias("fp"), "held"), size)
 
 
 def _filed_below(large: DataFrame, size: int) -> DataFrame:
@@ -138,28 +149,59 @@ def _filed_below(large: DataFrame, size: int) -> DataFrame:
     free = F.flatten(F.array(*[F.when(F.col("held").bitwiseAND(chunk(at)) == 0, F.array(chunk(at), chunk(at + size))).otherwise(F.array().cast("array<long>")) for at in starts]))
     halves = large.withColumn("free", free)
     choices = F.array(*[F.col("held").bitwiseOR(F.col("free")[i]).bitwiseOR(F.col("free")[j]) for i in range(4) for j in range(i + 1, 4)])
-    filed = halves.select("fp", F.explode(choices).alias("mask")).distinct()
-    return filed.withColumn("pattern", F.col("fp").bitwiseAND(F.col("mask")))
+    return halves.select("fp", F.explode(choices).alias("mask")).distinct()
+
 
+def _searched(ordered: DataFrame, most: int) -> DataFrame:
+    """(a, b, held): the pairs of every node of up to ``most`` fingerprints, with no ``held``, and the fingerprints ``a`` of
+    larger nodes with the mask that they are ``held`` under, with no ``b``. A task keeps a batch and ``most`` more."""
 
-def _searched(held: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = masks = none = np.zeros(0, np.uint64)  # the node that the last batch ended in
+        passed = None  # the large node that was handed back last: more of it may come
         for batch in batches:
-            lists = batch["fps"]
-            flat, ends = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64), lists.offsets.to_numpy()
-            ends = ends - ends[0]
-            size = np.diff(ends)
-            two = ends[:-1][size == 2]
-            near = np.bitwise_count(flat[two] ^ flat[two + 1]) <= 2 if len(two) else np.zeros(0, bool)
-            left, right = [flat[two][near]], [flat[two + 1][near]] if len(two) else [flat[:0]]
-            for at in np.flatnonzero(size > 2):
-                a, b = node_links(flat[ends[at] : ends[at + 1]])
-                left.append(a)
-                right.append(b)
-            a, b = (np.concatenate(x).view(np.int64) for x in (left, right))
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
-
-    return in_arrow(held.select("fps"), work, "a long, b long")
+            fps, under = (batch[name].to_numpy().view(np.uint64) for name in ("fp", "mask"))
+            if passed:
+                more = (under == passed[0]) & (fps & under == passed[1])
+                yield _rows(a=fps[more], held=under[more])
+                fps, under = fps[~more], under[~more]
+            codes, masks = np.concatenate([codes, fps]), np.concatenate([masks, under])
+            ends = np.flatnonzero(_begins(codes, masks))[-1:].sum()
+            yield from _node_rows(codes[:ends], masks[:ends], most)
+            codes, masks = codes[ends:], masks[ends:]
+            if len(codes) > most:
+                yield _rows(a=codes, held=masks)
+                passed = masks[0], codes[0] & masks[0]
+                codes = masks = none
+        yield from _node_rows(codes, masks, most)
+
+    return in_arrow(ordered, work, "a long, b long, held long")
+
+
+def _begins(codes: np.ndarray, masks: np.ndarray) -> np.ndarray:
+    """Whether a node begins at each place of a sorted run."""
+    new = np.ones(len(codes), bool)
+    new[1:] = (masks[1:] != masks[:-1]) | ((codes[1:] ^ codes[:-1]) & masks[1:] != 0)
+    return new
+
+
+def _node_rows(codes: np.ndarray, masks: np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
+    starts = np.flatnonzero(_begins(codes, masks))
+    size = np.diff(np.append(starts, len(codes)))
+    two = starts[size == 2]
+    near = two[np.bitwise_count(codes[two] ^ codes[two + 1]) <= 2]
+    small = np.flatnonzero((size > 2) & (size <= most))
+    found = [(codes[near], codes[near + 1]), *[node_links(codes[starts[i] : starts[i] + size[i]]) for i in small]]
+    a, b = (np.concatenate(x).view(np.int64) for x in zip(*found))  # noqa: B905
+    yield _rows(a=np.minimum(a, b), b=np.maximum(a, b))
+    large = np.repeat(size > most, size)
+    yield _rows(a=codes[large], held=masks[large])
+
+
+def _rows(**columns: np.ndarray) -> pa.RecordBatch:
+    given = {name: pa.array(x.view(np.int64)) for name, x in columns.items()}
+    none = pa.nulls(len(columns["a"]), pa.int64())
+    return pa.RecordBatch.from_arrays([given.get(name, none) for name in ("a", "b", "held")], ["a", "b", "held"])
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -7,6 +7,7 @@ import numpy as np
 import pandas as pd
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from loomwork.llm import lines, simhash, substring
 from loomwork.llm.components import connected_components
@@ -64,8 +65,12 @@ def test_simhash_empty(spark):
     assert simhash.near_duplicates(frame(spark, [])).count() == 0
 
 
-def test_index_finds_all_links_when_nodes_are_split(spark, monkeypatch):
+@pytest.mark.parametrize("rows", [7, 2000])
+def test_index_finds_all_links_when_nodes_are_split(spark, monkeypatch, rows):
+    """With batches that end within nodes, and with whole nodes in a batch."""
     monkeypatch.setattr(simhash, "NODE", 256)
+    monkeypatch.setattr("loomwork.llm._common.BATCH_ROWS", rows)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10_000)
     rng = np.random.default_rng(0)
     base = int(rng.integers(0, 2**63))
     codes = {base}
@@ -84,6 +89,20 @@ def test_gray_rank_is_the_inverse_of_the_code():
     assert (simhash.gray_rank(n ^ (n >> np.uint64(1))) == n).all()
 
 
+def test_gray_order_of_the_cluster(spark):
+    """Each node is whole in one partition, and its fingerprints stand in Gray order there."""
+    rng = np.random.default_rng(1)
+    codes = np.unique(rng.integers(0, 2**16, 800).astype(np.uint64) * np.uint64(0x1000100010001))
+    fps = spark.createDataFrame(pd.DataFrame({"fp": codes.view(np.int64)}))
+    rows = simhash._in_gray_order(simhash._filed(fps)).withColumn("part", F.spark_partition_id()).toPandas()
+    assert len(rows) == 6 * len(codes)
+    rows["node"] = rows["fp"] & rows["mask"]
+    assert rows.groupby(["mask", "node"])["part"].nunique().max() == 1
+    for _, node in rows.groupby(["mask", "node"]):
+        rank = simhash.gray_rank(node["fp"].to_numpy().view(np.uint64)).view(np.int64)
+        assert (np.diff(rank) > 0).all()
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 101), (101, 100), (7, 7), (102, 101)]
     got = dict(connected_components(spark.createDataFrame(edges, "a long, b long")).collect())
