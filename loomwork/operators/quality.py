@@ -5,7 +5,7 @@ from __future__ import annotations
 import dataclasses
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,12 +71,22 @@ def split(annotated: DataFrame) -> tuple[DataFrame, DataFrame]:
     return annotated.where("_dq_status = 'PASSED'"), annotated.where("_dq_status = 'FAILED'")
 
 
-def counters(annotated: DataFrame, not_null: Sequence[str] = ("member_number",)) -> DataFrame:
-    """One row: rows, errors (one for each message), successes and nulls of the not_null fields."""
+def _counts(annotated: DataFrame, not_null: Sequence[str]) -> list[Column]:
     nulls = sum((F.count_if(F.col(f"`{c}`").isNull()) for c in not_null if c in annotated.columns), F.lit(0).cast("long"))
-    return annotated.agg(
+    return [
         F.count("*").alias("records_processed"),
         F.coalesce(F.sum(F.coalesce(F.array_size("_dq_errors"), F.lit(0))), F.lit(0)).cast("long").alias("dq_errors"),
         F.count_if(F.col("_dq_status") == "PASSED").alias("dq_passed"),
         nulls.cast("long").alias("null_values"),
-    )
+    ]
+
+
+def counters(annotated: DataFrame, not_null: Sequence[str] = ("member_number",)) -> DataFrame:
+    """One row: rows, errors (one for each message), successes and nulls of the not_null fields."""
+    return annotated.agg(*_counts(annotated, not_null))
+
+
+def observed(annotated: DataFrame, observation: Observation, not_null: Sequence[str] = ("member_number",)) -> DataFrame:
+    """``annotated`` itself; the same counters are taken as its rows pass by, with no second pass, and are in
+    ``observation.get`` after the first action."""
+    return annotated.observe(observation, *_counts(annotated, not_null))

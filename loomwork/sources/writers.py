@@ -1,4 +1,5 @@
-"""Sinks. Self-overwriting writes go to a new version beside the old one, which readers find through a view."""
+"""Sinks. Self-overwriting writes go to a new version beside the old one, which readers find
+through a view of the session, or as the last finished version."""
 
 from __future__ import annotations
 
@@ -59,6 +60,16 @@ def replaced(df: DataFrame, root: str, run: str, view: str | None = None) -> Dat
     return new
 
 
+def current(spark: SparkSession, root: str) -> DataFrame:
+    """The last finished version below ``root``, by the names of runs, for any session: a version counts once its writer has
+    left the mark of success, so readers see the old one or the new one whole."""
+    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/v=*/_SUCCESS")
+    found = there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(there)
+    if not found:
+        raise ValueError(f"{root} has no finished version")
+    return spark.read.parquet(max(status.getPath().getParent().toString() for status in found))
+
+
 def upserted(old: DataFrame, new: DataFrame, key: str, *order: Column) -> DataFrame:
     """Old and new rows with one row a key: the first in ``order``, new ones before old on a tie."""
     both = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)), allowMissingColumns=True)

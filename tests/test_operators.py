@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from loomwork.functions import scalars
@@ -41,6 +42,15 @@ def test_quality_rules(spark):
     assert (passed.count(), failed.count()) == (3, 4)
 
 
+@pytest.mark.parametrize("n", [0, 6])
+def test_counters_are_observed_in_one_pass(spark, n):
+    rows = spark.createDataFrame([(k, None if k % 3 else "x") for k in range(n)], "k int, member_number string")
+    annotated = quality.annotate(rows, [Rule("required", "k"), Rule("not_null", "member_number")])
+    seen = Observation(f"counters-{n}")
+    assert quality.observed(annotated, seen).count() == n
+    assert seen.get == quality.counters(annotated).first().asDict()
+
+
 def test_mapping(spark):
     rows = [("segment", "c_mktsegment", "Y", "N", "2024-02-01"), ("c_name", "", "Y", "Y", "2024-02-01"), ("c_nationkey", None, None, None, "2024-02-01"), ("old", "x", "Y", "Y", "2024-01-01"), ("undated", "x", "Y", "Y", None)]
     latest = mapping.latest_snapshot(spark.createDataFrame(rows, MAPPING), "update_dt")
@@ -164,6 +174,12 @@ def test_sources_and_sinks(spark):
     first = writers.replaced(df, root, "1", "versioned")
     writers.replaced(first.unionByName(first), root, "2", "versioned")
     assert spark.table("versioned").count() == 2
+    # a session that doesn't know the view finds the same version, and never one that isn't finished
+    assert writers.current(spark, root).count() == 2
+    first.unionByName(first).unionByName(first).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{root}/v=3")
+    assert writers.current(spark, root).count() == 2
+    with pytest.raises(ValueError, match="no finished version"):
+        writers.current(spark, fresh_path(spark, "none"))
     loaded = writers.bulk_load(spark, f"{root}/v=2", fresh_path(spark, "staging"), lineage="nosuchscheme://x/y")
     assert loaded.count() == 2
 
