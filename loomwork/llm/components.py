@@ -41,13 +41,17 @@ def _small_star(pairs: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
 
 
-#: The column that numbers rows.
+#: The column that numbers rows in tables of an operator's own columns.
 ROW = "_row"
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` in the shared folder with a number for each row, so that rows are told apart whatever their ids."""
-    return written(docs.withColumn(ROW, F.monotonically_increasing_id()), "documents-by-row")
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` in the shared folder with a number for each row, so that rows are told apart whatever their ids, and the
+    name of that column, which none of ``docs`` has."""
+    taken, row = {c.lower() for c in docs.columns}, ROW
+    while row in taken:
+        row = f"_{row}"
+    return written(docs.withColumn(row, F.monotonically_increasing_id()), "documents-by-row"), row
 
 
 def nodes_of(keyed: DataFrame) -> DataFrame:
@@ -56,8 +60,8 @@ def nodes_of(keyed: DataFrame) -> DataFrame:
     return keyed.groupBy("key").agg(best).withColumn("node", F.col(f"best.{ROW}"))
 
 
-def first_of_each(rows: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """The numbered ``rows`` that are first in their component of ``edges`` (a, b) between ``nodes``."""
+def first_of_each(rows: DataFrame, row: str, nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """The ``rows``, numbered by ``row``, that are first in their component of ``edges`` (a, b) between ``nodes``."""
     labelled = nodes.join(connected_components(edges), "node", "left")
-    stay = labelled.groupBy(F.coalesce("component", "node")).agg(F.min("best").alias("best")).select(f"best.{ROW}")
-    return rows.join(stay, ROW, "left_semi").drop(ROW)
+    stay = labelled.groupBy(F.coalesce("component", "node")).agg(F.min("best").alias("best")).select(F.col(f"best.{ROW}").alias(row))
+    return rows.join(stay, row, "left_semi").drop(row)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomwork.llm._common import WORD_TABLE, bounded_batches, in_arrow, renamed, text_bytes
-from loomwork.llm.components import ROW, numbered
+from loomwork.llm.components import numbered
 
 WIDTH = 13
 #: Windows that are broadcast at most: about 100 bytes each.
@@ -149,14 +149,13 @@ def _scanned(docs: DataFrame, windows: DataFrame) -> DataFrame:
 
 def _joined(docs: DataFrame, windows: DataFrame, width: int) -> DataFrame:
     """The same by a join on whole windows, for benchmarks too large to broadcast."""
-    keyed = numbered(renamed(docs, doc_id="doc_id", text="text"))
-    return _joined_by_row(keyed, windows).drop("row")
+    keyed, row = numbered(renamed(docs, doc_id="doc_id", text="text"))
+    return _joined_by_row(renamed(keyed, row=row, doc_id="doc_id", text="text"), windows).drop("row")
 
 
-def _joined_by_row(rows: DataFrame, windows: DataFrame) -> DataFrame:
-    """``row`` and the columns of SCHEMA for numbered rows."""
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    keyed = renamed(rows, row=ROW, doc_id="doc_id", text="text")
+def _joined_by_row(keyed: DataFrame, windows: DataFrame) -> DataFrame:
+    """``row`` and the columns of SCHEMA for rows (row, doc_id, text)."""
+    kind = keyed.schema["doc_id"].dataType.simpleString()
     lengths = sorted(r[0] for r in windows.select(F.size("window")).distinct().collect())  # at most ``width`` of them
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,9 +194,10 @@ def without_documents(docs: DataFrame, items: DataFrame, share: int = 20, width:
     """``docs`` without the contaminated rows; all other rows and columns as they are."""
     windows = item_windows(items, width)
     if not _small(windows, broadcast_windows):
-        rows = numbered(docs)
-        bad = judged(_joined_by_row(rows, windows), share).where("contaminated").select(F.col("row").alias(ROW))
-        return rows.join(bad, ROW, "left_anti").select(docs.columns)
+        rows, row = numbered(docs)
+        found = _joined_by_row(renamed(rows, row=row, doc_id="doc_id", text="text"), windows)
+        bad = judged(found, share).where("contaminated").select(F.col("row").alias(row))
+        return rows.join(bad, row, "left_anti").drop(row)
     sent, texts = _sent(windows), docs.columns.index("text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

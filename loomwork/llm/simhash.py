@@ -223,10 +223,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of near duplicates: that of the smallest doc_id, rows without one last, and
     of rows with the same id one only. Rows without a doc_id are linked like others here."""
-    rows = numbered(docs)
+    whole, row = numbered(docs)
+    rows = renamed(whole, doc_id="doc_id", text="text", **{ROW: row})
     fps = fingerprints(rows, ROW).select(F.col("doc_id").alias(ROW), "fp")
     nodes = written(nodes_of(fps.join(rows.select(ROW, "doc_id"), ROW).withColumnRenamed("fp", "key")), "fingerprint-nodes")
     ends = nodes.select("key", "node")
     pairs = links(nodes.select(F.col("key").alias("fp")))
     edges = pairs.join(ends.toDF("a", "x"), "a").join(ends.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    return first_of_each(rows, nodes, edges).select(docs.columns)
+    return first_of_each(whole, row, nodes, edges)
