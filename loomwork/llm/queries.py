@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwork.llm import bpe, decontaminate, jpeg, lines, simhash, substring, token_files, toxicity, urls, warc
+from loomwork.llm import alignment, bpe, context_tree, decontaminate, jpeg, lines, resampling, simhash, substring, token_files, toxicity, urls, warc
 from loomwork.llm._common import table, written
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,5 +61,17 @@ def op10_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jpeg.described(written(jpeg.stored(table(spark, sf_dir, "documents", "doc_id", "text")), "media"))
 
 
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.importance(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(table(spark, sf_dir, "documents", "doc_id", "text"), BYTE_LEVEL, PIECES)
+
+
+def op13_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.scored(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_toxicity, op3_token_files, op4_bpe, op5_decontaminate, op6_lines, op7_urls, op8_warc, op9_substring, op10_jpeg)}
+    return {f.__name__: f for f in (op1_simhash, op2_toxicity, op3_token_files, op4_bpe, op5_decontaminate, op6_lines, op7_urls, op8_warc, op9_substring, op10_jpeg, op11_resample, op12_align, op13_context_tree)}
