@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomwork.sources import topics
+
 FORMATS = ("parquet", "json", "text", "avro")
 
 
@@ -45,17 +47,22 @@ def keyed_dimension(df: DataFrame, columns: Sequence[str] | None = None, keys: D
     return out if keys is None else out.join(keys.select(key).distinct(), key, "left_semi")
 
 
-def messages(spark: SparkSession, topic: str | None = None, subscription: str | None = None, schema: str = "value string", glob: str | None = None, **options: str) -> DataFrame:
-    """A stream of message files; a subscription wins over a topic. With ``kafka.bootstrap.servers`` among the options
-    the names are Kafka topics, if its package is there."""
-    place = subscription or topic
-    if not place:
+def messages(spark: SparkSession, topic: str | None = None, subscription: str | None = None, schema: str = "value string", glob: str | None = None, root: str | None = None, with_attributes: bool = False, id_label: str | None = None, **options: str) -> DataFrame:
+    """A stream of messages; a subscription wins over a topic. Under ``root`` the names are those of ``topics``. With
+    ``kafka.bootstrap.servers`` among the options, and its package, the topic is Kafka's and a subscription is the group
+    that reads it. Else they are folders of message files."""
+    if not (subscription or topic):
         raise ValueError("a topic or a subscription is needed")
+    if root:
+        return topics.stream_topic(spark, root, topic, subscription, with_attributes, id_label)
     if "kafka.bootstrap.servers" in options:
-        return spark.readStream.format("kafka").options(**options).option("subscribe", place).load()
+        if not topic:
+            raise ValueError("a group needs a topic to read")
+        group = {"kafka.group.id": subscription} if subscription else {}
+        return spark.readStream.format("kafka").options(includeHeaders=with_attributes, **group, **options).option("subscribe", topic).load()
     form = options.pop("format", "json")
     reader = spark.readStream.format(form).schema(schema).options(**options)
-    return (reader if glob is None else reader.option("pathGlobFilter", glob)).load(place)
+    return (reader if glob is None else reader.option("pathGlobFilter", glob)).load(subscription or topic)
 
 
 def deduplicated(stream: DataFrame, id_col: str, ts: str, delay: str = "10 minutes") -> DataFrame:
