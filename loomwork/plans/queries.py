@@ -276,7 +276,7 @@ def k7_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     new = some.withColumn("c_name", F.lit("changed")).unionByName(some.withColumn("c_name", F.lit("added")).withColumn("c_custkey", -F.col("c_custkey") - 1))
     root = fresh_path(spark, "dimension")
     first = writers.replaced(old, root, "1")
-    return writers.replaced(writers.upserted(first, new, "c_custkey", F.desc("at")), root, "2").drop("at")
+    return writers.replaced(joins.upserted(first, new, "c_custkey", F.desc("at")), root, "2").drop("at")
 
 
 _TRIPLES = [("c_mktsegment", "segment", "Y"), ("c_acctbal", "c_acctbal", "N"), ("c_custkey", "c_custkey", "Y")]

@@ -1,5 +1,4 @@
-"""Sinks. Self-overwriting writes go to a new version beside the old one, which readers find
-through a view of the session, or as the last finished version."""
+"""Sinks. Self-overwriting writes go to a new version beside the old one (``tables``)."""
 
 from __future__ import annotations
 
@@ -9,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwork.functions.scalars import object_name
-from loomwork.operators.joins import latest_per_key
 from loomwork.operators.routing import without_metadata
+from loomwork.sources import tables
 
 FORMATS = ("parquet", "json", "text", "avro")
 
@@ -49,31 +48,19 @@ def publish(df: DataFrame, path: str) -> None:
     as_messages(df).write.mode("append").text(path)
 
 
-def replaced(df: DataFrame, root: str, run: str, view: str | None = None) -> DataFrame:
-    """``df``, which may read the table's present version, written as version ``run`` and read back; a named view is
-    pointed at it last, so readers see the old version or the new one whole."""
-    path = f"{root}/v={run}"
-    df.write.mode("overwrite").parquet(path)
-    new = df.sparkSession.read.parquet(path)
+def replaced(df: DataFrame, root: str, run: str, view: str | None = None, read: tables.Version | None = None) -> DataFrame:
+    """``df``, which may read the table's present version, as the next version, read back; a named view is pointed at it
+    last. Another writer's commit since ``read``, or since the call, raises."""
+    spark = df.sparkSession
+    new = tables.read(spark, root, tables.replace(df, root, run, read))
     if view:
         new.createOrReplaceTempView(view)
     return new
 
 
 def current(spark: SparkSession, root: str) -> DataFrame:
-    """The last finished version below ``root``, by the names of runs, for any session: a version counts once its writer has
-    left the mark of success, so readers see the old one or the new one whole."""
-    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/v=*/_SUCCESS")
-    found = there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(there)
-    if not found:
-        raise ValueError(f"{root} has no finished version")
-    return spark.read.parquet(max(status.getPath().getParent().toString() for status in found))
-
-
-def upserted(old: DataFrame, new: DataFrame, key: str, *order: Column) -> DataFrame:
-    """Old and new rows with one row a key: the first in ``order``, new ones before old on a tie."""
-    both = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)), allowMissingColumns=True)
-    return latest_per_key(both, [key], *order, F.desc("_new")).drop("_new")
+    """The last version below ``root``, for any session: readers see the old one or the new one whole."""
+    return tables.read(spark, root)
 
 
 def write_rejects(rejects: DataFrame, path: str | None) -> None:
