@@ -28,6 +28,11 @@ def by_window_and_id(rows: DataFrame, width: str = "1 hour") -> DataFrame:
     )
 
 
+def merged_by_id(by_id: DataFrame) -> DataFrame:
+    """Counts of ``by_window_and_id`` from several batches as one row a window and id."""
+    return by_id.groupBy("window", "member_number").agg(F.sum("n").alias("n"), F.sum("failed").alias("failed"), F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"))
+
+
 def window_totals(by_id: DataFrame) -> DataFrame:
     n, failed = F.sum("n"), F.sum("failed")
     seconds = F.unix_timestamp(F.max("last_seen").cast("timestamp")) - F.unix_timestamp(F.min("first_seen").cast("timestamp"))

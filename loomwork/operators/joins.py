@@ -16,6 +16,14 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], *order: Column) -> DataFr
     return df.withColumn("_n", n).where("_n = 1").drop("_n")
 
 
+def one_per_key(df: DataFrame, key: str) -> DataFrame:
+    """``df``, whose keys must have one row each: a second row raises when the rows are read. Null keys may repeat."""
+    n = F.count("*").over(Window.partitionBy(key))
+    several = F.raise_error(F.concat(F.lit(f"more than one row for {key} "), F.col(key).cast("string")))
+    checked = df.withColumn("_n", F.when((n > 1) & F.col(key).isNotNull(), several).otherwise(F.lit(True)))
+    return checked.where("_n is null or _n").drop("_n")
+
+
 def upserted(old: DataFrame, new: DataFrame, key: str, *order: Column) -> DataFrame:
     """Old and new rows with one row a key: the first in ``order``, new ones before old on a tie."""
     both = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)), allowMissingColumns=True)

@@ -86,7 +86,7 @@ def counters(annotated: DataFrame, not_null: Sequence[str] = ("member_number",))
     return annotated.agg(*_counts(annotated, not_null))
 
 
-def observed(annotated: DataFrame, observation: Observation, not_null: Sequence[str] = ("member_number",)) -> DataFrame:
+def observed(annotated: DataFrame, observation: Observation | str, not_null: Sequence[str] = ("member_number",)) -> DataFrame:
     """``annotated`` itself; the same counters are taken as its rows pass by, with no second pass, and are in
-    ``observation.get`` after the first action."""
+    ``observation.get`` after the first action, or, under a name, in the progress of a stream."""
     return annotated.observe(observation, *_counts(annotated, not_null))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,11 +45,12 @@ def write_staged(staged: Staged, ongoing_path: str, origin_path: str, audit_path
     writers.append(staged.audit, audit_path)
 
 
-def stream_rows(messages: DataFrame, dimension: DataFrame | None, columns: Sequence[str], dimension_key: str, as_of: Column, rules: Sequence[quality.Rule] = (quality.Rule("required", "member_number"),)) -> DataFrame:
-    """Parsed notifications, enriched if there is a dimension, and annotated."""
+def stream_rows(messages: DataFrame, dimension: DataFrame | None, columns: Sequence[str], dimension_key: str, as_of: Column, rules: Sequence[quality.Rule] = (quality.Rule("required", "member_number"),), newest: Sequence[Column] = ()) -> DataFrame:
+    """Parsed notifications, enriched if there is a dimension, and annotated. Of a key's dimension rows the first in
+    ``newest`` counts; without an order a second row of a key raises."""
     rows = messages
     if dimension is not None:
-        rows = joins.enrich(rows, dimension, "member_number", dimension_key, columns, as_of)
+        rows = joins.enrich(rows, dimension if newest else joins.one_per_key(dimension, dimension_key), "member_number", dimension_key, columns, as_of, newest)
     return quality.annotate(rows, rules)
 
 
@@ -66,12 +67,13 @@ def stream_sinks(term: str, staging: str, refined: str, columns: mapping.Refresh
     return {staging: lambda batch, _: without_metadata(mapping.stamped(mapping.map_columns(batch, columns()), as_of)), **sinks}
 
 
-def stream(rows: DataFrame, term: str, staging: str, refined: str, trace: str, audited: str, checkpoint: str, columns: mapping.Refreshed | None, as_of: Column, ts: str = "_timestamp") -> list[StreamingQuery]:
-    """The stream job on annotated rows, as two queries with a checkpoint each: the fan-out to the term's sinks, and
-    the stateful hourly audit by ``ts``, appended to its own sink."""
-    fanned = streams.fan_out(rows, f"{checkpoint}/fan-out", stream_sinks(term, staging, refined, columns, as_of, trace, ts))
-    totals = streams.stream_audit(audit.audit_projection(rows, "member_number", ts))
-    return [fanned, streams.to_files(totals, audited, f"{checkpoint}/audit")]
+def stream(messages: DataFrame, dimension: Callable[[], DataFrame] | None, dimension_columns: Sequence[str], dimension_key: str, newest: Sequence[Column], term: str, staging: str, refined: str, trace: str, audited: str, checkpoint: str, columns: mapping.Refreshed | None, as_of: Column, ts: str = "_timestamp") -> StreamingQuery:
+    """The stream job on parsed notifications, as one query that reads its source once: each micro-batch is enriched from the
+    dimension as ``dimension`` gives it then, annotated, and goes to the term's sinks, the trace and the hourly audit by
+    ``ts``, whose closed windows are in ``audited``/closed."""
+    prepare = lambda batch: stream_rows(batch, dimension() if dimension else None, dimension_columns, dimension_key, as_of, newest=newest)
+    audits = {audited: lambda rows: audit.audit_projection(rows, "member_number", ts)}
+    return streams.fan_out(messages, checkpoint, stream_sinks(term, staging, refined, columns, as_of, trace, ts), prepare=prepare, audits=audits)
 
 
 @dataclasses.dataclass(frozen=True)

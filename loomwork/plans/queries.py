@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from loomwork.functions import scalars
 from loomwork.operators import audit, joins, mapping, quality, reports, routing
 from loomwork.plans import jobs
-from loomwork.sources import readers, writers
+from loomwork.sources import readers, tables, topics, writers
 from loomwork.sources.workspace import fresh_path
 from loomwork.streaming import streams
 
@@ -527,14 +527,13 @@ def s9_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _streamed(spark: SparkSession, sf_dir: str, term: str) -> tuple[str, str, str, str]:
     """The paths of the staging, refined, trace and audit tables that the stream job fills."""
-    dim = _table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    root = fresh_path(spark, "dimension")
+    tables.replace(_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal"), root, "first")
     parsed = streams.notifications(_messages(_stream(spark, sf_dir)), "value", F.current_timestamp())
-    rows = jobs.stream_rows(parsed, dim, ["c_name"], "c_custkey", as_of())
     paths = tuple(fresh_path(spark, name) for name in ("staging", "refined", "trace", "audit"))
     pairs = mapping.Refreshed(lambda: [("member", "member_number"), ("name", "c_name"), ("event", "event_id")])
-    for query in jobs.stream(rows, term, *paths, fresh_path(spark, "checkpoint"), pairs, as_of(), "ts"):
-        _ran(query)
-    return paths
+    _ran(jobs.stream(parsed, lambda: tables.read(spark, root), ["c_name"], "c_custkey", [F.desc("c_acctbal")], term, *paths, fresh_path(spark, "checkpoint"), pairs, as_of(), "ts"))
+    return *paths[:3], f"{paths[3]}/closed"
 
 
 _STREAMED = "SELECT event_id, member_number, c_name FROM (SELECT event_id, CASE event_id % 4 WHEN 2 THEN 'm' || user_id ELSE user_id::VARCHAR END AS member_number FROM events WHERE event_id % 4 <> 3 AND (event_id % 4 = 2 OR user_id <> 0)) LEFT JOIN customer ON member_number = c_custkey::VARCHAR"

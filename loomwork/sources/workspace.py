@@ -24,3 +24,19 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _placed(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    hadoop, fs = _placed(spark, path)
+    return fs.exists(hadoop)
+
+
+def deleted(spark: SparkSession, path: str) -> None:
+    """The folder goes, if it is there."""
+    hadoop, fs = _placed(spark, path)
+    fs.delete(hadoop, True)
