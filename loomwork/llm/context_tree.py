@@ -45,15 +45,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.llm._common import bounded_batches, in_arrow, renamed, written
+from loomwork.llm._common import bounded_batches, in_arrow, renamed, text_bytes, written
 
 DEPTH = 6
 #: Context bytes that the driver's part of the trees has at most.
 UPPER = 2
 SHARDS = 32
 FAN = 16
-GROUP_BYTES = 32 << 20
+GROUP_BYTES = 16 << 20
 SLICE = 1 << 20
+#: Keys that are counted at once, and distinct ones that wait to be summed.
+KEYS = 2 << 20
+WAITING = 3 << 19
 #: Keys whose nodes are held at once.
 BLOCK = 1 << 19
 END = b"\xff"
@@ -90,25 +93,27 @@ class Keys:
     def add(self, owner: int, words: list[bytes], last: bool, first: bool) -> bool:
         if first:
             self.context = END * self.depth
-        part = self.context + b"".join([w + b" " for w in words]) + END * last
+        part = self.context + b" ".join(words) + (b" " if words else b"") + END * last
         self.context = part[-self.depth :]
         self.parts.append(part)
         self.owners.append(owner)
         self.size += len(part)
-        return self.size >= SLICE
+        return self.size >= KEYS
 
     def taken(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(keys, where each part's begin, whose they are) of what was added, which goes; no part is empty."""
         n = np.array([len(p) - self.depth for p in self.parts], np.int64)
         some = n > 0
-        raw = np.frombuffer(b"".join(self.parts), np.uint8)
-        keys = raw[self.depth :].astype(np.uint64)
-        for d in range(1, self.depth + 1):
-            keys |= raw[self.depth - d : len(raw) - d].astype(np.uint64) << np.uint64(8 * (self.depth + 1 - d))
+        raw = b"".join(self.parts)
+        # eight bytes from each place on, the first lowest: context from its earliest byte, then the byte itself
+        eight = np.ndarray(len(raw) - self.depth, "<u8", raw + bytes(8), strides=(1,))
+        size = np.uint64(8 * self.depth)
+        keys = eight & np.uint64((1 << 8 * self.depth) - 1)
+        keys <<= np.uint64(8)
+        keys |= (eight >> size) & np.uint64(255)
         begin = np.cumsum(n + self.depth) - n - self.depth
         keep = np.ones(len(keys), bool)
-        across = (begin[1:, None] - self.depth + np.arange(self.depth)).ravel()
-        keep[across] = False  # the contexts that parts begin with
+        keep[(begin[1:, None] - self.depth + np.arange(self.depth)).ravel()] = False  # the contexts that parts begin with
         owners = np.array(self.owners)[some]
         at = (np.cumsum(n) - n)[some]
         self.parts, self.owners, self.size = [], [], 0
@@ -117,10 +122,12 @@ class Keys:
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, and the sums of their counts."""
+    if not len(keys):
+        return keys, counts
     order = np.argsort(keys)
     keys, counts = keys[order], counts[order]
-    at = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
-    return keys[at], np.add.reduceat(counts, at) if len(at) else counts
+    at = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return keys[at], np.add.reduceat(counts, at)
 
 
 def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -135,16 +142,20 @@ def _shard(kind: int, keys: np.ndarray, depth: int, shards: int) -> np.ndarray:
     return ((of * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)) % np.uint64(shards)
 
 
-def _packed(x: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x).tobytes())
-
-
 #: What a key is answered with.
 ANSWERS = {CONTEXTS: np.float32, WORDS: np.int64}
 
 
+def _packed(x: np.ndarray) -> bytes:
+    """Compressed with the first bytes of all numbers first, then the second ones, and so on."""
+    planes = np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
 def _read(blob: bytes, kind: type = np.uint64) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), kind)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(planes.reshape(size, len(planes) // size).T).view(kind).ravel()
 
 
 def _steps(keys: np.ndarray) -> bytes:
@@ -185,13 +196,18 @@ class _Group:
     def _count(self, stream: Keys) -> None:
         keys, n = _counted(stream.taken()[0])
         self.counted.append((keys, n if stream is self.learned else np.zeros_like(n)))
+        if sum(len(k) for k, _ in self.counted) > max(WAITING, 2 * len(self.counted[0][0])):
+            self.counted = [self._contexts()]
+
+    def _contexts(self) -> tuple[np.ndarray, np.ndarray]:
+        return _summed(*(np.concatenate(x) for x in zip(*self.counted, strict=True)))
 
     def runs_by_shard(self) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """(kind, shard, sorted keys, training counts): the same for the same texts in any order."""
         for stream in (self.learned, self.other):
             if stream.parts:
                 self._count(stream)
-        contexts = _summed(*(np.concatenate(x) for x in zip(*self.counted, strict=True)))
+        contexts, self.counted = self._contexts(), []
         said = [*self.words, *(self.others - self.words.keys())]
         hashes = np.fromiter(map(xxhash.xxh64_intdigest, said), np.uint64, len(said))
         counts = np.zeros(len(said), np.int64)
@@ -209,32 +225,42 @@ RUNS = [("kind", pa.int32()), ("shard", pa.int32()), ("keys", pa.binary()), ("co
 
 
 def grouped(docs: DataFrame, depth: int = DEPTH, shards: int = SHARDS, group_bytes: int = GROUP_BYTES) -> DataFrame:
-    """(grp, doc_id, text, kind, shard, keys, counts): the texts with the group of each, and the runs of each group, which
-    have a kind."""
+    """(grp, ids, sizes, texts, kind, shard, keys, counts): a row for each group, with its texts in one, and a row for each
+    of its runs, which has a kind."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    names = ["grp", "doc_id", "text", *[n for n, _ in RUNS]]
-
-    def runs(group: _Group, number: int, ids: pa.Array) -> pa.RecordBatch:
+    names = ["grp", "ids", "sizes", "texts", *[n for n, _ in RUNS]]
+
+    def closed(number: int, group: _Group, ids: list[pa.Array], texts: list[bytes]) -> Iterator[pa.RecordBatch]:
+        every = pa.concat_arrays(ids)
+        listed = pa.ListArray.from_arrays(pa.array([0, len(every)], pa.int32()), every)
+        sizes = _packed(np.array([len(t) for t in texts], np.int64))
+        whole = zstandard.ZstdCompressor(level=1).compress(b"".join(texts))
+        first = [pa.array([number], pa.int64()), listed, pa.array([sizes], pa.binary()), pa.array([whole], pa.binary())]
+        yield pa.RecordBatch.from_arrays([*first, *[pa.nulls(1, t) for _, t in RUNS]], names)
         rows = [(kind, shard, _steps(keys), _packed(n)) for kind, shard, keys, n in group.runs_by_shard()]
         given = [pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), RUNS, strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array([number] * len(rows), pa.int64()), pa.nulls(len(rows), ids.type), pa.nulls(len(rows), pa.string()), *given], names)
+        none = [pa.nulls(len(rows), t) for t in (listed.type, pa.binary(), pa.binary())]
+        yield pa.RecordBatch.from_arrays([pa.array([number] * len(rows), pa.int64()), *none, *given], names)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, group, ids = TaskContext.get().partitionId() << 33, _Group(depth, shards), None
+        number, group, ids, texts = TaskContext.get().partitionId() << 33, _Group(depth, shards), [], []
         for batch in batches:
-            ids, numbers = batch["doc_id"], []
-            for doc_id, text in zip(ids.to_pylist(), batch["text"], strict=True):
-                group.add((text.as_py() or "").encode(), held_out(doc_id))
-                numbers.append(number)
+            for i, (doc_id, text) in enumerate(zip(batch["doc_id"].to_pylist(), text_bytes(batch["text"]), strict=True)):
+                group.add(text, held_out(doc_id))
+                ids.append(batch["doc_id"].slice(i, 1))
+                texts.append(text)
                 if group.size >= group_bytes:
-                    yield runs(group, number, ids)
-                    number, group = number + 1, _Group(depth, shards)
-            n = len(numbers)
-            yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), ids, batch["text"].cast(pa.string()), *[pa.nulls(n, t) for _, t in RUNS]], names)
-        if group.size or group.words or group.others:
-            yield runs(group, number, ids)
+                    yield from closed(number, group, ids, texts)
+                    number, group, ids, texts = number + 1, _Group(depth, shards), [], []
+        if ids:
+            yield from closed(number, group, ids, texts)
 
-    return in_arrow(docs, work, f"grp long, doc_id {kind}, text string, kind int, shard int, keys binary, counts binary")
+    return in_arrow(docs, work, f"grp long, ids array<{kind}>, sizes binary, texts binary, kind int, shard int, keys binary, counts binary")
+
+
+def texts_of(sizes: bytes, texts: bytes) -> list[bytes]:
+    whole, ends = zstandard.ZstdDecompressor().decompress(texts), np.cumsum(_read(sizes, np.int64)).tolist()
+    return [whole[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
 
 def merged(runs: DataFrame, fan: int = FAN) -> DataFrame:
@@ -444,7 +470,7 @@ class Known:
         order = np.argsort(keys)
         self.keys, self.values = keys[order], values[order]
         # most keys are found where their hash says; the others by search
-        self.bits = max(8, len(keys).bit_length() + 2)
+        self.bits = max(8, len(keys).bit_length() + 1)
         self.slot = np.zeros(1 << self.bits, np.int32)
         self.slot[self._slots(self.keys)] = np.arange(len(keys), dtype=np.int32)
 
@@ -467,48 +493,51 @@ def scored(docs: DataFrame, depth: int = DEPTH, shards: int = SHARDS, group_byte
     bounded_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     both = written(grouped(renamed(docs, doc_id="doc_id", text="text"), depth, shards, group_bytes), "text-groups")
-    texts, runs = both.where("kind is null").select("grp", "doc_id", "text"), both.where("kind is not null")
+    groups, runs = both.where("kind is null").select("grp", "ids", "sizes", "texts"), both.where("kind is not null")
     counts = merged(runs, fan)
     total, distinct = word_totals(counts)
     back = answered(runs, trained(counts, depth), fan)
 
     def score(ours: pa.Table, answers: pa.Table) -> pa.Table:
-        rows, group = ours.num_rows, _Group(depth, shards)
-        for doc_id, text in zip(ours["doc_id"].to_pylist(), ours["text"], strict=True):
-            group.add((text.as_py() or "").encode(), held_out(doc_id))
-        said_by = {(r["kind"], r["shard"]): _read(r["answers"], ANSWERS[r["kind"]]) for r in answers.to_pylist()}
+        ids = ours["ids"].combine_chunks().flatten()
+        texts = texts_of(ours["sizes"][0].as_py(), ours["texts"][0].as_py())
+        held = [held_out(i) for i in ids.to_pylist()]
+        group = _Group(depth, shards)
+        for text, apart in zip(texts, held, strict=True):
+            group.add(text, apart)
+        said = {(kind, shard): _read(a.as_py(), ANSWERS[kind]) for kind, shard, a in zip(answers["kind"].to_pylist(), answers["shard"].to_pylist(), answers["answers"], strict=True)}
         parts: dict[int, list] = {CONTEXTS: [], WORDS: []}
         for kind, shard, keys, _ in group.runs_by_shard():
-            parts[kind].append((keys, said_by[kind, shard]))
-        trees, words = Known(parts[CONTEXTS]), Known(parts[WORDS])
-        del group, parts, said_by
-        log_p, base, size, tokens, known = (np.zeros(rows) for _ in range(5))
+            parts[kind].append((keys, said[kind, shard]))
+        every = [*group.words, *(group.others - group.words.keys())]
+        del group, said
+        counted = Known(parts.pop(WORDS)).of(np.fromiter(map(xxhash.xxh64_intdigest, every), np.uint64, len(every)))
+        trees = Known(parts.pop(CONTEXTS))
+        number = dict(zip(every, range(len(every)), strict=True))
+        each = np.log10((counted + 1) / (total + distinct + 1))
+        log_p, base, size, tokens, known = (np.zeros(len(texts)) for _ in range(5))
         stream = Keys(depth)
-        number: dict[bytes, int] = {}
-        said: list[tuple[int, list[int]]] = []
 
         def read() -> None:
             keys, at, owners = stream.taken()
             np.add.at(log_p, owners, np.add.reduceat(trees.of(keys), at, dtype=np.float64))
             np.add.at(size, owners, np.diff(np.append(at, len(keys))))
 
-        for i, text in enumerate(ours["text"]):
+        for i, text in enumerate(texts):
             first = True
-            for found, last in sliced((text.as_py() or "").encode()):
+            for found, last in sliced(text):
                 if stream.add(i, found, last, first):
                     read()
                 first = False
-                said.append((i, np.fromiter((number.setdefault(w, len(number)) for w in (*found, b"") if last or w), np.int32)))
+                if last:
+                    found.append(b"")  # the end
+                places = np.fromiter(map(number.__getitem__, found), np.int64, len(found))
+                base[i] += each[places].sum()
+                tokens[i] += len(places)
+                known[i] += np.count_nonzero(counted[places])
         if stream.parts:
             read()
-        count = words.of(np.fromiter(map(xxhash.xxh64_intdigest, number), np.uint64, len(number)))
-        each = np.log10((count + 1) / (total + distinct + 1))
-        for i, places in said:
-            base[i] += each[places].sum()
-            tokens[i] += len(places)
-            known[i] += np.count_nonzero(count[places])
-        held = pa.array([held_out(i) for i in ours["doc_id"].to_pylist()], pa.bool_())
-        numbers = {"n_tokens": tokens, "n_known": known, "train_tokens": np.full(rows, total)}
-        return pa.table({"doc_id": ours["doc_id"], "held_out": held, **{c: pa.array(x.astype(np.int64)) for c, x in numbers.items()}, "base_score": base, "score": log_p, "bits_per_byte": -log_p / np.log10(2) / np.maximum(size, 1)})
-
-    return texts.groupBy("grp").cogroup(back.groupBy("grp")).applyInArrow(score, f"doc_id {kind}, {SCORES}")
+        numbers = {"n_tokens": tokens, "n_known": known, "train_tokens": np.full(len(texts), total)}
+        return pa.table({"doc_id": ids, "held_out": pa.array(held, pa.bool_()), **{c: pa.array(x.astype(np.int64)) for c, x in numbers.items()}, "base_score": base, "score": log_p, "bits_per_byte": -log_p / np.log10(2) / np.maximum(size, 1)})
+
+    return groups.groupBy("grp").cogroup(back.groupBy("grp")).applyInArrow(score, f"doc_id {kind}, {SCORES}")

@@ -93,6 +93,8 @@ def test_whole_results(spark, depth, group):
 def test_long_texts_in_slices(spark, monkeypatch):
     monkeypatch.setattr(context_tree, "SLICE", 7)
     monkeypatch.setattr(context_tree, "BLOCK", 5)
+    monkeypatch.setattr(context_tree, "KEYS", 9)
+    monkeypatch.setattr(context_tree, "WAITING", 30)
     docs = [(k, t * 2) for k, t in DOCS[:20] if t]
     got = context_tree.scored(spark.createDataFrame(docs, "doc_id long, text string"), 4, shards=2)
     near([tuple(r) for r in got.collect()], brute(docs, 4))
