@@ -94,7 +94,7 @@ def backfill(member: DataFrame, personas: DataFrame, mapping: Sequence[tuple[str
     source = source.withColumn("_hit", F.when(F.col("_n") > 1, F.raise_error(F.lit("more than one source row matches a target row"))).otherwise(F.lit(True)))
     joined = member.join(source, key, "left")
     hit = F.coalesce("_hit", F.lit(False))
-    before = F.col("backfill_timestamp") if "backfill_timestamp" in member.columns else F.lit(None).cast("timestamp")
+    before = F.col("backfill_timestamp") if "backfill_timestamp" in member.columns else F.lit(None)
     out = [F.when(hit, F.coalesce(f"_new_{c}", c)).otherwise(F.col(c)).alias(c) if c in confirmed else F.col(c) for c in member.columns if c != "backfill_timestamp"]
     return joined.select(*out, F.when(hit, as_of).otherwise(before).alias("backfill_timestamp"))
 
@@ -117,6 +117,50 @@ def row_diff(before: DataFrame, after: DataFrame, key: str, fields: Sequence[str
     return b.join(a, key, "full").select(key, change.alias("change"))
 
 
+#: Leaves of the digest tree, as bits, and bits that each level adds.
+LEAF_BITS = 16
+STEP_BITS = 4
+
+
+def _leaf(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(1 << LEAF_BITS)).cast("int")
+
+
+def digests(df: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
+    """(leaf, rows, digest): the leaves of a table's hash tree, at most 2^16 rows whatever the table, which can be kept
+    beside it. A leaf's digest adds up its records' hashes, so it doesn't depend on their order and repeats count."""
+    # the two ends of each record's digest, as numbers, together with the key
+    record = record_hash(df, fields)
+    each = df.select(_leaf(F.col(key)).alias("leaf"), F.xxhash64(F.col(key), record).cast("decimal(38,0)").alias("h"))
+    return each.groupBy("leaf").agg(F.count("*").alias("rows"), F.sum("h").alias("digest"))
+
+
+def differing(before: DataFrame, after: DataFrame) -> DataFrame:
+    """The leaves in which two tables' ``digests`` differ. From the root down, only children of nodes that differ are
+    compared."""
+    found = None
+    for bits in range(0, LEAF_BITS + 1, STEP_BITS):
+        node = F.shiftright("leaf", LEAF_BITS - bits).alias("node")
+        sums = [d.select(node, "rows", "digest") for d in (before, after)]
+        if found is not None:
+            above = found.select(F.col("node").alias("_up"))
+            sums = [d.join(F.broadcast(above), F.shiftright("node", STEP_BITS) == F.col("_up"), "left_semi") for d in sums]
+        b, a = (d.groupBy("node").agg(F.sum("rows").alias(f"rows{i}"), F.sum("digest").alias(f"digest{i}")) for i, d in enumerate(sums))
+        unlike = ~(F.col("rows0").eqNullSafe(F.col("rows1")) & F.col("digest0").eqNullSafe(F.col("digest1")))
+        found = b.join(a, "node", "full").where(unlike).select("node")
+    return found.withColumnRenamed("node", "leaf")
+
+
+def row_diff_by_digest(before: DataFrame, after: DataFrame, key: str, fields: Sequence[str], known: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """``row_diff`` that joins only rows of leaves that differ; rows of equal leaves are the same without a join. The two
+    tables' ``digests`` may be given."""
+    b, a = known or (digests(before, key, fields), digests(after, key, fields))
+    leaves = differing(b, a)
+    inside = lambda df, how: df.join(F.broadcast(leaves), _leaf(F.col(key)) == F.col("leaf"), how)  # noqa: E731  2^16 rows at most
+    same = inside(after, "left_anti").select(key, F.lit("same").alias("change"))
+    return row_diff(inside(before, "left_semi"), inside(after, "left_semi"), key, fields).unionByName(same)
+
+
 def mapping_triples(mapping: DataFrame, flag_col: str, bound: int = 1000) -> list[tuple[str, str, str]]:
     """(data, tech, flag) rows of a mapping (data_schema, tech_schema, flags), bounded and ordered."""
     rows = mapping.select("data_schema", text_or(F.col("tech_schema"), F.col("data_schema")).alias("tech"), F.when(is_yes(F.col(flag_col)), "Y").otherwise("N").alias("flag"))

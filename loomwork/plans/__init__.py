@@ -1 +1,3 @@
-"""Plans."""
+"""Jobs, and the queries that are registered."""
+
+from loomwork.plans import stateful as stateful  # registers its queries

@@ -5,14 +5,14 @@ from __future__ import annotations
 import dataclasses
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from loomwork.functions.scalars import first_truthy
 from loomwork.operators import audit, joins, mapping, quality, reports
 from loomwork.operators.routing import without_metadata
-from loomwork.sources import writers
+from loomwork.sources import readers, tables, writers
 from loomwork.streaming import streams
 
 Pairs = list[tuple[str, str]]
@@ -98,6 +98,60 @@ def reconcile(member: DataFrame, personas: DataFrame, mapping_rows: DataFrame, k
     return Reconciled(new_personas, new_member, joins.with_summary(counts, summary).withColumn("validation_timestamp", as_of))
 
 
+class Ledger:
+    """The finished steps of one run, each with a small result, below ``root``. A step that is in the ledger isn't done
+    again; one that was cut off is."""
+
+    def __init__(self, spark: SparkSession, root: str, run: str):
+        self.spark, self.path = spark, f"{root}/ledger/{run}"
+
+    def step(self, name: str, work: Callable[[], object]) -> object:
+        now = tables.latest(self.spark, self.path)
+        if name not in now.entry:
+            now = tables.commit(self.spark, self.path, now, now.entry | {name: work()})
+        return now.entry[name]
+
+
+def reconcile_run(spark: SparkSession, run: str, root: str, mapping_files: str, member_files: str, data_table: str, key: str, as_of: Column, bound: int = 1000) -> Ledger:
+    """The whole reconciliation as a run that can be repeated: a second call with the same ``run`` goes on behind the last
+    finished step, and after the last changes nothing.
+
+    Mapping and member files are loaded into staging, with lineage of the member's; personas and member are replaced and
+    merged from one snapshot, the merge only if a column is confirmed; counts, and the summary of the latest mapping of
+    ``data_table``, are added to the log, once a run. Tables below ``root``: ``mapping``, ``member``, ``personas``,
+    ``lineage``, ``log``. ``personas`` must have a version."""
+    ledger = Ledger(spark, root, run)
+    at = lambda name: f"{root}/{name}"
+    load = lambda files, name: tables.replace_once(lambda: readers.files(spark, files), at(name), run, spark).number
+    source = ledger.step("mapping", lambda: load(mapping_files, "mapping"))
+    before = ledger.step("load member", lambda: load(member_files, "member"))
+    ledger.step("lineage", lambda: tables.append_once(writers.lineage_rows(spark, member_files, "reconcile", run, "member", end=as_of), at("lineage"), run).number)
+    old = ledger.step("snapshot", lambda: tables.latest(spark, at("personas")).number)
+    read = lambda name, number: tables.read(spark, at(name), tables.numbered(spark, at(name), number))
+    rows = read("mapping", source)
+    triples = [joins.mapping_triples(rows, flag, bound) for flag in ("reconcile_sts", "reconciled_confirm")]
+    member, personas = read("member", before), read("personas", old)
+    made = lambda: joins.reconcile(member, personas, triples[0], key, as_of)
+    new = ledger.step("personas", lambda: tables.replace_once(made, at("personas"), run, spark).number)
+    confirmed = any(flag == "Y" for *_, flag in triples[1])
+    # the load was this run's version of the member table, so the merge has a name of its own
+    merge = lambda: tables.replace_once(lambda: joins.backfill(member, personas, triples[1], key, as_of), at("member"), f"{run}-merged", spark).number if confirmed else before
+    merged = ledger.step("member", merge)
+
+    def log() -> int:
+        newest = rows.agg(F.max("update_dt")).first()[0]
+        latest_rows = rows.where((F.col("data_table") == data_table) & F.col("update_dt").eqNullSafe(F.lit(newest)))
+        after = read("member", merged)
+        if "backfill_timestamp" not in after.columns:
+            after = after.withColumn("backfill_timestamp", F.lit(None).cast("timestamp_ntz"))
+        counts = reports.union_all([reports.validation_row(read("personas", new), "personas", "reconciled_timestamp"), reports.validation_row(after, "member", "backfill_timestamp")])
+        summary = reports.mapping_summary(latest_rows, "reconcile_sts", "reconciled_confirm")
+        return tables.append_once(joins.with_summary(counts, summary).withColumn("validation_timestamp", as_of), at("log"), run).number
+
+    ledger.step("log", log)
+    return ledger
+
+
 def hourly_quality(tables: dict[str, tuple[DataFrame, str, str]], as_of: Column, hours: int = 2, least: int = 1000) -> DataFrame:
     """(name: frame, key, time) to one report."""
     return reports.union_all([reports.quality_row(df, name, key, ts, as_of, hours, least) for name, (df, key, ts) in tables.items()]).withColumn("check_timestamp", as_of)

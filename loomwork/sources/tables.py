@@ -9,7 +9,7 @@ from __future__ import annotations
 import dataclasses
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,10 +39,15 @@ def _versions(spark: SparkSession, root: str):
 def latest(spark: SparkSession, root: str) -> Version:
     folder, fs = _versions(spark, root)
     names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
-    number = max((int(n) for n in names if n.isdigit()), default=0)
+    return numbered(spark, root, max((int(n) for n in names if n.isdigit()), default=0))
+
+
+def numbered(spark: SparkSession, root: str, number: int) -> Version:
+    """A version by its number."""
     if not number:
         return Version(0, {})
     jvm = spark.sparkContext._jvm
+    folder, fs = _versions(spark, root)
     stream = fs.open(jvm.org.apache.hadoop.fs.Path(folder, f"{number:020d}"))
     try:
         return Version(number, json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
@@ -95,6 +100,23 @@ def replace(df: DataFrame, root: str, run: str, read: Version | None = None) ->
     return commit(spark, root, read, {"run": run, "schema": json.loads(df.schema.json()), "files": [{"path": path}]})
 
 
+def replace_once(make: Callable[[], DataFrame], root: str, run: str, spark: SparkSession) -> Version:
+    """The table as ``run`` made it: if the last version is that run's, nothing is made again."""
+    now = latest(spark, root)
+    return now if now.number and now.entry.get("run") == run else replace(make(), root, run, now)
+
+
+def append_once(df: DataFrame, root: str, run: str) -> Version:
+    """The table with the rows of ``df`` added, once a run."""
+    spark = df.sparkSession
+    now = latest(spark, root)
+    files = now.entry.get("files", [])
+    if any(f["run"] == run for f in files):
+        return now
+    df.write.parquet(path := _data(root))
+    return commit(spark, root, now, {"schema": json.loads(df.schema.json()), "files": [*files, {"path": path, "run": run}]})
+
+
 # --- upserts by buckets of the key's hash
 
 BUCKETS = 64
