@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomwork.sources import workspace
@@ -101,7 +101,8 @@ class Scratch:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches small enough for texts of any length: at most BATCH_ROWS rows and about BATCH_BYTES."""
+    """Keep Arrow batches small enough for texts of any length: at most BATCH_ROWS rows and about BATCH_BYTES. Spark reads
+    these settings when a plan runs, which is later, so they stay with the session."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key))
     if now <= 0 or now > BATCH_ROWS:
@@ -159,6 +160,16 @@ def outside(df: DataFrame, bit_map: DataFrame, key: Column) -> DataFrame:
     return joined.where(~F.coalesce(there, F.lit(False))).select([F.col(f"`{c}`") for c in df.columns])
 
 
+def placed(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``df`` in the shared folder with each row's place in ``order``, from zero on. One sort over the cluster by ranges; a
+    place is that in the row's range and the number of rows in the ranges before, so no task holds more than a range."""
+    sorted_ = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = written(sorted_.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)}), "ranges")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
+    offsets = rows.groupBy("_part").agg(F.count("*").alias("_rows")).select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    return rows.join(offsets, "_part").withColumn(name, F.col("_before") + F.col("_at")).drop("_part", "_at", "_before")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*columns) if columns else df

@@ -12,6 +12,7 @@ words, and items with a null text or id, are left out. Repeated items and docume
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -126,9 +127,21 @@ def _batch(doc_ids: pa.Array, texts: pa.Array, rows: list[dict]) -> pa.RecordBat
     return pa.RecordBatch.from_arrays([doc_ids, texts, *cols], ["doc_id", "text", *kinds])
 
 
+#: A worker's window set, by the name of what was broadcast, from task to task.
+_HELD: dict[str, WindowSet] = {}
+
+
+def _held(sent: Broadcast) -> WindowSet:
+    name, table = sent.value
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = WindowSet(table)
+    return _HELD[name]
+
+
 def _sent(windows: DataFrame) -> Broadcast:
     table = [(tuple(w.encode() for w in r[0]), sorted(r[1])) for r in windows.groupBy("window").agg(F.collect_set("item")).collect()]
-    return windows.sparkSession.sparkContext.broadcast(table)
+    return windows.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, table))
 
 
 def _scanned(docs: DataFrame, windows: DataFrame) -> DataFrame:
@@ -136,7 +149,7 @@ def _scanned(docs: DataFrame, windows: DataFrame) -> DataFrame:
     sent = _sent(windows)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WindowSet(sent.value)
+        known = _held(sent)
         for batch in batches:
             rows = []
             for text in text_bytes(batch["text"]):
@@ -201,7 +214,7 @@ def without_documents(docs: DataFrame, items: DataFrame, share: int = 20, width:
     sent, texts = _sent(windows), docs.columns.index("text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WindowSet(sent.value)
+        known = _held(sent)
         for batch in batches:
             keep = []
             for text in text_bytes(batch.column(texts)):

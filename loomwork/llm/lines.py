@@ -19,8 +19,8 @@ A line's place is one number, its document's id times 2^31 plus its number in th
 allows it, a decimal otherwise. Other than integer ids raise a TypeError.
 
 Nulls: a null text stays null and has no lines. Rows with a null doc_id take no part and are returned as they are.
-Rows with one doc_id are taken for one document: a line number that matches an earlier line in one of them goes from
-all. Repeated rows come back as often as they went in. A document's lines are cut in time proportional to their number.
+Repeated rows are one document and come back as often as they went in. Rows of one doc_id and other texts are documents of
+their own, in the order of a hash of their texts. A document's lines are cut in time proportional to their number.
 Columns besides id and text may have any names; input columns named ``n_lines`` or ``n_removed`` are replaced.
 """
 
@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from loomwork.llm._common import Scratch, inside, mapped, outside, renamed, written
+from loomwork.llm._common import Scratch, inside, mapped, outside, placed, renamed, written
 
 THRESHOLD = 0.8
 #: Buckets of the table of token counts, and how many of them are collected as one row (powers of two).
@@ -51,12 +51,16 @@ LINES = 1 << 31
 SPAN = 1 << 32
 
 
+def _check_ids(docs: DataFrame) -> None:
+    if not isinstance(docs.schema["doc_id"].dataType, IntegralType):
+        raise TypeError("line dedup needs integer ids")
+
+
 class Places:
     """The place of each line as one number that sorts by document and line."""
 
     def __init__(self, docs: DataFrame):
-        if not isinstance(docs.schema["doc_id"].dataType, IntegralType):
-            raise TypeError("line dedup needs integer ids")
+        _check_ids(docs)
         self.kind = docs.schema["doc_id"].dataType
         low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
         self.low = low or 0
@@ -238,6 +242,23 @@ def later_matches(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         return written(places.named(first.unionByName(second).select(F.col("id").alias("place")).unionByName(later).distinct()), "lines-removed")
 
 
+def _numbered_versions(docs: DataFrame) -> DataFrame | None:
+    """(doc_id, version, number) of the texts of (doc_id, text), numbered in their order, if some id has several texts."""
+    versions = docs.where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("version")).distinct()
+    if versions.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        return None
+    return placed(versions, [F.asc("doc_id"), F.asc("version")], "number")
+
+
+def _removed(docs: DataFrame, threshold: float, versions: DataFrame | None) -> DataFrame:
+    """(doc_id, version, line_no) of the lines to be removed; no version where ids have one text each."""
+    if versions is None:
+        return later_matches(docs, threshold)
+    own = docs.withColumn("version", F.xxhash64("text")).join(versions, ["doc_id", "version"])
+    gone = later_matches(own.select(F.col("number").alias("doc_id"), "text"), threshold).withColumnRenamed("doc_id", "number")
+    return gone.join(versions, "number").drop("number")
+
+
 def _kept_marks(gone: Column) -> Column:
     """One character a line up to the last of the sorted numbers ``gone``: x for these, a blank for others."""
     before = F.concat(F.array(F.lit(-1)), gone)
@@ -254,9 +275,14 @@ def without_lines(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "
     # the joined table's names must not be those of any column
     ours = "_" * (1 + max(map(len, columns)))
     doc, marks, n_gone = ours + "d", ours + "m", ours + "n"
-    gone = later_matches(renamed(docs, doc_id=id_col, text=text_col), threshold)
-    listed = gone.groupBy(F.col("doc_id").alias(doc)).agg(F.sort_array(F.collect_list("line_no")).alias("lines"))
-    listed = listed.select(doc, _kept_marks(F.col("lines")).alias(marks), F.size("lines").cast("long").alias(n_gone))
+    slim = renamed(docs, doc_id=id_col, text=text_col)
+    _check_ids(slim)
+    versions = _numbered_versions(slim)
+    gone = _removed(slim, threshold, versions)
+    version = ours + "v"
+    names = {"doc_id": doc} if versions is None else {"doc_id": doc, "version": version}
+    listed = gone.groupBy(*[F.col(c).alias(a) for c, a in names.items()]).agg(F.sort_array(F.collect_list("line_no")).alias("lines"))
+    listed = listed.select(*names.values(), _kept_marks(F.col("lines")).alias(marks), F.size("lines").cast("long").alias(n_gone))
 
     text = F.col(f"`{text_col}`")
     lines = F.split(text, "\n")
@@ -267,6 +293,11 @@ def without_lines(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "
     out = lambda cut, n: [*[cut.alias(c) if c == text_col else F.col(f"`{c}`") for c in columns], n_lines, n.alias("n_removed")]
 
     # documents that lose nothing are not dealt out
-    touched, key = mapped(listed, F.col(doc)), F.col(f"`{id_col}`")
-    some = inside(rows, touched, key).join(listed, key == F.col(doc), "left")
+    key, there = F.col(f"`{id_col}`"), F.col(doc)
+    same = key == there
+    if versions is not None:
+        same = same & (F.xxhash64(text) == F.col(version))
+        key, there = F.xxhash64(key, F.xxhash64(text)), F.xxhash64(doc, version)
+    touched = mapped(listed, there)
+    some = inside(rows, touched, key).join(listed, same, "left")
     return some.select(out(cut, F.coalesce(n_gone, F.lit(0).cast("long")))).unionByName(outside(rows, touched, key).select(out(text, F.lit(0).cast("long"))))

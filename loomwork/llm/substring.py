@@ -17,7 +17,8 @@ of the words; a match needs anchor and window hashes to agree together.
 
 Words are ``[^\\x20\\x09-\\x0D]+``. A null text has none, and nothing is removed from texts of fewer than ``length``
 words. A null doc_id is neither smaller nor larger than another: such rows are returned whole and remove nothing.
-Rows with the same doc_id are one document's: they remove nothing from each other.
+Rows with the same doc_id remove nothing from each other, and each loses what its own text repeats of smaller ids: ranges
+are kept by id and text (as a 64-bit hash), so repeated rows come out alike and other texts of that id are not touched.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomwork.llm._common import in_arrow, inside, mapped, outside, renamed, text_bytes, written
@@ -85,7 +86,7 @@ def _anchors(grams: np.ndarray, count: int) -> np.ndarray:
 
 
 def seeds(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(doc_id, anchor, reach, at, before, more): a document's anchors with the hash of their reach; ``at`` lists
+    """(doc_id, version, anchor, reach, at, before, more): a document's anchors with the hash of their reach; ``at`` lists
     where the anchor starts with this reach, the first window that it stands for starts ``before`` words earlier,
     and ``more`` windows follow that one."""
     kind, gram = docs.schema["doc_id"].dataType.simpleString(), length // 2
@@ -118,14 +119,14 @@ def seeds(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             if rows:
                 anchor, reach, before, more, at = [pa.array(np.concatenate(c)) for c in zip(*rows, strict=True)]
                 places = pa.ListArray.from_arrays(pa.array(np.concatenate(ends), pa.int32()), at.cast(pa.int32()))
-                ids = batch["doc_id"].take(pa.array(key, pa.int64()))
-                yield pa.RecordBatch.from_arrays([ids, anchor, reach, places, before.cast(pa.int32()), more.cast(pa.int32())], ["doc_id", "anchor", "reach", "at", "before", "more"])
+                ids, versions = (batch[c].take(pa.array(key, pa.int64())) for c in ("doc_id", "version"))
+                yield pa.RecordBatch.from_arrays([ids, versions, anchor, reach, places, before.cast(pa.int32()), more.cast(pa.int32())], ["doc_id", "version", "anchor", "reach", "at", "before", "more"])
 
-    return in_arrow(docs, work, f"doc_id {kind}, anchor long, reach long, at array<int>, before int, more int")
+    return in_arrow(docs, work, f"doc_id {kind}, version long, anchor long, reach long, at array<int>, before int, more int")
 
 
 def _windows(docs: DataFrame, places: DataFrame, length: int) -> DataFrame:
-    """(doc_id, anchor, off, digest, start) of the windows of the chosen anchor occurrences."""
+    """(doc_id, version, anchor, off, digest, start) of the windows of the chosen anchor occurrences."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,44 +136,64 @@ def _windows(docs: DataFrame, places: DataFrame, length: int) -> DataFrame:
                 words = text.split()
                 anchor, at, before, more = (place.values.field(c).to_numpy().astype(np.int64) for c in ("anchor", "at", "before", "more"))
                 lo, n = at - before, more + 1
-                fits = lo + more + length <= len(words)  # another row with the same doc_id may be shorter
-                anchor, at, lo, n = (x[fits] for x in (anchor, at, lo, n))
-                if not len(n):
-                    continue
                 start = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 digest = _Rolling(words, hashes).of(start, start + length).view(np.int64)
-                ids = batch["doc_id"].take(pa.array(np.full(len(start), i)))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(np.repeat(anchor, n)), pa.array(start - np.repeat(at, n), pa.int32()), pa.array(digest), pa.array(start, pa.int32())], ["doc_id", "anchor", "off", "digest", "start"])
+                ids, versions = (batch[c].take(pa.array(np.full(len(start), i))) for c in ("doc_id", "version"))
+                yield pa.RecordBatch.from_arrays([ids, versions, pa.array(np.repeat(anchor, n)), pa.array(start - np.repeat(at, n), pa.int32()), pa.array(digest), pa.array(start, pa.int32())], ["doc_id", "version", "anchor", "off", "digest", "start"])
 
     # most texts need not be dealt out
-    needed = inside(docs, mapped(places, F.col("doc_id")), F.col("doc_id"))
-    chosen = needed.join(places, "doc_id").select("doc_id", "text", "places")
-    return in_arrow(chosen, work, f"doc_id {kind}, anchor long, off int, digest long, start int")
+    needed = inside(docs, mapped(places, _key()), _key())
+    chosen = needed.join(places, TEXT).select(*TEXT, "text", "places")
+    return in_arrow(chosen, work, f"doc_id {kind}, version long, anchor long, off int, digest long, start int")
+
+
+#: What a row's ranges are kept by.
+TEXT = ["doc_id", "version"]
+
+
+def _versioned(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.xxhash64("text").alias("version"), "text")
+
+
+def _key() -> Column:
+    return F.xxhash64(*TEXT)
 
 
 def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(doc_id, start, end): word ranges of (doc_id, text) that repeat a smaller document's, overlaps included."""
+    """(doc_id, version, start, end): word ranges of (doc_id, version, text) that repeat a smaller document's, overlaps
+    included."""
     docs = docs.where("doc_id is not null")
     found = written(seeds(docs, length), "seeds")
-    first = F.min(F.struct("doc_id", "at", "before", "more")).alias("first")
+    first = F.min(F.struct(*TEXT, "at", "before", "more")).alias("first")
     classes = found.groupBy("anchor", "reach").agg(first, F.count("*").alias("n"))
-    classes = written(classes.select("anchor", "reach", F.col("first.doc_id").alias("owner"), "first.at", "first.before", "first.more", "n"), "reach-classes")
+    classes = written(classes.select("anchor", "reach", F.col("first.doc_id").alias("owner"), F.col("first.version").alias("version"), "first.at", "first.before", "first.more", "n"), "reach-classes")
 
-    shared = classes.where("n > 1").select("anchor", "reach", "owner")
+    shared = classes.where("n > 1").select("anchor", "reach", "owner", F.col("version").alias("owner_version"))
     screened = inside(found, mapped(shared, F.col("reach")), F.col("reach"))
-    later = screened.join(shared, ["anchor", "reach"]).where("doc_id > owner").select("doc_id", F.explode("at").alias("at"), "before", "more")
+    members = screened.join(shared, ["anchor", "reach"])
+    later = members.where("doc_id > owner").select(*TEXT, F.explode("at").alias("at"), "before", "more")
     start = F.col("at") - F.col("before")
-    whole = later.select("doc_id", start.alias("start"), (start + F.col("more") + length).alias("end"))
+    whole = later.select(*TEXT, start.alias("start"), (start + F.col("more") + length).alias("end"))
 
     several = classes.groupBy("anchor").agg(F.min("owner").alias("x"), F.max("owner").alias("y")).where("x < y").select("anchor")
-    chosen = classes.join(several, "anchor").select(F.col("owner").alias("doc_id"), "anchor", F.explode("at").alias("at"), "before", "more")
-    places = written(chosen.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "at", "before", "more")).alias("places")), "places")
+    named = classes.select(F.col("owner").alias("doc_id"), "version", "anchor", "at", "before", "more")
+    if _ids_repeat(found):
+        # other texts of the owner's id are in its class, but lose only what they repeat of smaller ids
+        named = named.unionByName(members.where("doc_id = owner and version <> owner_version").select(*TEXT, "anchor", "at", "before", "more").distinct())
+    chosen = named.join(several, "anchor").select(*TEXT, "anchor", F.explode("at").alias("at"), "before", "more")
+    places = written(chosen.groupBy(*TEXT).agg(F.collect_list(F.struct("anchor", "at", "before", "more")).alias("places")), "places")
     windows = written(_windows(docs, places, length), "windows")
     least = windows.groupBy("anchor", "off", "digest").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("latest")).where("owner < latest").drop("latest")
-    part = windows.join(least, ["anchor", "off", "digest"]).where("doc_id > owner").select("doc_id", "start", (F.col("start") + length).alias("end"))
+    part = windows.join(least, ["anchor", "off", "digest"]).where("doc_id > owner").select(*TEXT, "start", (F.col("start") + length).alias("end"))
     return whole.unionByName(part)
 
 
+def _ids_repeat(found: DataFrame) -> bool:
+    """Whether some id has several texts."""
+    versions = found.groupBy("doc_id").agg(F.min("version").alias("x"), F.max("version").alias("y"))
+    return not versions.where("x <> y").isEmpty()
+
+
 def without_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, kept) of every row: the words left, joined by one space, and their
     digest. The ranges of a document are gathered for it alone, at most one for each of its words."""
@@ -212,9 +233,10 @@ def _cut(docs: DataFrame, length: int, texts: bool) -> DataFrame:
                 names.append("kept")
             yield pa.RecordBatch.from_arrays([batch["doc_id"], *cols], names)
 
-    spans = written(repeats(docs, length).distinct().groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
+    docs = _versioned(docs)
+    spans = written(repeats(docs, length).distinct().groupBy(*TEXT).agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
     schema = f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string" + ", kept string" * texts
-    touched = mapped(spans, F.col("doc_id"))
-    with_spans = inside(docs, touched, F.col("doc_id")).join(spans, "doc_id", "left").select("doc_id", "text", "spans")
-    without = outside(docs, touched, F.col("doc_id")).select("doc_id", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
+    touched = mapped(spans, _key())
+    with_spans = inside(docs, touched, _key()).join(spans, TEXT, "left").select("doc_id", "text", "spans")
+    without = outside(docs, touched, _key()).select("doc_id", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
     return in_arrow(with_spans, work, schema).unionByName(in_arrow(without, work, schema))

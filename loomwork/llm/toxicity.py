@@ -228,7 +228,8 @@ def _calibrated(model: Model, texts: list[np.ndarray], labels: np.ndarray, langs
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, longest: int = LONGEST) -> Model:
-    """Learn ``labels`` (doc_id, toxic) on the texts of ``docs`` (doc_id, text, lang); held-out rows excepted."""
+    """Learn ``labels`` (doc_id, toxic) on the texts of ``docs`` (doc_id, text, lang); held-out rows excepted. Of several
+    texts of one id the least by its words' ids is learned from, of several labels the largest."""
     known = labels.where("toxic is not null and doc_id is not null").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     # a bounded sample, so small enough to broadcast
@@ -243,7 +244,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, longest: int
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["lang"], batch["toxic"].cast(pa.int32()), data], ["doc_id", "lang", "toxic", "ids"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    got = in_arrow(rows, work, f"doc_id {kind}, lang string, toxic int, ids binary").where("ids is not null").dropDuplicates(["doc_id"]).collect()
+    got = in_arrow(rows, work, f"doc_id {kind}, lang string, toxic int, ids binary").where("ids is not null").groupBy("doc_id").agg(F.min(F.struct("ids", "lang", "toxic")).alias("least")).select("doc_id", "least.*").collect()
     got = sorted(got, key=lambda r: zlib.crc32(str(r.doc_id).encode()))
     texts, y = [np.frombuffer(r.ids, np.int32) for r in got], np.array([r.toxic for r in got], float)
     if not 0 < y.sum() < len(y):

@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from loomwork.llm import lines, simhash, substring
+from loomwork.llm import lines, shingles, simhash, substring
 from loomwork.llm.components import connected_components
 
 KIND = "doc_id long, text string, fp string, node string"
@@ -155,8 +155,8 @@ def test_lines_of_any_columns_and_copies(spark):
     got = lines.without_lines(docs, id_col="_doc", text_col="_gone")
     assert got.columns == ["_doc", "_gone", "__m", "___n", "n_lines", "n_removed"]
     found = sorted((r["_doc"], r["_gone"], r.n_lines, r.n_removed) for r in got.collect() if r["_gone"] is not None)
-    # of document 2 the first line goes, as in one of its rows, and the second
-    assert found == [(1, "a b c d e\nx", 2, 0), (1, "a b c d e\nx", 2, 0), (2, "", 2, 2), (2, "", 2, 2)]
+    # of document 2 each text loses its own lines only
+    assert found == [(1, "a b c d e\nx", 2, 0), (1, "a b c d e\nx", 2, 0), (2, "other", 2, 1), (2, "y", 2, 1)]
 
 
 def test_lines_of_a_long_document(spark):
@@ -175,6 +175,20 @@ def test_lines_of_a_hot_group(spark):
     assert got == 2999
 
 
+def test_lines_of_ids_with_several_texts(spark):
+    rnd = random.Random(8)
+    line = lambda: " ".join(rnd.choice("abcdefg") for _ in range(rnd.randint(1, 6)))
+    rows = [(rnd.randrange(8), "\n".join(line() for _ in range(4))) for _ in range(30)] + [(3, None), (3, ""), (None, "a b c")]
+    rows += rows[:5]
+    docs = frame(spark, rows)
+    versions = {(r.doc_id, r.text): r.v for r in docs.select("doc_id", "text", F.xxhash64("text").alias("v")).collect()}
+    order = sorted({r for r in rows if r[0] is not None}, key=lambda r: (r[0], versions[r]))
+    want = cut_lines([(i, t) for i, (_, t) in enumerate(order)])
+    by_row = {row: want[i, row[1]] for i, row in enumerate(order)} | {(None, "a b c"): "a b c"}
+    got = [(r.doc_id, r.text) for r in lines.without_lines(docs).collect()]
+    assert sorted(got, key=repr) == sorted(((k, by_row[k, t]) for k, t in rows), key=repr)
+
+
 def test_lines_ids(spark):
     with pytest.raises(TypeError):
         lines.without_lines(spark.createDataFrame([("a", "w1")], "doc_id string, text string"))
@@ -230,10 +244,41 @@ def test_repeats(spark, length):
             assert r.n_removed == 0
 
 
+def test_repeats_of_ids_with_several_texts(spark):
+    """Each row loses what its own text repeats of smaller ids, whatever other rows of its id hold."""
+    rnd = random.Random(4)
+    words = lambda n: [rnd.choice("abcdefghijklmnop") for _ in range(n)]
+    a, b, c = words(30), words(30), words(30)
+    rows = [(1, a), (5, a), (5, b), (5, b), (5, words(9) + a[3:25] + c), (5, c + words(4)), (7, c + b), (7, c), (5, a)]
+    rows = [(k, " ".join(w)) for k, w in rows]
+    length, first = 8, {}
+    for k, text in rows:
+        w = text.split()
+        for i in range(len(w) - length + 1):
+            key = tuple(w[i : i + length])
+            first[key] = min(first.get(key, k), k)
+    want = []
+    for k, text in rows:
+        w = text.split()
+        gone = {j for i in range(len(w) - length + 1) if first[tuple(w[i : i + length])] < k for j in range(i, i + length)}
+        want.append((k, " ".join(x for j, x in enumerate(w) if j not in gone)))
+    got = [(r.doc_id, r.kept) for r in substring.without_repeats(frame(spark, rows), length).collect()]
+    assert sorted(got) == sorted(want) and (5, rows[2][1]) in got
+
+
 def test_repeats_empty(spark):
     assert substring.digests(frame(spark, [])).count() == 0
 
 
+def test_one_of_each_of_columns_with_any_names(spark):
+    rows = [(1, "a b c d e f", "x"), (2, "a b c d e f", "y"), (3, "something else", "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row string").withColumns({"__ROW": F.lit(1), "key": F.lit(2), "node": F.lit(3)})
+    for one_of_each in (simhash.one_of_each, shingles.one_of_each):
+        got = one_of_each(docs)
+        assert got.columns == docs.columns
+        assert sorted((r.doc_id, r["_row"]) for r in got.collect()) == [(1, "x"), (3, "z")]
+
+
 def test_one_of_each_whatever_the_ids(spark):
     rows = [(1, "a b c d"), (1, "a b c d"), (1, "quite another text"), (2, "a b c d"), (None, "a b c d"), (None, "no id has this"), (None, "no id has this"), (None, None)]
     got = sorted((r.doc_id or 0, r.text or "") for r in simhash.one_of_each(frame(spark, rows)).collect())

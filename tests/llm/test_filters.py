@@ -55,6 +55,17 @@ def test_decontamination(spark, bound):
     assert all(len(words_of(left[k])) == want[k][0] - want[k][1] for k, _ in docs)
 
 
+@pytest.mark.parametrize("bound", [0, 500_000])
+def test_decontamination_keeps_columns_of_any_names(spark, bound):
+    """The same rows and values on both sides of the broadcast bound."""
+    item = " ".join(f"w{i}" for i in range(20))
+    rows = [(1, item, "x"), (2, "clean text", "y"), (2, None, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row string").withColumns({"__row": F.lit("r"), "covers": F.lit(1)})
+    kept = decontaminate.without_documents(docs, spark.createDataFrame([(1, item)], "item_id long, text string"), broadcast_windows=bound)
+    assert kept.columns == docs.columns
+    assert sorted(r["_row"] for r in kept.collect()) == ["y", "z"]
+
+
 def test_decontamination_of_empty_tables(spark):
     docs, items = spark.createDataFrame([], "doc_id long, text string"), spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.hits(docs, items).count() == 0
