@@ -455,7 +455,7 @@ def answered(runs: DataFrame, model: DataFrame, fan: int = FAN) -> DataFrame:
         return pa.table({"grp": ours["grp"], "kind": ours["kind"], "shard": ours["shard"], "answers": pa.array(out, pa.binary())})
 
     most = runs.groupBy("kind", "shard").count().agg(F.max("count")).first()[0] or 0
-    parts = max(1, -(-most // fan))
+    parts = max(1, -(-most // (4 * fan)))  # runs aren't held together here
     keys = ("kind", "shard", "part")
     dealt = runs.select("grp", "kind", "shard", "keys", F.pmod(F.xxhash64("grp"), F.lit(parts)).alias("part"))
     again = model.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
@@ -469,19 +469,22 @@ class Known:
         keys, values = (np.concatenate(x) for x in zip(*parts, strict=True))
         order = np.argsort(keys)
         self.keys, self.values = keys[order], values[order]
-        # most keys are found where their hash says; the others by search
+        # most keys stand where their hash says, beside their value; the others are found by search
         self.bits = max(8, len(keys).bit_length() + 1)
-        self.slot = np.zeros(1 << self.bits, np.int32)
-        self.slot[self._slots(self.keys)] = np.arange(len(keys), dtype=np.int32)
+        slots = self._slots(self.keys)
+        self.slot_keys = np.full(1 << self.bits, self.keys[0] if len(keys) else 0, np.uint64)
+        self.slot_values = np.full(1 << self.bits, self.values[0] if len(keys) else 0, self.values.dtype)
+        self.slot_keys[slots], self.slot_values[slots] = self.keys, self.values
 
     def _slots(self, keys: np.ndarray) -> np.ndarray:
-        return (keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).view(np.int64)
 
     def of(self, keys: np.ndarray) -> np.ndarray:
-        at = self.slot[self._slots(keys)]
-        missed = np.flatnonzero(self.keys[at] != keys)
-        at[missed] = np.searchsorted(self.keys, keys[missed])
-        return self.values[at]
+        at = self._slots(keys)
+        out = self.slot_values[at]
+        missed = np.flatnonzero(self.slot_keys[at] != keys)
+        out[missed] = self.values[np.searchsorted(self.keys, keys[missed])]
+        return out
 
 
 SCORES = "held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
