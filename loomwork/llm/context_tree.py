@@ -120,10 +120,12 @@ class Keys:
         return keys[keep], at, owners
 
 
-def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order, and the sums of their counts."""
+def _summed(keys: np.ndarray, counts: np.ndarray | None) -> tuple[np.ndarray, np.ndarray | None]:
+    """Distinct keys in order, and the sums of their counts, if they are counted."""
     if not len(keys):
         return keys, counts
+    if counts is None:
+        return _counted(keys)[0], None
     order = np.argsort(keys)
     keys, counts = keys[order], counts[order]
     at = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
@@ -167,10 +169,10 @@ def _keys_of(blob: bytes) -> np.ndarray:
 
 
 class _Group:
-    """What a group of texts has of keys and words."""
+    """What a group of texts has of keys and words; without ``counts`` only which."""
 
-    def __init__(self, depth: int, shards: int):
-        self.depth, self.shards = depth, shards
+    def __init__(self, depth: int, shards: int, counts: bool = True):
+        self.depth, self.shards, self.counts = depth, shards, counts
         self.learned, self.other = Keys(depth), Keys(depth)
         self.words: Counter[bytes] = Counter()
         self.others: set[bytes] = set()
@@ -178,6 +180,7 @@ class _Group:
         self.size = 0
 
     def add(self, text: bytes, held: bool) -> None:
+        held = held or not self.counts
         stream, first = self.other if held else self.learned, True
         for words, last in sliced(text):
             if held:
@@ -195,14 +198,15 @@ class _Group:
 
     def _count(self, stream: Keys) -> None:
         keys, n = _counted(stream.taken()[0])
-        self.counted.append((keys, n if stream is self.learned else np.zeros_like(n)))
+        self.counted.append((keys, (n if stream is self.learned else np.zeros_like(n)) if self.counts else None))
         if sum(len(k) for k, _ in self.counted) > max(WAITING, 2 * len(self.counted[0][0])):
             self.counted = [self._contexts()]
 
     def _contexts(self) -> tuple[np.ndarray, np.ndarray]:
-        return _summed(*(np.concatenate(x) for x in zip(*self.counted, strict=True)))
+        keys, n = zip(*self.counted, strict=True)
+        return _summed(np.concatenate(keys), np.concatenate(n) if self.counts else None)
 
-    def runs_by_shard(self) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    def runs_by_shard(self) -> Iterator[tuple[int, int, np.ndarray, np.ndarray | None]]:
         """(kind, shard, sorted keys, training counts): the same for the same texts in any order."""
         for stream in (self.learned, self.other):
             if stream.parts:
@@ -210,15 +214,16 @@ class _Group:
         contexts, self.counted = self._contexts(), []
         said = [*self.words, *(self.others - self.words.keys())]
         hashes = np.fromiter(map(xxhash.xxh64_intdigest, said), np.uint64, len(said))
-        counts = np.zeros(len(said), np.int64)
-        counts[: len(self.words)] = list(self.words.values())
+        counts = np.zeros(len(said), np.int64) if self.counts else None
+        if self.counts:
+            counts[: len(self.words)] = list(self.words.values())
         for kind, (keys, n) in ((CONTEXTS, contexts), (WORDS, _summed(hashes, counts))):
             shard = _shard(kind, keys, self.depth, self.shards)
             order = np.argsort(shard, kind="stable")
-            keys, n, shard = keys[order], n[order], shard[order]
+            keys, n, shard = keys[order], n if n is None else n[order], shard[order]
             edges = np.append(np.flatnonzero(np.append(True, shard[1:] != shard[:-1])), len(shard))
             for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                yield kind, int(shard[a]), keys[a:b], n[a:b]
+                yield kind, int(shard[a]), keys[a:b], n if n is None else n[a:b]
 
 
 RUNS = [("kind", pa.int32()), ("shard", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]
@@ -463,27 +468,45 @@ def answered(runs: DataFrame, model: DataFrame, fan: int = FAN) -> DataFrame:
 
 
 class Known:
-    """Values by key."""
+    """Values by key. A key stands beside its value where its hash says, in one of two tables, or is found by search."""
+
+    MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
     def __init__(self, parts: list[tuple[np.ndarray, np.ndarray]]):
         keys, values = (np.concatenate(x) for x in zip(*parts, strict=True))
         order = np.argsort(keys)
         self.keys, self.values = keys[order], values[order]
-        # most keys stand where their hash says, beside their value; the others are found by search
-        self.bits = max(8, len(keys).bit_length() + 1)
-        slots = self._slots(self.keys)
-        self.slot_keys = np.full(1 << self.bits, self.keys[0] if len(keys) else 0, np.uint64)
-        self.slot_values = np.full(1 << self.bits, self.values[0] if len(keys) else 0, self.values.dtype)
-        self.slot_keys[slots], self.slot_values[slots] = self.keys, self.values
-
-    def _slots(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).view(np.int64)
+        self.tables = []
+        keys, values = self.keys, self.values
+        for mix in self.MIX:
+            bits = max(8, len(keys).bit_length() + 1)
+            at = self._slots(keys, mix, bits)
+            # a slot that no key has holds one that isn't looked for there
+            held, given = np.full(1 << bits, self.keys[0]), np.full(1 << bits, self.values[0])
+            held[at], given[at] = keys, values
+            self.tables.append((mix, bits, held, given))
+            lost = held[at] != keys
+            keys, values = keys[lost], values[lost]
+        self.left = keys, values
+
+    @staticmethod
+    def _slots(keys: np.ndarray, mix: int, bits: int) -> np.ndarray:
+        return ((keys * np.uint64(mix)) >> np.uint64(64 - bits)).view(np.int64)
 
     def of(self, keys: np.ndarray) -> np.ndarray:
-        at = self._slots(keys)
-        out = self.slot_values[at]
-        missed = np.flatnonzero(self.slot_keys[at] != keys)
-        out[missed] = self.values[np.searchsorted(self.keys, keys[missed])]
+        (mix, bits, held, given), second = self.tables
+        at = self._slots(keys, mix, bits)
+        out = given[at]
+        missed = np.flatnonzero(held[at] != keys)
+        if len(missed):
+            mix, bits, held, given = second
+            some = keys[missed]
+            at = self._slots(some, mix, bits)
+            out[missed] = given[at]
+            still = held[at] != some
+            missed, some = missed[still], some[still]
+            if len(missed):
+                out[missed] = self.left[1][np.searchsorted(self.left[0], some)]
         return out
 
 
@@ -505,14 +528,14 @@ def scored(docs: DataFrame, depth: int = DEPTH, shards: int = SHARDS, group_byte
         ids = ours["ids"].combine_chunks().flatten()
         texts = texts_of(ours["sizes"][0].as_py(), ours["texts"][0].as_py())
         held = [held_out(i) for i in ids.to_pylist()]
-        group = _Group(depth, shards)
-        for text, apart in zip(texts, held, strict=True):
-            group.add(text, apart)
+        group = _Group(depth, shards, counts=False)
+        for text in texts:
+            group.add(text, False)
         said = {(kind, shard): _read(a.as_py(), ANSWERS[kind]) for kind, shard, a in zip(answers["kind"].to_pylist(), answers["shard"].to_pylist(), answers["answers"], strict=True)}
         parts: dict[int, list] = {CONTEXTS: [], WORDS: []}
         for kind, shard, keys, _ in group.runs_by_shard():
             parts[kind].append((keys, said[kind, shard]))
-        every = [*group.words, *(group.others - group.words.keys())]
+        every = list(group.others)
         del group, said
         counted = Known(parts.pop(WORDS)).of(np.fromiter(map(xxhash.xxh64_intdigest, every), np.uint64, len(every)))
         trees = Known(parts.pop(CONTEXTS))
