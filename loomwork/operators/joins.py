@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -135,20 +136,28 @@ def digests(df: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
     return each.groupBy("leaf").agg(F.count("*").alias("rows"), F.sum("h").alias("digest"))
 
 
+def _leaves(digest: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and digests by leaf, digests modulo 2^64: at most 2^16 rows come to the driver."""
+    rows, sums = np.zeros(1 << LEAF_BITS, np.int64), np.zeros(1 << LEAF_BITS, np.uint64)
+    for leaf, n, h in digest.select("leaf", "rows", "digest").collect():
+        rows[leaf], sums[leaf] = n, int(h) & (1 << 64) - 1
+    return rows, sums
+
+
 def differing(before: DataFrame, after: DataFrame) -> DataFrame:
-    """The leaves in which two tables' ``digests`` differ. From the root down, only children of nodes that differ are
-    compared."""
-    found = None
+    """(leaf): the leaves in which two tables' ``digests`` differ. From the root down, only children of nodes that differ
+    are compared."""
+    b, a = _leaves(before), _leaves(after)
+    nodes = np.zeros(1, np.int64)
     for bits in range(0, LEAF_BITS + 1, STEP_BITS):
-        node = F.shiftright("leaf", LEAF_BITS - bits).alias("node")
-        sums = [d.select(node, "rows", "digest") for d in (before, after)]
-        if found is not None:
-            above = found.select(F.col("node").alias("_up"))
-            sums = [d.join(F.broadcast(above), F.shiftright("node", STEP_BITS) == F.col("_up"), "left_semi") for d in sums]
-        b, a = (d.groupBy("node").agg(F.sum("rows").alias(f"rows{i}"), F.sum("digest").alias(f"digest{i}")) for i, d in enumerate(sums))
-        unlike = ~(F.col("rows0").eqNullSafe(F.col("rows1")) & F.col("digest0").eqNullSafe(F.col("digest1")))
-        found = b.join(a, "node", "full").where(unlike).select("node")
-    return found.withColumnRenamed("node", "leaf")
+        unlike = np.zeros(len(nodes), bool)
+        for x, y in zip(b, a, strict=True):
+            of_x, of_y = (v.reshape(1 << bits, -1)[nodes].sum(1) for v in (x, y))
+            unlike |= of_x != of_y
+        nodes = nodes[unlike]
+        if bits < LEAF_BITS:
+            nodes = (nodes[:, None] << STEP_BITS | np.arange(1 << STEP_BITS)).ravel()
+    return before.sparkSession.createDataFrame([(int(n),) for n in nodes], "leaf int")
 
 
 def row_diff_by_digest(before: DataFrame, after: DataFrame, key: str, fields: Sequence[str], known: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
