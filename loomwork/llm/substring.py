@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomwork.llm._common import in_arrow, inside, mapped, outside, renamed, text_bytes, written
@@ -188,6 +188,16 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return whole.unionByName(part)
 
 
+def maximal_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """(doc_id, version, start, end): the runs of words of (doc_id, text) that repeat smaller documents, as far as they go
+    both ways: ranges that overlap or touch are one. A document's ranges are put together by themselves."""
+    ranges = repeats(_versioned(docs), length).distinct()
+    before = Window.partitionBy(*TEXT).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    begins = (F.col("start") > F.coalesce(F.max("end").over(before), F.lit(-1))).cast("int")
+    run = F.sum("begins").over(Window.partitionBy(*TEXT).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, 0))
+    return ranges.withColumn("begins", begins).withColumn("run", run).groupBy(*TEXT, "run").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("run")
+
+
 def _ids_repeat(found: DataFrame) -> bool:
     """Whether some id has several texts."""
     versions = found.groupBy("doc_id").agg(F.min("version").alias("x"), F.max("version").alias("y"))

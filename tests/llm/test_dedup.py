@@ -266,6 +266,29 @@ def test_repeats_of_ids_with_several_texts(spark):
     assert sorted(got) == sorted(want) and (5, rows[2][1]) in got
 
 
+def test_maximal_repeats(spark):
+    rnd = random.Random(6)
+    base, length = [rnd.choice("abcd") for _ in range(80)], 7
+    rows = []
+    for k in range(60):
+        words = []
+        for _ in range(rnd.randint(1, 4)):
+            i = rnd.randint(0, 60)
+            words += base[i : i + rnd.randint(3, 20)] if rnd.random() < 0.6 else [rnd.choice("efghijkl") for _ in range(rnd.randint(1, 9))]
+        rows.append((k, words))
+    first, want = {}, []
+    for k, w in rows:
+        for i in range(len(w) - length + 1):
+            first.setdefault(tuple(w[i : i + length]), k)
+    for k, w in rows:
+        gone = [any(first[tuple(w[i : i + length])] < k for i in range(max(0, j - length + 1), min(j, len(w) - length) + 1)) for j in range(len(w))]
+        edges = [j for j in range(len(w) + 1) if (j < len(w) and gone[j]) != (j > 0 and gone[j - 1])]
+        want += [(k, a, b) for a, b in zip(edges[::2], edges[1::2], strict=True)]
+    docs = frame(spark, [(k, " ".join(w)) for k, w in rows])
+    assert sorted((r.doc_id, r.start, r.end) for r in substring.maximal_repeats(docs, length).collect()) == want
+    assert substring.maximal_repeats(frame(spark, []), length).isEmpty()
+
+
 def test_repeats_empty(spark):
     assert substring.digests(frame(spark, [])).count() == 0
 
