@@ -8,12 +8,15 @@ Lines of equal token sets form one class, which its earliest line stands for. To
 hashes are counted over all texts in a table of fixed size, and a token's code is the level of its bucket's count
 followed by 58 bits of its hash, so codes sort from rare to frequent. Two sets that are similar enough share a token
 among the first few codes (the prefix). Classes meet on those, and length and positional filters, a map of marks that
-each token flips one of (64, or 128 for lines of many tokens), and the number of prefix tokens that a pair shares drop pairs that can't reach the threshold.
-What remains is verified on the whole token sets, by 64-bit hashes.
+each token flips one of (64, or 128 for lines of many tokens), and the number of prefix tokens that a pair shares drop pairs that can't reach the
+threshold. What remains is verified on the whole token sets, by 64-bit hashes.
 
-Large groups: each class first meets the earliest class of each of its prefix tokens that stand often in the corpus,
-which settles nearly all members of a large group in proportion to its size; then only classes not settled by this meet
-the others. A token that stands fewer than OFTEN times has fewer than OFTEN classes, so it needs no such round.
+Large groups: how long a prefix must be depends on both sizes. Tokens that stand often in the corpus are therefore joined
+by size groups as well, each class with the prefix that the two sizes need. Lines of one template that differ in as many
+rare words as keep them from being similar have only these in that prefix, so they don't meet under the template's words.
+Each class first meets the earliest class of each such token and pair of size groups, which settles nearly all members of
+a large group in proportion to its size; then only classes not settled by this meet the others. A token that stands fewer
+than OFTEN times has fewer than OFTEN classes, so it needs neither.
 
 A line's place is one number, its document's id times 2^31 plus its number in the document: a long where the ids' span
 allows it, a decimal otherwise. Other than integer ids raise a TypeError.
@@ -26,6 +29,7 @@ Columns besides id and text may have any names; input columns named ``n_lines``
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 from operator import or_
 
@@ -44,6 +48,11 @@ LEVEL_BITS = 6
 LEVELS = 1.5
 #: Tokens that stand so often may have large groups.
 OFTEN = 1024
+#: Sizes of sets up to this one are groups of their own; from there on groups widen by this factor.
+EXACT = 16
+STEP = 1.125
+#: The bit between size and place that tells that a prefix has tokens which stand often.
+APART = 1 << 31
 #: Lines of more tokens than this have 128 marks.
 WIDE = 96
 #: Lines that a document may have, and the span of ids whose places fit a long.
@@ -164,38 +173,65 @@ def line_classes(keyed: DataFrame, repeated: DataFrame) -> DataFrame:
     return outside(keyed, repeated, F.col("k1")).select(columns).unionByName(some).withColumnRenamed("place", "id")
 
 
-def _entries(classes: DataFrame, least: Column | None = None) -> DataFrame:
-    """(token, id, at, low, high): each class under the tokens of its prefix, of those with codes from ``least`` on.
-    ``at`` packs size and place. A token is named by 32 bits here; two of one name only give more pairs to verify."""
-    each = classes.select("id", "size", "low", "high", F.posexplode("prefix").alias("pos", "code"))
-    if least is not None:
-        each = each.where(F.col("code") >= least)
-    return each.select(F.hash("code").alias("token"), "id", F.shiftleft(F.col("size").cast("long"), 32).bitwiseOR(F.col("pos").cast("long")).alias("at"), "low", "high")
+def _size_group(size: Column) -> Column:
+    """The number of the group of like sizes: small sizes are groups of their own."""
+    beyond = F.floor(F.log(size / EXACT) / math.log(STEP)) + EXACT
+    return F.when(size <= EXACT, size).otherwise(beyond).cast("int")
+
+
+def _entries(classes: DataFrame, threshold: float, second: bool = False, often_only: bool = False) -> DataFrame:
+    """(token, id, at, low, high): each class under the tokens of its prefix. Tokens that stand OFTEN times go apart by the
+    size groups of the two classes that are to meet, the later one's first (``second`` is for the earlier one): a token at
+    place p of a set can be the first of enough shared ones only with sets up to some size, fewer the farther behind it
+    stands. ``at`` packs size, whether the prefix has such a token, and place. A token is named by 32 bits here; two of one name only give more pairs to
+    verify."""
+    least = _least_code(OFTEN)
+    each = classes.select("id", "size", "low", "high", (F.element_at("prefix", -1) >= least).alias("apart"), F.posexplode("prefix").alias("pos", "code"))
+    often = F.col("code") >= least
+    if often_only:
+        each = each.where(often)
+    smallest = F.ceil(F.col("size") * threshold - 1e-9)
+    largest = F.floor((F.col("size") - F.col("pos")) * ((1 + threshold) / threshold) - F.col("size") + 1e-6)
+    groups = F.sequence(_size_group(smallest), _size_group(F.greatest(smallest, largest)))
+    each = each.withColumn("group", F.explode(F.when(often, groups).otherwise(F.array(F.lit(0)))))
+    own = F.when(often, _size_group(F.col("size"))).otherwise(0)
+    sides = [F.col("group"), own] if second else [own, F.col("group")]
+    at = F.shiftleft(F.col("size").cast("long"), 32).bitwiseOR(F.when(F.col("apart"), APART).otherwise(0)).bitwiseOR(F.col("pos").cast("long")).alias("at")
+    return each.select(F.hash("code", *sides).alias("token"), "id", at, "low", "high")
 
 
 def _seconds(entries: DataFrame) -> DataFrame:
     return entries.toDF("token", "other", "at2", "low2", "high2")
 
 
+def _apart() -> Column:
+    """Whether tokens of the pair were joined by size groups, so that not all that their prefixes share are met."""
+    return F.col("at").bitwiseOR(F.col("at2")).bitwiseAND(APART) != 0
+
+
 def _may_match(threshold: float) -> Column:
     """Length, positional and mark filters on a class (at, low, high) and an earlier one (at2, low2, high2)."""
     size, size2 = (F.shiftright(c, 32) for c in ("at", "at2"))
-    pos, pos2 = (F.col(c).bitwiseAND((1 << 32) - 1) for c in ("at", "at2"))
+    pos, pos2 = (F.col(c).bitwiseAND(APART - 1) for c in ("at", "at2"))
     least = _at_least(size + size2, threshold)
     reach = F.least(pos, pos2) + 1 + F.least(size - pos - 1, size2 - pos2 - 1)
     # a mark in which the sets differ stands for a token that only one of them has
     low, high = F.col("low").bitwiseXOR(F.col("low2")), F.col("high").bitwiseXOR(F.col("high2"))
     apart = F.when((size > WIDE) & (size2 > WIDE), F.bit_count(low) + F.bit_count(high)).otherwise(F.bit_count(low.bitwiseXOR(high)))
-    return (F.least(size, size2) >= F.greatest(size, size2) * threshold - F.lit(1e-9)) & (reach >= least) & (apart <= size + size2 - 2 * least)
+    # the first token that two sets share has enough tokens behind it in both; where tokens are counted, others do as well
+    begins = ~_apart() | ((size - pos >= least) & (size2 - pos2 >= least))
+    return (F.least(size, size2) >= F.greatest(size, size2) * threshold - F.lit(1e-9)) & begins & (reach >= least) & (apart <= size + size2 - 2 * least)
 
 
 def _paired(met: DataFrame, threshold: float) -> DataFrame:
     """The pairs (id, other), each once, whose prefixes share enough tokens. Of two sets, the one whose prefix ends first
-    shares no more than what the prefixes share and what it has beyond its own."""
+    shares no more than what the prefixes share and what it has beyond its own. Where tokens were joined by size groups,
+    one is enough."""
     sizes = [F.min(F.shiftright(c, 32)).alias(name) for c, name in (("at", "size"), ("at2", "size2"))]
-    pairs = met.groupBy("id", "other").agg(F.count("*").alias("shared"), *sizes)
+    pairs = met.groupBy("id", "other").agg(F.count("*").alias("shared"), F.bool_or(_apart()).alias("one"), *sizes)
     beyond = F.ceil(F.greatest("size", "size2") * threshold - 1e-9) - 1
-    return pairs.where(F.col("shared") >= _at_least(F.col("size") + F.col("size2"), threshold) - beyond).select("id", "other")
+    enough = F.col("shared") >= _at_least(F.col("size") + F.col("size2"), threshold) - beyond
+    return pairs.where(F.col("one") | enough).select("id", "other")
 
 
 def _verified(scratch: Scratch, name: str, pairs: DataFrame, docs: DataFrame, places: Places, threshold: float) -> DataFrame:
@@ -229,15 +265,15 @@ def later_matches(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         classes = scratch.written(line_classes(keyed, repeated), "classes")
         scratch.drop("keyed", "many")
 
-        often = _entries(classes, _least_code(OFTEN))
-        earliest = often.groupBy("token").agg(F.min(F.struct("id", "at", "low", "high")).alias("e")).select("token", "e.*")
+        often = _entries(classes, threshold, often_only=True)
+        earliest = _entries(classes, threshold, second=True, often_only=True).groupBy("token").agg(F.min(F.struct("id", "at", "low", "high")).alias("e")).select("token", "e.*")
         met = often.join(_seconds(earliest), "token").where("other < id").where(_may_match(threshold))
         first = _verified(scratch, "first", met.select("id", "other").distinct(), docs, places, threshold)
 
         # only classes that may be settled are dealt out to find those that are
         maybe = mapped(first, F.col("id"))
-        open_ = _entries(outside(classes, maybe, F.col("id")).unionByName(inside(classes, maybe, F.col("id")).join(first, "id", "left_anti")))
-        more = open_.join(_seconds(_entries(classes)), "token").where("other < id").where(_may_match(threshold))
+        open_ = _entries(outside(classes, maybe, F.col("id")).unionByName(inside(classes, maybe, F.col("id")).join(first, "id", "left_anti")), threshold)
+        more = open_.join(_seconds(_entries(classes, threshold, second=True)), "token").where("other < id").where(_may_match(threshold))
         second = _verified(scratch, "second", _paired(more, threshold), docs, places, threshold)
         return written(places.named(first.unionByName(second).select(F.col("id").alias("place")).unionByName(later).distinct()), "lines-removed")
 

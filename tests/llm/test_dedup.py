@@ -148,6 +148,33 @@ def test_lines(spark, monkeypatch, apart, often):
     assert all(r.text == by_id[r.doc_id] for r in got)
 
 
+def test_lines_of_templates(spark, monkeypatch):
+    """Lines that differ in as many rare words as keep them from being similar don't meet under their template's words;
+    those that differ in fewer are found whatever their sizes."""
+    monkeypatch.setattr(lines, "OFTEN", 8)
+    rows, k = [], 0
+    for size in (1, 3, 4, 5, 7, 8, 9, 12, 17, 18, 25, 40, 100, 140):
+        for own in (1, 2, 5):
+            for copy in range(3):
+                rows.append((k, " ".join([f"t{i}" for i in range(size)] + [f"x{k}y{i}" for i in range(own if copy else 1)])))
+                k += 1
+    want = cut_lines(rows)
+    got = {(r.doc_id, r.text) for r in lines.without_lines(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "text").collect()}
+    assert got == {(i, text) for (i, _), text in want.items()}
+
+
+def test_lines_of_a_template_meet_no_pairs(spark, monkeypatch):
+    """30,000 different lines of two templates of like size make hardly a pair (all would be 450 million): some words share
+    the bucket of a common one."""
+    met = []
+    verified = lines._verified
+    monkeypatch.setattr(lines, "_verified", lambda scratch, name, pairs, *rest: met.append(pairs.count()) or verified(scratch, name, pairs, *rest))
+    text = F.concat(F.lit("alpha beta gamma delta "), F.when(F.col("doc_id") % 2 == 0, "").otherwise("epsilon "), F.lit("x"), F.col("doc_id"))
+    docs = spark.range(30_000).withColumnRenamed("id", "doc_id").withColumn("text", text)
+    assert lines.later_matches(docs).count() == 0
+    assert sum(met) < 100
+
+
 def test_lines_of_any_columns_and_copies(spark):
     """Column names that an operator may use, rows of one id, and counts that are replaced."""
     rows = [(1, "a b c d e\nx", 7), (1, "a b c d e\nx", 7), (2, "e d c b a\ny", 8), (2, "other\nx", 9), (3, None, 1)]
