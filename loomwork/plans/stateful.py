@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,10 +31,12 @@ from loomwork.plans.queries import (
     registered,
 )
 from loomwork.sources import readers, tables, topics, writers
-from loomwork.sources.workspace import fresh_path
+from loomwork.sources.workspace import exists, fresh_path
 from loomwork.streaming import panes, streams
 
 PARTS = 4
+#: Rows of an arriving file, about: a file is written by one task, and its rows are mostly read by one.
+ROWS = 250_000
 
 
 def _parts_of_events(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
@@ -46,17 +50,27 @@ def _parts_of_events(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 _PART = f"floor(event_id * {PARTS} / (SELECT max(event_id) + 1 FROM events))"
 
 
-def _arrive(part: DataFrame, path: str) -> None:
-    part.coalesce(1).write.mode("append").parquet(path)
+def _files_of_part(spark: SparkSession, sf_dir: str) -> int:
+    """The files that each part of the events arrives in, which are a micro-batch: their number grows with the events."""
+    return max(1, math.ceil(_table(spark, sf_dir, "events").count() / PARTS / ROWS))
+
+
+def _arrive(part: DataFrame, path: str, files: int) -> None:
+    """``part`` as just so many new files, written side by side. Tasks without rows write none, so empty ones are added."""
+    there = lambda: len(part.sparkSession.read.schema(part.schema).parquet(path).inputFiles()) if exists(part.sparkSession, path) else 0
+    wanted = there() + files
+    part.repartition(files).write.mode("append").parquet(path)
+    for _ in range(wanted - there()):
+        part.limit(0).coalesce(1).write.mode("append").parquet(path)
 
 
 def _in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream of the events in four micro-batches."""
-    path = fresh_path(spark, "arriving")
+    path, files = fresh_path(spark, "arriving"), _files_of_part(spark, sf_dir)
     for part in _parts_of_events(spark, sf_dir):
-        _arrive(part, path)
+        _arrive(part, path, files)
     schema = _table(spark, sf_dir, "events").schema
-    return readers.messages(spark, topic=path, schema=schema, format="parquet", maxFilesPerTrigger="1").withColumn("ts", F.col("ts").cast("timestamp"))
+    return readers.messages(spark, topic=path, schema=schema, format="parquet", maxFilesPerTrigger=str(files)).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def _as_messages(events: DataFrame) -> DataFrame:
@@ -160,13 +174,13 @@ def j2_fresh_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stream job before and after its dimension got a new version, with two rows a key in each."""
     root, path, check = (fresh_path(spark, name) for name in ("dimension", "arriving", "checkpoint"))
     outs = [fresh_path(spark, name) for name in ("staging", "refined", "trace", "audit")]
-    customer, parts = _table(spark, sf_dir, "customer"), _parts_of_events(spark, sf_dir)
+    customer, parts, files = _table(spark, sf_dir, "customer"), _parts_of_events(spark, sf_dir), _files_of_part(spark, sf_dir)
     for version, some in (("old ", parts[:2]), ("new ", parts[2:])):
         named = customer.select(F.col("c_custkey").cast("string").alias("key"), F.concat(F.lit(version), "c_name").alias("c_name"), F.lit(2).alias("at"))
         tables.replace(named.unionByName(named.withColumns({"c_name": F.lit("stale"), "at": F.lit(1)})), root, version.strip())
         for part in some:
-            _arrive(part.select("event_id", F.col("user_id").cast("string").alias("member_number"), "ts"), path)
-        rows = readers.messages(spark, topic=path, schema="event_id long, member_number string, ts timestamp_ntz", format="parquet", maxFilesPerTrigger="1")
+            _arrive(part.select("event_id", F.col("user_id").cast("string").alias("member_number"), "ts"), path, files)
+        rows = readers.messages(spark, topic=path, schema="event_id long, member_number string, ts timestamp_ntz", format="parquet", maxFilesPerTrigger=str(files))
         rows = rows.withColumn("ts", F.col("ts").cast("timestamp")).where("member_number <> '0'")
         _ran(jobs.stream(rows, lambda: tables.read(spark, root), ["c_name"], "key", [F.desc("at")], "long", *outs, check, None, as_of(), "ts"))
     return spark.read.parquet(outs[1]).where("c_name is not null").select("event_id", "c_name")
@@ -323,7 +337,7 @@ def w8_stream_health(spark: SparkSession, sf_dir: str) -> DataFrame:
 def w7_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exactly once: a batch whose second sink fails is delivered again and stands once in the first."""
     out, failing, check, path = (fresh_path(spark, name) for name in ("out", "failing", "checkpoint", "arriving"))
-    _arrive(_table(spark, sf_dir, "events"), path)
+    _arrive(_table(spark, sf_dir, "events"), path, 1)
     rows = readers.messages(spark, topic=path, schema=_table(spark, sf_dir, "events").schema, format="parquet").select("event_id")
 
     def broken(batch: DataFrame, _: int) -> DataFrame:
@@ -342,11 +356,11 @@ def w7_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
 def w4_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of the events, the same rows a year too late, and the other half: late rows go when the watermark has passed."""
     parts = [p.select("event_id", "ts") for p in _parts_of_events(spark, sf_dir)]
-    path, out = fresh_path(spark, "arriving"), fresh_path(spark, "kept")
+    path, out, files = fresh_path(spark, "arriving"), fresh_path(spark, "kept"), _files_of_part(spark, sf_dir)
     late = parts[2].select((-F.col("event_id") - 1).alias("event_id"), (F.col("ts") - F.expr("interval 400 days")).alias("ts"))
     for part in (parts[2], parts[2].limit(0), late, parts[3]):
-        _arrive(part, path)
-    rows = readers.messages(spark, topic=path, schema="event_id long, ts timestamp_ntz", format="parquet", maxFilesPerTrigger="1").withColumn("ts", F.col("ts").cast("timestamp"))
+        _arrive(part, path, files)
+    rows = readers.messages(spark, topic=path, schema="event_id long, ts timestamp_ntz", format="parquet", maxFilesPerTrigger=str(files)).withColumn("ts", F.col("ts").cast("timestamp"))
     _ran(streams.to_files(readers.deduplicated(rows, "event_id", "ts", "1 minute").select("event_id"), out, fresh_path(spark, "checkpoint")))
     return spark.read.parquet(out)
 

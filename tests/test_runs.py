@@ -7,9 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomwork.operators import aggregates, joins
-from loomwork.plans import jobs
+from loomwork.plans import jobs, stateful
+from loomwork.plans import queries as plans
 from loomwork.sources import tables
 
+SF = "/root/testdata/sf0.001"
+
 
 def longest():
     """A local class, which workers get by value."""
@@ -128,3 +131,36 @@ def test_a_run_goes_on_where_it_was_cut_off(spark, tmp_path, monkeypatch, lost):
     jobs.reconcile_run(*args, as_of())
     assert versions(spark, root) == {"mapping": 1, "member": 2, "personas": 2, "lineage": 1, "log": 1}
     assert tables.read(spark, f"{root}/log").count() == 2
+
+
+def _few_rows_a_file(monkeypatch, rows=100):
+    monkeypatch.setattr(stateful, "ROWS", rows)
+    arrived, before = [], set()
+    arrive = stateful._arrive
+
+    def seen(part, path, files):
+        arrive(part, path, files)
+        new = set(part.sparkSession.read.schema(part.schema).parquet(path).inputFiles()) - before
+        before.update(new)
+        arrived.append((files, len(new), max(part.sparkSession.read.parquet(f).count() for f in new)))
+
+    monkeypatch.setattr(stateful, "_arrive", seen)
+    return arrived
+
+
+@pytest.mark.parametrize("name", ["j2_fresh_dimension", "m5_stream_refresh", "a7_stream_counters", "w4_late_rows"])
+def test_events_arrive_in_files_of_bounded_rows(spark, monkeypatch, name):
+    """No task writes all rows of a part, and the files of a part are still one micro-batch."""
+    want = plans.QUERIES[name](spark, SF).collect()
+    arrived = _few_rows_a_file(monkeypatch)
+    got = plans.QUERIES[name](spark, SF).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+    assert arrived and all(files > 1 and new == files and rows <= 125 for files, new, rows in arrived)
+
+
+def test_a_part_of_fewer_rows_than_files_still_has_all_its_files(spark, tmp_path):
+    part = spark.range(2)
+    stateful._arrive(part, str(tmp_path / "a"), 5)
+    stateful._arrive(part.limit(0), str(tmp_path / "a"), 5)
+    read = spark.read.schema("id long").parquet(str(tmp_path / "a"))
+    assert len(read.inputFiles()) == 10 and read.count() == 2
