@@ -337,7 +337,7 @@ def w8_stream_health(spark: SparkSession, sf_dir: str) -> DataFrame:
 def w7_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exactly once: a batch whose second sink fails is delivered again and stands once in the first."""
     out, failing, check, path = (fresh_path(spark, name) for name in ("out", "failing", "checkpoint", "arriving"))
-    _arrive(_table(spark, sf_dir, "events"), path, 1)
+    _arrive(_table(spark, sf_dir, "events"), path, PARTS * _files_of_part(spark, sf_dir))
     rows = readers.messages(spark, topic=path, schema=_table(spark, sf_dir, "events").schema, format="parquet").select("event_id")
 
     def broken(batch: DataFrame, _: int) -> DataFrame:

@@ -148,7 +148,7 @@ def _few_rows_a_file(monkeypatch, rows=100):
     return arrived
 
 
-@pytest.mark.parametrize("name", ["j2_fresh_dimension", "m5_stream_refresh", "a7_stream_counters", "w4_late_rows"])
+@pytest.mark.parametrize("name", ["j2_fresh_dimension", "w7_delivery", "m5_stream_refresh", "a7_stream_counters", "w4_late_rows"])
 def test_events_arrive_in_files_of_bounded_rows(spark, monkeypatch, name):
     """No task writes all rows of a part, and the files of a part are still one micro-batch."""
     want = plans.QUERIES[name](spark, SF).collect()
