@@ -44,13 +44,14 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = np.fromiter((_fingerprint(text, width) for text in text_bytes(batch["text"])), np.uint64, batch.num_rows)
+            out = np.fromiter((fingerprint(text, width) for text in text_bytes(batch["text"])), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(out.view(np.int64))], ["doc_id", "fp"])
 
     return in_arrow(renamed(docs, doc_id=id_col, text=text_col), work, f"doc_id {kind}, fp long")
 
 
-def _fingerprint(text: bytes, width: int) -> int:
+def fingerprint(text: bytes, width: int = 3) -> int:
+    """The SimHash of one text."""
     words = text.lower().split()  # bytes: A-Z only, and only ASCII white space
     if not words:
         return 0

@@ -333,3 +333,30 @@ def test_one_of_each_whatever_the_ids(spark):
     rows = [(1, "a b c d"), (1, "a b c d"), (1, "quite another text"), (2, "a b c d"), (None, "a b c d"), (None, "no id has this"), (None, "no id has this"), (None, None)]
     got = sorted((r.doc_id or 0, r.text or "") for r in simhash.one_of_each(frame(spark, rows)).collect())
     assert got == [(0, ""), (0, "no id has this"), (1, "a b c d"), (1, "quite another text")]
+
+
+def test_near_dedup_links_by_simhash_first(spark, monkeypatch):
+    """Without what min-hashes add, documents of a group that the SimHash index links are one; farther copies stay."""
+    rnd = random.Random(5)
+    base = [f"w{rnd.randrange(5000)}" for _ in range(3000)]
+    close = list(base)
+    close[1500] = "changed"
+    far = list(base)
+    for at in rnd.sample(range(3000), 60):
+        far[at] = f"x{at}"
+    other = [f"w{rnd.randrange(5000)}" for _ in range(3000)]
+    texts = [" ".join(words) for words in (base, close, far, other)]
+    apart = [(simhash.fingerprint(texts[0].encode()) ^ simhash.fingerprint(t.encode())).bit_count() for t in texts]
+    assert 0 <= apart[1] <= 2 < min(apart[2:])
+    docs = frame(spark, list(enumerate(texts)))
+    kept = lambda: sorted(r.doc_id for r in shingles.one_of_each(docs, similarity=0.5).collect())
+    assert kept() == [0, 3]
+    monkeypatch.setattr(shingles, "_links", lambda buckets, rows, width, similarity, edges, tested: edges)
+    assert kept() == [0, 2, 3]
+
+
+def test_near_dedup_verifies_what_simhash_links(spark):
+    """A text that is mostly one repeated shingle has the fingerprint of another such text, and few shingles of it."""
+    rows = [(k, "same " * 2000 + " ".join(f"{name}{i}" for i in range(30))) for k, name in enumerate("abc")]
+    assert len({simhash.fingerprint(t.encode()) for _, t in rows}) == 1
+    assert shingles.one_of_each(frame(spark, rows)).count() == 3
