@@ -179,11 +179,12 @@ def _size_group(size: Column) -> Column:
     return F.when(size <= EXACT, size).otherwise(beyond).cast("int")
 
 
-def _entries(classes: DataFrame, threshold: float, second: bool = False, often_only: bool = False) -> DataFrame:
+def _entries(classes: DataFrame, threshold: float, second: bool = False, often_only: bool = False, filed: str = "both") -> DataFrame:
     """(token, id, at, low, high): each class under the tokens of its prefix. Tokens that stand OFTEN times go apart by the
     size groups of the two classes that are to meet, the later one's first (``second`` is for the earlier one): a token at
     place p of a set can be the first of enough shared ones only with sets up to some size, fewer the farther behind it
-    stands. ``at`` packs size, whether the prefix has such a token, and place. A token is named by 32 bits here; two of one name only give more pairs to
+    stands. With ``filed`` not "both", only the earlier one's group counts: a class is "own" once under its own group, whatever
+    the place of the token, and classes that "look" for it go under each group that they may meet. ``at`` packs size, whether the prefix has such a token, and place. A token is named by 32 bits here; two of one name only give more pairs to
     verify."""
     least = _least_code(OFTEN)
     each = classes.select("id", "size", "low", "high", (F.element_at("prefix", -1) >= least).alias("apart"), F.posexplode("prefix").alias("pos", "code"))
@@ -193,9 +194,13 @@ def _entries(classes: DataFrame, threshold: float, second: bool = False, often_o
     smallest = F.ceil(F.col("size") * threshold - 1e-9)
     largest = F.floor((F.col("size") - F.col("pos")) * ((1 + threshold) / threshold) - F.col("size") + 1e-6)
     groups = F.sequence(_size_group(smallest), _size_group(F.greatest(smallest, largest)))
-    each = each.withColumn("group", F.explode(F.when(often, groups).otherwise(F.array(F.lit(0)))))
     own = F.when(often, _size_group(F.col("size"))).otherwise(0)
-    sides = [F.col("group"), own] if second else [own, F.col("group")]
+    if filed != "own":
+        each = each.withColumn("group", F.explode(F.when(often, groups).otherwise(F.array(F.lit(0)))))
+    if filed != "both":
+        sides = [own if filed == "own" else F.col("group")]
+    else:
+        sides = [F.col("group"), own] if second else [own, F.col("group")]
     at = F.shiftleft(F.col("size").cast("long"), 32).bitwiseOR(F.when(F.col("apart"), APART).otherwise(0)).bitwiseOR(F.col("pos").cast("long")).alias("at")
     return each.select(F.hash("code", *sides).alias("token"), "id", at, "low", "high")
 
@@ -272,8 +277,8 @@ def later_matches(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
         # only classes that may be settled are dealt out to find those that are
         maybe = mapped(first, F.col("id"))
-        open_ = _entries(outside(classes, maybe, F.col("id")).unionByName(inside(classes, maybe, F.col("id")).join(first, "id", "left_anti")), threshold)
-        more = open_.join(_seconds(_entries(classes, threshold, second=True)), "token").where("other < id").where(_may_match(threshold))
+        open_ = _entries(outside(classes, maybe, F.col("id")).unionByName(inside(classes, maybe, F.col("id")).join(first, "id", "left_anti")), threshold, filed="look")
+        more = open_.join(_seconds(_entries(classes, threshold, filed="own")), "token").where("other < id").where(_may_match(threshold))
         second = _verified(scratch, "second", _paired(more, threshold), docs, places, threshold)
         return written(places.named(first.unionByName(second).select(F.col("id").alias("place")).unionByName(later).distinct()), "lines-removed")
 
