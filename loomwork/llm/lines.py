@@ -41,8 +41,8 @@ from loomwork.llm._common import Scratch, inside, mapped, outside, placed, renam
 
 THRESHOLD = 0.8
 #: Buckets of the table of token counts, and how many of them are collected as one row (powers of two).
-BUCKET_BITS = 16
-ROW_BITS = 8
+BUCKET_BITS = 18
+ROW_BITS = 9
 #: Levels of a count: three for two doublings.
 LEVEL_BITS = 6
 LEVELS = 1.5
@@ -136,7 +136,8 @@ def _hashes() -> Column:
 
 def _codes(levels: Column) -> Column:
     def code(h: Column) -> Column:
-        level = F.get(levels, h.bitwiseAND((1 << BUCKET_BITS) - 1).cast("int"))
+        # never null, and an array without nulls is sorted as plain numbers
+        level = F.coalesce(F.get(levels, h.bitwiseAND((1 << BUCKET_BITS) - 1).cast("int")), F.lit(0).cast("tinyint"))
         return F.shiftleft(level.cast("long"), 64 - LEVEL_BITS).bitwiseOR(F.shiftrightunsigned(h, LEVEL_BITS))
 
     return F.sort_array(F.transform(_hashes(), code))
@@ -179,29 +180,42 @@ def _size_group(size: Column) -> Column:
     return F.when(size <= EXACT, size).otherwise(beyond).cast("int")
 
 
-def _entries(classes: DataFrame, threshold: float, second: bool = False, often_only: bool = False) -> DataFrame:
-    """(token, id, at, low, high): each class under the tokens of its prefix. Tokens that stand OFTEN times go apart by the
-    size groups of the two classes that are to meet, the later one's first (``second`` is for the earlier one): a token at
-    place p of a set can be the first of enough shared ones only with sets up to some size, fewer the farther behind it
-    stands. ``at`` packs size, whether the prefix has such a token, and place. A token is named by 32 bits here; two of one name only give more pairs to
-    verify."""
+def _entries(classes: DataFrame, often: bool) -> DataFrame:
+    """(code, id, pos, size, at, low, high): each class under the tokens of its prefix that stand OFTEN times, or under the
+    others. ``at`` packs size, whether the prefix has a token of the first kind, and place."""
     least = _least_code(OFTEN)
-    each = classes.select("id", "size", "low", "high", (F.element_at("prefix", -1) >= least).alias("apart"), F.posexplode("prefix").alias("pos", "code"))
-    often = F.col("code") >= least
-    if often_only:
-        each = each.where(often)
+    apart = F.element_at("prefix", -1) >= least
+    each = classes.select("id", "size", "low", "high", apart.alias("apart"), F.posexplode("prefix").alias("pos", "code"))
+    at = F.shiftleft(F.col("size").cast("long"), 32).bitwiseOR(F.when(F.col("apart"), APART).otherwise(0)).bitwiseOR(F.col("pos").cast("long"))
+    return each.where(F.col("code") >= least if often else F.col("code") < least).withColumn("at", at)
+
+
+def _by_token(classes: DataFrame) -> DataFrame:
+    """(token, id, at, low, high): each class under the tokens of its prefix that stand fewer than OFTEN times. Both sides of
+    their join are this one table, so it is dealt out once. A token is named by 32 bits here; two of one name only give more
+    pairs to verify."""
+    return _entries(classes, often=False).select(F.hash("code").alias("token"), "id", "at", "low", "high")
+
+
+def _by_sizes(classes: DataFrame, threshold: float, second: bool = False) -> DataFrame:
+    """(token, id, at, low, high): each class under the tokens of its prefix that stand OFTEN times, apart by the size groups
+    of the two classes that are to meet, the later one's first (``second`` is for the earlier one): a token at place p of a
+    set can be the first of enough shared ones only with sets up to some size, fewer the farther behind it stands."""
     smallest = F.ceil(F.col("size") * threshold - 1e-9)
     largest = F.floor((F.col("size") - F.col("pos")) * ((1 + threshold) / threshold) - F.col("size") + 1e-6)
     groups = F.sequence(_size_group(smallest), _size_group(F.greatest(smallest, largest)))
-    each = each.withColumn("group", F.explode(F.when(often, groups).otherwise(F.array(F.lit(0)))))
-    own = F.when(often, _size_group(F.col("size"))).otherwise(0)
+    each = _entries(classes, often=True).withColumn("group", F.explode(groups))
+    own = _size_group(F.col("size"))
     sides = [F.col("group"), own] if second else [own, F.col("group")]
-    at = F.shiftleft(F.col("size").cast("long"), 32).bitwiseOR(F.when(F.col("apart"), APART).otherwise(0)).bitwiseOR(F.col("pos").cast("long")).alias("at")
-    return each.select(F.hash("code", *sides).alias("token"), "id", at, "low", "high")
+    return each.select(F.hash("code", *sides).alias("token"), "id", "at", "low", "high")
 
 
-def _seconds(entries: DataFrame) -> DataFrame:
-    return entries.toDF("token", "other", "at2", "low2", "high2")
+def _met(later: DataFrame, earlier: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of classes (token, id, at, low, high) that meet under a token and may match. Names are given behind the join, so
+    that a table joined with itself is dealt out once."""
+    seconds = [F.col(f"b.{c}").alias(name) for c, name in (("id", "other"), ("at", "at2"), ("low", "low2"), ("high", "high2"))]
+    both = later.alias("a").join(earlier.alias("b"), F.col("a.token") == F.col("b.token")).select("a.id", "a.at", "a.low", "a.high", *seconds)
+    return both.where("other < id").where(_may_match(threshold))
 
 
 def _apart() -> Column:
@@ -265,22 +279,27 @@ def later_matches(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         classes = scratch.written(line_classes(keyed, repeated), "classes")
         scratch.drop("keyed", "many")
 
-        often = _entries(classes, threshold, often_only=True)
-        earliest = _entries(classes, threshold, second=True, often_only=True).groupBy("token").agg(F.min(F.struct("id", "at", "low", "high")).alias("e")).select("token", "e.*")
-        met = often.join(_seconds(earliest), "token").where("other < id").where(_may_match(threshold))
-        first = _verified(scratch, "first", met.select("id", "other").distinct(), docs, places, threshold)
+        often = _by_sizes(classes, threshold)
+        earliest = _by_sizes(classes, threshold, second=True).groupBy("token").agg(F.min(F.struct("id", "at", "low", "high")).alias("e")).select("token", "e.*")
+        first = _verified(scratch, "first", _met(often, earliest, threshold).select("id", "other").distinct(), docs, places, threshold)
 
-        # only classes that may be settled are dealt out to find those that are
+        # under tokens that stand often, only classes that may be settled are dealt out to find those that are
         maybe = mapped(first, F.col("id"))
-        open_ = _entries(outside(classes, maybe, F.col("id")).unionByName(inside(classes, maybe, F.col("id")).join(first, "id", "left_anti")), threshold)
-        more = open_.join(_seconds(_entries(classes, threshold, second=True)), "token").where("other < id").where(_may_match(threshold))
-        second = _verified(scratch, "second", _paired(more, threshold), docs, places, threshold)
+        open_ = outside(classes, maybe, F.col("id")).unionByName(inside(classes, maybe, F.col("id")).join(first, "id", "left_anti"))
+        rare = _by_token(classes)
+        more = _met(rare, rare, threshold).unionByName(_met(_by_sizes(open_, threshold), _by_sizes(classes, threshold, second=True), threshold))
+        pairs = _paired(more, threshold).join(first, "id", "left_anti")
+        second = _verified(scratch, "second", pairs, docs, places, threshold)
         return written(places.named(first.unionByName(second).select(F.col("id").alias("place")).unionByName(later).distinct()), "lines-removed")
 
 
 def _numbered_versions(docs: DataFrame) -> DataFrame | None:
     """(doc_id, version, number) of the texts of (doc_id, text), numbered in their order, if some id has several texts."""
-    versions = docs.where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("version")).distinct()
+    docs = docs.where("doc_id is not null")
+    # most tables have no such id, which their ids alone tell
+    if docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        return None
+    versions = docs.select("doc_id", F.xxhash64("text").alias("version")).distinct()
     if versions.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
         return None
     return placed(versions, [F.asc("doc_id"), F.asc("version")], "number")

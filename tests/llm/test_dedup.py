@@ -175,6 +175,38 @@ def test_lines_of_a_template_meet_no_pairs(spark, monkeypatch):
     assert sum(met) < 100
 
 
+def test_lines_rare_words_stay_rare(spark, monkeypatch):
+    """1.2 million words that stand once each: the buckets that they share make hardly one look frequent."""
+    monkeypatch.setattr(lines, "OFTEN", 12)
+    words = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(19)), lambda i: F.concat(F.lit("x"), F.col("doc_id") * 20 + i)), " ")
+    docs = spark.range(60_000).withColumnRenamed("id", "doc_id").withColumn("text", words)
+    keyed = lines.keyed_lines(lines.Places(docs).split(docs), lines._levels(docs))
+    often = keyed.where(F.element_at("prefix", -1) >= lines._least_code(12)).count()
+    assert often < 600
+
+
+def test_lines_are_dealt_out_once(spark, monkeypatch):
+    """The join of classes on rare tokens reads one shuffle twice."""
+    plans = []
+    kept = lines.Scratch.written
+
+    def noted(scratch, df, name):
+        if name == "second_pairs":
+            df.collect()
+            plans.append(df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0])
+        return kept(scratch, df, name)
+
+    monkeypatch.setattr(lines.Scratch, "written", noted)
+    monkeypatch.setattr(lines, "OFTEN", 8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = spark.createDataFrame([(k, f"t{k // 2} u{k // 2} v{k // 2} w{k // 2} common x{k % 2}") for k in range(60)], "doc_id long, text string")
+        assert lines.later_matches(docs, 0.6).count() == 30
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(plans) == 1 and "ReusedExchange" in plans[0]
+
+
 def test_lines_of_any_columns_and_copies(spark):
     """Column names that an operator may use, rows of one id, and counts that are replaced."""
     rows = [(1, "a b c d e\nx", 7), (1, "a b c d e\nx", 7), (2, "e d c b a\ny", 8), (2, "other\nx", 9), (3, None, 1)]
