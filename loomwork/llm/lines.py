@@ -197,17 +197,22 @@ def _by_token(classes: DataFrame) -> DataFrame:
     return _entries(classes, often=False).select(F.hash("code").alias("token"), "id", "at", "low", "high")
 
 
-def _by_sizes(classes: DataFrame, threshold: float, second: bool = False) -> DataFrame:
-    """(token, id, at, low, high): each class under the tokens of its prefix that stand OFTEN times, apart by the size groups
-    of the two classes that are to meet, the later one's first (``second`` is for the earlier one): a token at place p of a
-    set can be the first of enough shared ones only with sets up to some size, fewer the farther behind it stands."""
+def _by_sizes(classes: DataFrame, threshold: float) -> DataFrame:
+    """(code, own, group, id, at, low, high): each class under the tokens of its prefix that stand OFTEN times, with the group
+    of its size and each of those that the other class's size may be in: a token at place p of a set can be the first of
+    enough shared ones only with sets up to some size, fewer the farther behind it stands."""
     smallest = F.ceil(F.col("size") * threshold - 1e-9)
     largest = F.floor((F.col("size") - F.col("pos")) * ((1 + threshold) / threshold) - F.col("size") + 1e-6)
     groups = F.sequence(_size_group(smallest), _size_group(F.greatest(smallest, largest)))
-    each = _entries(classes, often=True).withColumn("group", F.explode(groups))
-    own = _size_group(F.col("size"))
-    sides = [F.col("group"), own] if second else [own, F.col("group")]
-    return each.select(F.hash("code", *sides).alias("token"), "id", "at", "low", "high")
+    own = _size_group(F.col("size")).alias("own")
+    # the last token of a prefix stands most often
+    some = classes.where(F.element_at("prefix", -1) >= _least_code(OFTEN))
+    return _entries(some, often=True).select("code", own, F.explode(groups).alias("group"), "id", "at", "low", "high")
+
+
+def _sided(often: DataFrame, *sides: str) -> DataFrame:
+    """(token, id, at, low, high) of the table by sizes; ``sides`` are the columns of the later class's group and the earlier's."""
+    return often.select(F.hash("code", *sides).alias("token"), "id", "at", "low", "high")
 
 
 def _met(later: DataFrame, earlier: DataFrame, threshold: float) -> DataFrame:
@@ -279,15 +284,17 @@ def later_matches(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         classes = scratch.written(line_classes(keyed, repeated), "classes")
         scratch.drop("keyed", "many")
 
-        often = _by_sizes(classes, threshold)
-        earliest = _by_sizes(classes, threshold, second=True).groupBy("token").agg(F.min(F.struct("id", "at", "low", "high")).alias("e")).select("token", "e.*")
-        first = _verified(scratch, "first", _met(often, earliest, threshold).select("id", "other").distinct(), docs, places, threshold)
+        often = scratch.written(_by_sizes(classes, threshold), "often")
+        seconds = _sided(often, "group", "own")
+        earliest = seconds.groupBy("token").agg(F.min(F.struct("id", "at", "low", "high")).alias("e")).select("token", "e.*")
+        met = _met(_sided(often, "own", "group"), earliest, threshold)
+        first = _verified(scratch, "first", met.select("id", "other").distinct(), docs, places, threshold)
 
         # under tokens that stand often, only classes that may be settled are dealt out to find those that are
         maybe = mapped(first, F.col("id"))
-        open_ = outside(classes, maybe, F.col("id")).unionByName(inside(classes, maybe, F.col("id")).join(first, "id", "left_anti"))
+        open_ = outside(often, maybe, F.col("id")).unionByName(inside(often, maybe, F.col("id")).join(first, "id", "left_anti"))
         rare = _by_token(classes)
-        more = _met(rare, rare, threshold).unionByName(_met(_by_sizes(open_, threshold), _by_sizes(classes, threshold, second=True), threshold))
+        more = _met(rare, rare, threshold).unionByName(_met(_sided(open_, "own", "group"), seconds, threshold))
         pairs = _paired(more, threshold).join(first, "id", "left_anti")
         second = _verified(scratch, "second", pairs, docs, places, threshold)
         return written(places.named(first.unionByName(second).select(F.col("id").alias("place")).unionByName(later).distinct()), "lines-removed")
